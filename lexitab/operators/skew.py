@@ -1,0 +1,31 @@
+"""Hot keys: finding them and joining around them."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+# A key with more rows than this is hot.  At most (rows / HOT_ROWS) keys can be, which bounds
+# every table of hot keys that is broadcast.
+HOT_ROWS = 100_000
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(key, n)`` for keys above ``hot_rows``: one slim count, combined before its shuffle."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: Column,
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join to a ``right`` side with few rows per ``key``, safe for hot keys on the left.
+
+    Rows of a hot key are spread by the hash of ``spread`` over as many salts as the key holds
+    multiples of ``hot_rows``; its matching right rows are copied once per salt.
+    """
+    hot = F.broadcast(hot_keys(left, key, hot_rows)
+                      .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = (left.join(hot, key, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts"))
+    right = (right.join(hot, key, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts"))
+    return left.join(right, [key, "_salt"], "left").drop("_salt")
