@@ -20,6 +20,7 @@ def local_session(cores: str | int = "*", app: str = "lexitab", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
     for key, value in conf.items():

@@ -13,6 +13,8 @@ from lexitab.operators.ordering import distinct_first, first_n, stable_sort
 ATTEMPTS_PER_ROW = 10
 MIN_VALUE_BYTES, MAX_VALUE_BYTES = 5000, 12000
 SHORTEST_PIECE = 20
+MEAN_ROW_BYTES = 8_500
+PARTITION_BYTES = 128 * 1024 ** 2
 
 # Title templates.  {Word}, {WORD} change the case of {word}; {a|b} is a choice;
 # {words:2-4} repeats; the choice between templates is uniform.
@@ -146,6 +148,7 @@ def _vocabulary(size: int = 2048) -> str:
 
 
 WORDS = _vocabulary()
+CAPITAL_WORDS = " ".join(word.capitalize() for word in WORDS.split(" "))
 
 
 class _Draw:
@@ -176,22 +179,24 @@ class _Draw:
         each = F.transform(F.sequence(F.lit(1), count), lambda j: self.at(j).word(tag))
         return F.concat_ws(" ", each)
 
-    def sentence(self, tag: int, words: Column) -> Column:
+    def sentence(self, tag: int, words: int | Column) -> Column:
         """About ``words`` words: between 60 and 140 per cent, and at least four."""
-        low = F.greatest(F.lit(4), F.floor(words * 0.6)).cast("int")
+        words = F.lit(words) if isinstance(words, int) else words
+        low = F.greatest(F.lit(4), F.floor(words * 0.6).cast("int"))
         high = F.greatest(low, F.floor(words * 1.4).cast("int"))
-        text = self.words(tag, self.number(tag + 1, low, high))
-        return F.concat(F.upper(F.substring(text, 1, 1)), text.substr(F.lit(2), F.length(text)), F.lit("."))
+        later = F.sequence(F.lit(2), self.number(tag + 1, low, high))
+        return F.concat(self.pick(tag, CAPITAL_WORDS), F.lit(" "),
+                        F.concat_ws(" ", F.transform(later, lambda j: self.at(j).word(tag))), F.lit("."))
 
     def sentences(self, tag: int, count: Column, words: int) -> Column:
-        each = F.transform(F.sequence(F.lit(1), count), lambda s: self.at(s).sentence(tag, F.lit(words)))
+        each = F.transform(F.sequence(F.lit(1), count), lambda s: self.at(s).sentence(tag, words))
         return F.concat_ws(" ", each)
 
 
 def _token(token: Column, draw: _Draw) -> Column:
     """The text of one template token."""
-    last = F.concat(capitalize(draw.word(10)), draw.pick(11, LAST_END))
-    other_last = F.concat(capitalize(draw.word(12)), draw.pick(13, LAST_END))
+    last = F.concat(draw.pick(10, CAPITAL_WORDS), draw.pick(11, LAST_END))
+    other_last = F.concat(draw.pick(12, CAPITAL_WORDS), draw.pick(13, LAST_END))
     repeats = F.split(F.regexp_extract(token, r":(\d+-\d+)", 1), "-")
     count = draw.number(20, repeats[0].cast("int"), repeats[1].cast("int"))
     initials = F.transform(F.sequence(F.lit(1), count), lambda j: F.upper(F.substring(draw.at(j).word(), 1, 1)))
@@ -200,11 +205,11 @@ def _token(token: Column, draw: _Draw) -> Column:
     plain = draw.words(0, count)
     texts = {
         "{word}": draw.word(),
-        "{Word}": capitalize(draw.word()),
+        "{Word}": draw.pick(0, CAPITAL_WORDS),
         "{WORD}": F.upper(draw.word()),
         "{first}": draw.pick(1, FIRST),
         "{last}": last,
-        "{city}": F.concat(capitalize(draw.word()), draw.pick(1, CITY_END)),
+        "{city}": F.concat(draw.pick(0, CAPITAL_WORDS), draw.pick(1, CITY_END)),
         "{country}": draw.pick(1, COUNTRY, "|"),
         "{company}": F.when(draw.number(2, 0, 1) == 0, F.concat(last, F.lit(", "), other_last, F.lit(" and "), F.lit("Sons")))
                       .otherwise(F.concat(last, F.lit("-"), other_last)),
@@ -243,7 +248,7 @@ def value(attempt: Column, seed: int, target: Column) -> Column:
         text = (F.when(kind == 0, draw.sentences(210, draw.number(202, 3, 7), 6))
                 .when(kind == 1, draw.sentence(220, draw.number(203, 10, 30)))
                 .when(kind == 2, draw.sentences(230, F.floor(draw.number(204, 200, 500) / 75).cast("int"), 6))
-                .otherwise(F.concat(draw.word(240), F.lit(": "), draw.sentence(241, F.lit(6)))))
+                .otherwise(F.concat(draw.word(240), F.lit(": "), draw.sentence(241, 6))))
         return normalize(text)
 
     def add(state: Column, i: Column) -> Column:
@@ -275,9 +280,12 @@ def from_attempts(attempts: DataFrame, num_rows: int, seed: int = 0,
     """
     titles = attempts.select("attempt", title(F.col("attempt"), seed, templates).alias("title"))
     winners = first_n(distinct_first(titles, "attempt"), num_rows, "attempt")
+    # Slim rows grow to full ones: spread them by the size they will have.
+    spark = attempts.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, num_rows * MEAN_ROW_BYTES // PARTITION_BYTES)
     attempt = F.col("attempt")
-    return winners.select("title", value(attempt, seed, target_bytes(attempt, seed)).alias("value"),
-                          attempt.alias("ord"))
+    return winners.repartition(parts, "attempt").select(
+        "title", value(attempt, seed, target_bytes(attempt, seed)).alias("value"), attempt.alias("ord"))
 
 
 def generate(spark: SparkSession, *, num_rows: int | None = None, target_gb: float | None = None,
