@@ -32,20 +32,27 @@ def build_index(dictionary: DataFrame, *extra: str) -> DataFrame:
     """Offsets of every row: ``byte_offset`` in the logical single file (header first) and
     ``part_offset`` in its part.
 
-    A two-level prefix sum: a running sum inside each bounded part, plus the part's base.  The
-    part table has rows / ``PART_ROWS`` entries; only it goes through the one-task window and
-    the broadcast.  Values are not read.
+    A three-level prefix sum: rows in a part, parts in a partition, partitions.  Only the last
+    is a one-task window, with one row per range partition, as is the broadcast.  Values are
+    not read.
     """
     slim = dictionary.select("title", "part", "row", "byte_length", *extra)
-    sizes = slim.groupBy("part").agg(F.sum("byte_length").alias("bytes"))
-    start = F.broadcast(bases(sizes, ["part"], "bytes"))
     before = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum("byte_length").over(before), F.lit(0)).cast("long")
-    return (slim.withColumn("part_offset", local).join(start, "part")
-            .select("title", (F.col("base") + F.col("part_offset") + HEADER_BYTES).alias("byte_offset"),
+    return (slim.withColumn("part_offset", local).join(_part_starts(slim), "part")
+            .select("title", (F.col("start") + F.col("part_offset")).alias("byte_offset"),
                     "byte_length", "part", "part_offset", *extra))
 
 
+def _part_starts(slim: DataFrame) -> DataFrame:
+    sizes = (slim.groupBy("part").agg(F.sum("byte_length").alias("bytes"))
+             .withColumn("pid", F.floor(F.col("part") / PARTS_PER_PID).cast("int")))
+    partitions = bases(sizes.groupBy("pid").agg(F.sum("bytes").alias("bytes")), ["pid"], "bytes")
+    parts = bases(sizes, ["part"], "bytes", base="in_pid", within=["pid"])
+    return parts.join(F.broadcast(partitions), "pid").select(
+        "part", (F.col("base") + F.col("in_pid") + HEADER_BYTES).alias("start"))
+
+
 def last_wins(index: DataFrame) -> DataFrame:
     """One entry per exact title, the later row replacing the earlier.
 
@@ -115,13 +122,9 @@ def index_lines(lines: DataFrame, header: bool = True) -> DataFrame:
 
 
 def logical_offsets(index: DataFrame, lines: DataFrame) -> DataFrame:
-    """Move offsets in headerless part files to the single file: header, then parts by name.
-
-    The broadcast side has one row per file.
-    """
+    """Move offsets in headerless part files to the single file: header, then parts by name."""
     files = lines.select("file_path", "file_size").distinct()
-    start = F.broadcast(bases(files, ["file_path"], "file_size"))
-    return index.join(start, "file_path").select(
+    return index.join(bases(files, ["file_path"], "file_size"), "file_path").select(
         "title", (F.col("byte_offset") + F.col("base") + HEADER_BYTES).alias("byte_offset"), "byte_length")
 
 

@@ -9,8 +9,11 @@ from lexitab.operators.skew import HOT_ROWS, salted_left_join
 
 
 def latest_values(merged: DataFrame) -> DataFrame:
-    """One row per exact title of a merged table: the last in its output order."""
-    order = Window.partitionBy("title").orderBy(F.desc("side"), F.desc("ord"))
+    """One row per exact title of a merged table: the last in its output order.
+
+    Equal titles have equal folded keys, so the merge's partitioning by ``k`` is used again.
+    """
+    order = Window.partitionBy("k", "title").orderBy(F.desc("side"), F.desc("ord"))
     return (merged.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
             .select("title", "value"))
 

@@ -8,12 +8,13 @@ count.  The output order is ``(k, side, ord)``, changelog rows first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lexitab.operators.ordering import number_rows, range_sort, with_key, with_positions
-from lexitab.operators.skew import HOT_ROWS
+from lexitab.operators.skew import HOT_ROWS, largest
 from lexitab.session import materialise
 
+# Changelog rows sort first; sums over ``side`` count existing rows.
 CHANGELOG, EXISTING = 0, 1
 KEPT, UPDATED, ADDED = "kept", "updated", "added"
 
@@ -55,16 +56,16 @@ def upsert(existing: DataFrame, changelog: DataFrame, *, ordered: bool = False,
     """Merge ``(title, value, ord)`` tables into ``(title, value, k, side, ord, status)``.
 
     All rows move in one exchange.  ``ordered=True`` makes it a range exchange, so the same
-    shuffle serves the merge and the total order of the output.  A key with more than
-    ``hot_rows`` rows is spread over tasks by ``(side, ord)`` and decided by two cutoffs instead
-    of a window.
+    shuffle serves the merge and the total order of the output.  A hot key is spread over tasks
+    by ``(side, ord)`` and decided by two cutoffs instead of a window; finding hot keys is one
+    slim count of ``k``.
     """
     rows = _tagged(existing, changelog)
-    hot = materialise(_side_counts(rows).filter(F.col("n_c") + F.col("n_e") > hot_rows), "hotkeys")
-    group = ["k"]
+    hot = materialise(largest(_side_counts(rows), "k", F.col("n_c") + F.col("n_e"), hot_rows), "hotkeys")
     has_hot = not hot.isEmpty()
+    group = ["k"]
     if has_hot:
-        # Bounded by rows / hot_rows, see skew.HOT_ROWS.
+        # At most skew.MAX_HOT_KEYS rows.
         rows = rows.join(F.broadcast(_hot_cutoffs(rows, hot)), "k", "left")
         rows = (rows.withColumn("hot", F.coalesce("hot", F.lit(False)))
                 .withColumn("_side", F.when(F.col("hot"), F.col("side")))
@@ -72,44 +73,46 @@ def upsert(existing: DataFrame, changelog: DataFrame, *, ordered: bool = False,
         group += ["_side", "_ord"]
     if ordered:
         rows = rows.repartitionByRange(num_parts, *group) if num_parts else rows.repartitionByRange(*group)
-    rows = _decide(rows, group, has_hot)
-    return rows.select("title", "value", "k", "side", "ord", "status")
+    return _decide(rows, group, has_hot).select("title", "value", "k", "side", "ord", "status")
 
 
 def _decide(rows: DataFrame, group: list[str], has_hot: bool) -> DataFrame:
+    """Drop the existing rows that a changelog row replaces and name every row's status.
+
+    Changelog rows come first in a key, so running counts decide; only ``status`` needs the
+    key's existing count, and Spark drops that window where the status is not used.
+    """
+    from_changelog = F.col("side") == CHANGELOG
     in_key = Window.partitionBy(*group).orderBy("side", "ord")
+    running = in_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = (rows.withColumn("_n", F.row_number().over(in_key))
-            .withColumn("_nc", F.count_if(F.col("side") == CHANGELOG).over(whole))
-            .withColumn("_ne", F.count_if(F.col("side") == EXISTING).over(whole)))
-    from_changelog = F.col("side") == CHANGELOG
-    keep = from_changelog | (F.col("_n") - F.col("_nc") > F.col("_nc"))
+    rows = rows.withColumns({
+        "_n": F.row_number().over(in_key),
+        "_nc": F.sum(F.when(F.col("side") == CHANGELOG, 1).otherwise(0)).over(running),
+        "_ne": F.sum(F.col("side")).over(whole),
+    })
+    unpaired = F.col("_n") - F.col("_nc") > F.col("_nc")
     updated = F.col("_n") <= F.col("_ne")
     if has_hot:
         hot = F.col("hot")
-        beyond = F.coalesce(F.col("ord") > F.col("cut_e"), F.lit(True))
-        keep = from_changelog | F.when(hot, beyond).otherwise(F.col("_n") - F.col("_nc") > F.col("_nc"))
+        unpaired = F.when(hot, F.coalesce(F.col("ord") > F.col("cut_e"), F.lit(True))).otherwise(unpaired)
         updated = F.when(hot, F.coalesce(F.col("ord") <= F.col("cut_c"), F.lit(False))).otherwise(updated)
     status = F.when(~from_changelog, KEPT).when(updated, UPDATED).otherwise(ADDED)
-    return rows.filter(keep).withColumn("status", status)
-
-
-def counter_columns() -> list[Column]:
-    """The five merge counters over merged rows alone (a dropped row equals an update)."""
-    def count(*statuses: str) -> Column:
-        return F.count_if(F.col("status").isin(*statuses))
-
-    return [
-        count(KEPT, UPDATED).alias("existing_count"),
-        count(UPDATED, ADDED).alias("changelog_count"),
-        count(UPDATED).alias("updated_count"),
-        count(ADDED).alias("added_count"),
-        F.count(F.lit(1)).alias("total_count"),
-    ]
-
-
-def merge_stats(merged: DataFrame) -> DataFrame:
-    return merged.agg(*counter_columns())
+    return rows.filter(from_changelog | unpaired).withColumn("status", status)
+
+
+def merge_stats(existing: DataFrame, changelog: DataFrame) -> DataFrame:
+    """The five merge counters.  They follow from the two row counts of every key, so nothing
+    is merged: one slim aggregate, combined before its shuffle."""
+    counts = _side_counts(_tagged(existing, changelog))
+    totals = {
+        "existing_count": F.col("n_e"),
+        "changelog_count": F.col("n_c"),
+        "updated_count": F.least("n_c", "n_e"),
+        "added_count": F.col("n_c") - F.least("n_c", "n_e"),
+        "total_count": F.greatest("n_c", "n_e"),
+    }
+    return counts.agg(*(F.coalesce(F.sum(n), F.lit(0)).alias(name) for name, n in totals.items()))
 
 
 def added_rows(merged: DataFrame) -> DataFrame:

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key with more rows than this is hot.  At most (rows / HOT_ROWS) keys can be, which bounds
-# every table of hot keys that is broadcast.
+# A key with more rows than this is treated as hot, the MAX_HOT_KEYS largest at most.  So a table
+# of hot keys has a fixed size bound, and a key left out holds no more than
+# max(HOT_ROWS, rows / MAX_HOT_KEYS) rows.
 HOT_ROWS = 100_000
+MAX_HOT_KEYS = 10_000
+MAX_SALTS = 4_096
+
+
+def largest(counts: DataFrame, key: str, n: Column, hot_rows: int) -> DataFrame:
+    """The hot keys of a table of key counts; ties go by key, so every evaluation agrees."""
+    return counts.filter(n > hot_rows).orderBy(n.desc(), key).limit(MAX_HOT_KEYS)
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, n)`` for keys above ``hot_rows``: one slim count, combined before its shuffle."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+    """``(key, n)`` of the hot keys: one slim count, combined before its shuffle."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return largest(counts, key, F.col("n"), hot_rows)
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: Column,
@@ -21,8 +30,8 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str, spread: Column
     Rows of a hot key are spread by the hash of ``spread`` over as many salts as the key holds
     multiples of ``hot_rows``; its matching right rows are copied once per salt.
     """
-    hot = F.broadcast(hot_keys(left, key, hot_rows)
-                      .select(key, F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")))
+    count = F.least(F.ceil(F.col("n") / hot_rows), F.lit(MAX_SALTS)).cast("int")
+    hot = F.broadcast(hot_keys(left, key, hot_rows).select(key, count.alias("_salts")))
     salts = F.coalesce("_salts", F.lit(1))
     left = (left.join(hot, key, "left")
             .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts"))

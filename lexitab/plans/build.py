@@ -7,11 +7,11 @@ import warnings
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import date_stamp, iso_stamp
 from lexitab.operators.index import PART_ROWS, build_index, data_table, index_validation, last_wins
-from lexitab.operators.merge import counter_columns, upsert
+from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import stable_sort
 from lexitab.operators.skew import HOT_ROWS
 from lexitab.session import write_table
@@ -148,17 +148,22 @@ def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | Non
     stamp, iso = _stamps(spark, now)
     version = _new_version(spark, root, stamp)
     merged = upsert(existing, changelog, ordered=True, num_parts=num_parts, hot_rows=hot_rows)
-    seen = Observation("merge counters")
-    merged = merged.observe(seen, *counter_columns())
     made = _publish(spark, root, version, merged.select("title", "value", "k"),
                     part_rows=part_rows, csv=csv, strict=strict)
-    made.counters = seen.get
+    made.counters = _counters(existing.count(), changelog.count(), made.rows)
     manifest |= {"file_path": made.file_path, "index_file_path": made.index_file_path,
                  "last_updated_at": iso, "version": made.version}
     write_manifest(spark, os.path.join(root, MANIFEST_FILE), manifest)
     return made
 
 
+def _counters(existing: int, changelog: int, total: int) -> dict[str, int]:
+    """Merge counters from what was read and written: total = existing + added."""
+    added = total - existing
+    return {"existing_count": existing, "changelog_count": changelog,
+            "updated_count": changelog - added, "added_count": added, "total_count": total}
+
+
 def build(spark: SparkSession, root: str, *, source: DataFrame | None = None, **options) -> Version:
     """Incremental if the manifest names a data file, else full."""
     if load_manifest(spark, root).get("file_path", "").strip():

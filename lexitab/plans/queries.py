@@ -100,7 +100,7 @@ def existing_untouched_rows(spark, sf_dir):
 
 
 def merge_stats(spark, sf_dir):
-    return merge.merge_stats(_merged(spark, sf_dir))
+    return merge.merge_stats(fixtures.existing(spark, sf_dir), fixtures.changelog(spark, sf_dir))
 
 
 def sorted_dictionary(spark, sf_dir):
