@@ -9,7 +9,8 @@ from lexitab.schema import DICT
 # The character classes of the CSV dialect and of whitespace.
 NEEDS_QUOTES = r'[,"\r\n]'
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
-LINE_END_BYTES = 2
+NOT_WHITESPACE = r"(?U)[^\s\x1c-\x1f]"
+LINE_END = "\r\n"
 
 
 def _col(c: Column | str) -> Column:
@@ -32,6 +33,11 @@ def normalize(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(text), WHITESPACE, " "))
 
 
+def has_text(text: Column | str) -> Column:
+    """Whether ``normalize`` leaves anything; stops at the first character that stays."""
+    return _col(text).rlike(NOT_WHITESPACE)
+
+
 def utf8_bytes(text: Column | str) -> Column:
     return F.octet_length(_col(text))
 
@@ -56,13 +62,16 @@ def _field_bytes(field: Column | str) -> Column:
 
 def row_bytes(title: Column | str = "title", value: Column | str = "value") -> Column:
     """Bytes of the encoded row with its line end, computed without building the line."""
-    return (_field_bytes(title) + 1 + _field_bytes(value) + LINE_END_BYTES).cast("int")
+    return (_field_bytes(title) + 1 + _field_bytes(value) + len(LINE_END)).cast("int")
+
+
+def without_line_end(line: Column | str) -> Column:
+    return F.rtrim(_col(line), F.lit(LINE_END))
 
 
 def csv_decode(line: Column | str) -> Column:
     """Struct ``(title, value)`` of one CSV record; its line end may still be attached."""
-    body = F.regexp_replace(_col(line), r"[\r\n]+$", "")
-    row = F.from_csv(body, DICT.simpleString()[len("struct<"):-1].replace(":", " "),
+    row = F.from_csv(without_line_end(line), DICT.simpleString()[len("struct<"):-1].replace(":", " "),
                      {"escape": '"', "multiLine": "true"})
     return F.struct(F.coalesce(row["title"], F.lit("")).alias("title"),
                     F.coalesce(row["value"], F.lit("")).alias("value"))

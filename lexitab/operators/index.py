@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lexitab.functions.text import csv_decode, row_bytes
+from lexitab.functions.text import csv_decode, row_bytes, without_line_end
 from lexitab.operators.ordering import bases, number_rows, with_positions
 from lexitab.schema import HEADER_BYTES
 
@@ -130,8 +130,8 @@ def logical_offsets(index: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _titles(lines: DataFrame) -> DataFrame:
     """Lines reduced to their title; ``NULL`` marks a line that gives no entry."""
-    body = F.regexp_replace("value", r"[\r\n]+$", "")
-    stray_return = F.regexp_replace(body, r'"[^"]*("|$)', "").contains("\r")
+    body = without_line_end("value")
+    stray_return = body.contains("\r") & F.regexp_replace(body, r'"[^"]*("|$)', "").contains("\r")
     good = F.is_valid_utf8("value") & (body != "") & ~stray_return
     return lines.select("file_path", "block_start", "line_id", "file_size", "_len",
                         F.when(good, csv_decode("value")["title"]).alias("title"))

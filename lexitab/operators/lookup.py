@@ -49,14 +49,14 @@ def fetch_slices(spark: SparkSession, index: DataFrame, csv_path: str) -> DataFr
         "title", "byte_offset", "part_offset", "byte_length")).alias("entries"))
     parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(csv_path)
              .select(F.substring("part_file", 2, 12).cast("long").alias("part"), "content"))
-    cut = F.transform("entries", lambda e: F.struct(
-        e["title"].alias("title"), e["byte_offset"].alias("byte_offset"),
-        e["byte_length"].alias("byte_length"),
-        F.substring(F.col("content"), (e["part_offset"] + 1).cast("int"), e["byte_length"]).alias("bytes")))
-    sliced = entries.join(parts, "part", "left").select(F.inline(cut))
-    return (sliced.withColumn("row", csv_decode(F.col("bytes").cast("string")))
-            .select("title", "byte_offset", "byte_length",
-                    F.col("row.title").alias("slice_title"), F.col("row.value").alias("slice_value")))
+    # The content goes in as a lambda variable: a column would be copied whole for every entry.
+    cut = F.transform(F.array("content"), lambda content: F.transform("entries", lambda e: F.struct(
+        e["title"].alias("title"), e["byte_offset"].alias("byte_offset"), e["byte_length"].alias("byte_length"),
+        F.substring(content, (e["part_offset"] + 1).cast("int"), e["byte_length"]).alias("bytes"))))
+    sliced = entries.join(parts, "part", "left").select(F.inline(cut[0]))
+    # As a generator the decoded row is made once, not once for each of its fields.
+    decoded = F.inline(F.array(csv_decode(F.col("bytes").cast("string"))))
+    return sliced.select("title", "byte_offset", "byte_length", decoded.alias("slice_title", "slice_value"))
 
 
 def prefix_search(table: DataFrame, prefix: str, k: int) -> DataFrame:

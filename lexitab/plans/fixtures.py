@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexitab.functions.text import normalize
+from lexitab.functions.text import has_text, normalize
 from lexitab.operators.skew import salted_left_join
+from lexitab.session import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,27 +17,32 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T: one row per document, titled by its first two words."""
     words = F.substring_index("value", " ", 2)
     return (table(spark, sf_dir, "documents")
+            .filter(has_text("text"))
             .select(F.col("doc_id").alias("ord"), normalize("text").alias("value"))
-            .filter("value <> ''")
             .select(F.when(F.col("ord") % 2 == 0, F.lower(words)).otherwise(words).alias("title"),
                     "value", "ord"))
 
 
-def existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary(spark, sf_dir).filter("ord % 4 <> 0")
+def dictionary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T as a written table, for jobs that pass over it more than once: the text is cleaned one
+    time, and passes over titles do not read values."""
+    return materialise(dictionary(spark, sf_dir), "input")
 
 
-def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def existing(t: DataFrame) -> DataFrame:
+    return t.filter("ord % 4 <> 0")
+
+
+def changelog(t: DataFrame) -> DataFrame:
     revised = F.when(F.col("ord") % 8 == 1, F.concat("value", F.lit(" [rev2]"))).otherwise(F.col("value"))
-    return dictionary(spark, sf_dir).filter("ord % 4 = 0 or ord % 8 = 1").withColumn("value", revised)
+    return t.filter("ord % 4 = 0 or ord % 8 = 1").withColumn("value", revised)
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(t: DataFrame, events: DataFrame) -> DataFrame:
     """R: one lookup per event, for the title of the document its user number points at."""
-    events = table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("request_id"), "ts", F.col("user_id").alias("ord"))
-    titles = dictionary(spark, sf_dir).select("ord", "title")
-    asked = salted_left_join(events, titles, "ord", F.col("request_id"))
+    asked = salted_left_join(
+        events.select(F.col("event_id").alias("request_id"), "ts", F.col("user_id").alias("ord")),
+        t.select("ord", "title"), "ord", F.col("request_id"))
     miss = F.concat(F.lit("missing-"), F.col("request_id").cast("string"))
     key = F.when(F.col("request_id") % 10 == 0, miss).otherwise(F.coalesce("title", F.lit("missing-user")))
     return asked.select("request_id", "ts", key.alias("key"))

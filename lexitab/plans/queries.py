@@ -18,25 +18,35 @@ from lexitab.streaming.changelog import apply_changelogs
 PREFIX, TOP_K, PREFIX_LEN, SHARDS = "th", 20, 4, 16
 
 
-def _merged(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return merge.upsert(fixtures.existing(spark, sf_dir), fixtures.changelog(spark, sf_dir), **options)
+def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Existing rows, changelog and requests, from one written dictionary table."""
+    t = fixtures.dictionary_table(spark, sf_dir)
+    return (fixtures.existing(t), fixtures.changelog(t),
+            fixtures.requests(t, fixtures.table(spark, sf_dir, "events")))
 
 
-def _merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ordered upsert as a slim written table: its byte lengths, not its values."""
-    merged = _merged(spark, sf_dir, ordered=True)
-    return index.data_table(merged, lambda df: materialise(
-        df.select("title", "k", "status", "byte_length", "pid", "row", "part"), "merged"))
+def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    return merge.upsert(existing, changelog)
 
 
-def _existing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ordering.stable_sort(fixtures.existing(spark, sf_dir))
+def _slim_table(rows: DataFrame, *extra: str) -> DataFrame:
+    """Sorted rows as a written table that has their byte lengths in place of their values."""
     return index.data_table(rows, lambda df: materialise(
-        df.select("title", "k", "byte_length", "pid", "row", "part"), "existing"))
+        df.select("title", "k", "byte_length", "pid", "row", "part", *extra), "slim"))
+
+
+def _merged_table(existing: DataFrame, changelog: DataFrame) -> DataFrame:
+    return _slim_table(merge.upsert(existing, changelog, ordered=True), "status")
+
+
+def _existing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = fixtures.dictionary_table(spark, sf_dir)
+    return _slim_table(ordering.stable_sort(fixtures.existing(t)))
 
 
 def _dictionary_csv(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    rows = ordering.stable_sort(fixtures.dictionary(spark, sf_dir))
+    rows = ordering.stable_sort(fixtures.dictionary_table(spark, sf_dir))
     table = index.data_table(rows, lambda df: materialise(df, "dictionary"))
     path = scratch_path(spark, "csv")
     write_csv_parts(table, path)
@@ -45,7 +55,8 @@ def _dictionary_csv(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 def upsert_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: merge a changelog, sort, and index the result."""
-    return (index.build_index(_merged_table(spark, sf_dir), "status")
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    return (index.build_index(_merged_table(existing, changelog), "status")
             .select("title", "status", "byte_offset", "byte_length"))
 
 
@@ -100,11 +111,12 @@ def existing_untouched_rows(spark, sf_dir):
 
 
 def merge_stats(spark, sf_dir):
-    return merge.merge_stats(fixtures.existing(spark, sf_dir), fixtures.changelog(spark, sf_dir))
+    t = fixtures.dictionary(spark, sf_dir)
+    return merge.merge_stats(fixtures.existing(t), fixtures.changelog(t))
 
 
 def sorted_dictionary(spark, sf_dir):
-    return ordering.sorted_table(fixtures.dictionary(spark, sf_dir)).select("pos", "title", "value")
+    return ordering.sorted_table(fixtures.dictionary_table(spark, sf_dir)).select("pos", "title", "value")
 
 
 def dedupe_first(spark, sf_dir):
@@ -156,22 +168,24 @@ def capacity_estimate(spark, sf_dir):
 
 
 def hot_keys(spark, sf_dir):
-    return reports.hot_keys(fixtures.requests(spark, sf_dir), TOP_K)
+    return reports.hot_keys(_inputs(spark, sf_dir)[2], TOP_K)
 
 
 def batch_lookup(spark, sf_dir):
-    table = lookup.latest_values(_merged(spark, sf_dir))
-    return lookup.lookup(fixtures.requests(spark, sf_dir), table).select("request_id", "key", "found", "value")
+    existing, changelog, requests = _inputs(spark, sf_dir)
+    table = lookup.latest_values(merge.upsert(existing, changelog))
+    return lookup.lookup(requests, table).select("request_id", "key", "found", "value")
 
 
 def index_lookup(spark, sf_dir):
-    entries = index.last_wins(index.build_index(_merged_table(spark, sf_dir)))
-    return lookup.lookup(fixtures.requests(spark, sf_dir), entries).select(
-        "request_id", "key", "found", "byte_offset", "byte_length")
+    existing, changelog, requests = _inputs(spark, sf_dir)
+    entries = index.last_wins(index.build_index(_merged_table(existing, changelog)))
+    return lookup.lookup(requests, entries).select("request_id", "key", "found", "byte_offset", "byte_length")
 
 
 def lookup_misses(spark, sf_dir):
-    return lookup.misses(fixtures.requests(spark, sf_dir), _merged(spark, sf_dir))
+    existing, changelog, requests = _inputs(spark, sf_dir)
+    return lookup.misses(requests, merge.upsert(existing, changelog))
 
 
 def prefix_search(spark, sf_dir):
@@ -183,14 +197,20 @@ def prefix_index_topk(spark, sf_dir):
 
 
 def prefix_complete(spark, sf_dir):
-    asked = fixtures.requests(spark, sf_dir).select("request_id", F.substring("key", 1, 3).alias("prefix"))
-    prefixes = lookup.prefix_index(fixtures.dictionary(spark, sf_dir), PREFIX_LEN, 3)
-    return lookup.complete(asked, prefixes).select("request_id", "prefix", "rank", "title")
+    t = fixtures.dictionary_table(spark, sf_dir)
+    requests = fixtures.requests(t, fixtures.table(spark, sf_dir, "events"))
+    asked = requests.select("request_id", F.substring("key", 1, 3).alias("prefix"))
+    return (lookup.complete(asked, lookup.prefix_index(t, PREFIX_LEN, 3))
+            .select("request_id", "prefix", "rank", "title"))
 
 
 def _attempts(spark, sf_dir):
-    """Ten attempts for every document, and the number of documents."""
+    """Ten attempts for every document, and the number of documents.
+
+    Making titles is heavy for such slim rows, so they are spread over all cores first.
+    """
     docs = fixtures.table(spark, sf_dir, "documents").select("doc_id")
+    docs = docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     first = F.col("doc_id") * synthetic.ATTEMPTS_PER_ROW
     each = F.sequence(first, first + synthetic.ATTEMPTS_PER_ROW - 1)
     return docs.select(F.explode(each).alias("attempt")), docs.count()
@@ -212,32 +232,33 @@ def synth_checks(spark, sf_dir):
                          F.sum("short").alias("short_values"), F.sum("split").alias("split_values"))
 
 
+def _published(spark, sf_dir, **options) -> str:
+    """A root with a full build of E and a same-day incremental build with C."""
+    root, day = scratch_path(spark, "published"), datetime(2024, 5, 1)
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    build.full_build(spark, root, existing, now=day, csv=False)
+    build.incremental_build(spark, root, _as_csv_order(changelog), now=day, **options)
+    return root
+
+
 def published_dictionary(spark, sf_dir):
-    """Full build of E, incremental build with C, read back through the manifest."""
-    root = scratch_path(spark, "published")
-    day = datetime(2024, 5, 1)
-    build.full_build(spark, root, fixtures.existing(spark, sf_dir), now=day, csv=False)
-    build.incremental_build(spark, root, _as_csv_order(fixtures.changelog(spark, sf_dir)), now=day)
-    return (index.build_index(build.live_data(spark, root), "value")
+    """Both builds, read back through the manifest."""
+    return (index.build_index(build.live_data(spark, _published(spark, sf_dir)), "value")
             .select("title", "value", "byte_offset", "byte_length"))
 
 
 def published_index(spark, sf_dir):
-    """The index a same-day pair of builds leaves live."""
-    root = scratch_path(spark, "published")
-    day = datetime(2024, 5, 1)
-    build.full_build(spark, root, fixtures.existing(spark, sf_dir), now=day, csv=False)
-    build.incremental_build(spark, root, _as_csv_order(fixtures.changelog(spark, sf_dir)), now=day, csv=False)
-    return build.live_index(spark, root).select("title", "byte_offset", "byte_length")
+    return (build.live_index(spark, _published(spark, sf_dir, csv=False))
+            .select("title", "byte_offset", "byte_length"))
 
 
 def streamed_changelog(spark, sf_dir):
-    """The same upsert, with C arriving as a CSV file."""
+    """The same upsert, with C arriving as CSV files."""
     root, incoming = scratch_path(spark, "streamed"), scratch_path(spark, "incoming")
-    build.full_build(spark, root, fixtures.existing(spark, sf_dir), csv=False)
-    rows = fixtures.changelog(spark, sf_dir).select("title", "value")
-    rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
-                       ignoreTrailingWhiteSpace=False).csv(incoming)
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    build.full_build(spark, root, existing, csv=False)
+    changelog.select("title", "value").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(incoming)
     apply_changelogs(spark, root, incoming, csv=False).awaitTermination()
     return build.live_data(spark, root).select("title", "value")
 
