@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexitab.functions.text import csv_decode, row_bytes, without_line_end
 from lexitab.operators.ordering import bases, number_rows, with_positions
@@ -121,6 +121,15 @@ def index_lines(lines: DataFrame, header: bool = True) -> DataFrame:
     return placed.filter(keep).select("file_path", "title", "byte_offset", "byte_length")
 
 
+def line_counts(lines: DataFrame) -> DataFrame:
+    """How many physical lines give an entry and how many are skipped; no rows are moved."""
+    indexed = F.count_if(_gives_entry())
+    return lines.agg(
+        F.count(F.lit(1)).alias("total_lines"), indexed.alias("indexed_lines"),
+        (F.count(F.lit(1)) - indexed).alias("skipped_lines"),
+        F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).cast("long").alias("total_bytes"))
+
+
 def logical_offsets(index: DataFrame, lines: DataFrame) -> DataFrame:
     """Move offsets in headerless part files to the single file: header, then parts by name."""
     files = lines.select("file_path", "file_size").distinct()
@@ -128,10 +137,14 @@ def logical_offsets(index: DataFrame, lines: DataFrame) -> DataFrame:
         "title", (F.col("byte_offset") + F.col("base") + HEADER_BYTES).alias("byte_offset"), "byte_length")
 
 
-def _titles(lines: DataFrame) -> DataFrame:
-    """Lines reduced to their title; ``NULL`` marks a line that gives no entry."""
+def _gives_entry() -> Column:
+    """Lines that are UTF-8, not blank and free of a carriage return outside quotes."""
     body = without_line_end("value")
     stray_return = body.contains("\r") & F.regexp_replace(body, r'"[^"]*("|$)', "").contains("\r")
-    good = F.is_valid_utf8("value") & (body != "") & ~stray_return
+    return F.is_valid_utf8("value") & (body != "") & ~stray_return
+
+
+def _titles(lines: DataFrame) -> DataFrame:
+    """Lines reduced to their title; ``NULL`` marks a line that gives no entry."""
     return lines.select("file_path", "block_start", "line_id", "file_size", "_len",
-                        F.when(good, csv_decode("value")["title"]).alias("title"))
+                        F.when(_gives_entry(), csv_decode("value")["title"]).alias("title"))

@@ -33,10 +33,10 @@ def lookup(requests: DataFrame, table: DataFrame, *, spread: Column | None = Non
 def misses(requests: DataFrame, table: DataFrame) -> DataFrame:
     """Requested keys the table does not hold, with their request counts.
 
-    Requests are counted per key before the anti join, so a hot key is one row in it.
+    Both sides are reduced to one row per key before they meet.
     """
     asked = requests.groupBy("key").agg(F.count(F.lit(1)).alias("requests"))
-    return asked.join(table.select(F.col("title").alias("key")), "key", "left_anti")
+    return asked.join(table.select(F.col("title").alias("key")).distinct(), "key", "left_anti")
 
 
 def fetch_slices(spark: SparkSession, index: DataFrame, csv_path: str) -> DataFrame:

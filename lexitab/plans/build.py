@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexitab.functions.text import date_stamp, iso_stamp
 from lexitab.operators.index import PART_ROWS, build_index, data_table, index_validation, last_wins
 from lexitab.operators.merge import upsert
-from lexitab.operators.ordering import stable_sort
+from lexitab.operators.ordering import range_sort, stable_sort
 from lexitab.operators.skew import HOT_ROWS
-from lexitab.session import write_table
-from lexitab.sinks.files import exists, write_csv_header, write_csv_parts, write_index, write_manifest
+from lexitab.schema import DICT, HEADER_BYTES
+from lexitab.session import materialise, write_table
+from lexitab.sinks.files import exists, listed_bytes, write_csv_header, write_csv_parts, write_index, write_manifest
 from lexitab.sources.files import as_dictionary, read_data, read_dictionary, read_index, read_manifest
-from lexitab.sources.synthetic import generate
+from lexitab.sources.synthetic import FULL_TEMPLATES, generate
 
 MANIFEST_FILE = "manifest.json"
 DATA, CSV, INDEX = "data.parquet", "data.csv", "index.parquet"
@@ -34,6 +35,7 @@ class Version:
     rows: int
     index_entries: int
     data_bytes: int
+    index_bytes: int
     counters: dict[str, int] | None = None
 
 
@@ -80,9 +82,7 @@ def _verify(spark: SparkSession, home: str, version: str, *, csv: bool, strict:
     if entries != check.index_entries:
         raise RuntimeError(f"index of {version} has {entries} entries for {check.index_entries} titles")
     if csv and check.total_rows:
-        # Listing only: the content column is not read.
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(os.path.join(home, CSV))
-        written = files.agg(F.sum("length")).first()[0]
+        written = listed_bytes(spark, os.path.join(home, CSV), "*.txt")
         if written != size:
             raise RuntimeError(f"CSV parts of {version} hold {written} bytes, expected {size}")
     if check.difference:
@@ -92,7 +92,8 @@ def _verify(spark: SparkSession, home: str, version: str, *, csv: bool, strict:
             raise RuntimeError(message)
         warnings.warn(message, stacklevel=2)
     return Version(version, f"dict/{version}/{CSV}", f"dict/{version}/{INDEX}",
-                   check.total_rows, entries, size)
+                   check.total_rows, entries, size,
+                   listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"))
 
 
 def full_build(spark: SparkSession, root: str, source: DataFrame | None = None, *,
@@ -116,6 +117,21 @@ def full_build(spark: SparkSession, root: str, source: DataFrame | None = None,
     return made
 
 
+def generate_csv(spark: SparkSession, path: str, *, num_rows: int | None = None,
+                 target_gb: float | None = None, seed: int = 0, sort: bool = True,
+                 templates: list[str] = FULL_TEMPLATES, part_rows: int = PART_ROWS) -> dict[str, int]:
+    """Write a synthetic dictionary as a header and CSV parts below ``path``; report its size.
+
+    Unsorted rows keep the order they were drawn in.
+    """
+    rows = generate(spark, num_rows=num_rows, target_gb=target_gb, seed=seed, sort=False, templates=templates)
+    ordered = stable_sort(rows) if sort else range_sort(rows, ["ord"])
+    data = data_table(ordered.select(*DICT.names), lambda df: materialise(df, "generated"), part_rows)
+    write_csv_header(spark, os.path.join(path, "header.csv"))
+    write_csv_parts(data, os.path.join(path, CSV))
+    return {"rows": data.count(), "bytes": listed_bytes(spark, os.path.join(path, CSV), "*.txt") + HEADER_BYTES}
+
+
 def current_rows(spark: SparkSession, root: str, file_path: str) -> DataFrame:
     """Rows of a version as merge input: its data table, or a plain CSV made elsewhere."""
     path = os.path.join(root, file_path)

@@ -54,7 +54,6 @@ FROM {name} GROUP BY title"""
 
 
 _MERGE_INDEX = _MERGE + _index("mi", "m", "k, rn")
-_E_INDEX = _MERGE + _index("ei", "e", "k, ord")
 _T_INDEX = _T + _index("ti", "t", "lower(title), ord")
 
 _R = """,
@@ -104,16 +103,20 @@ SELECT ord, title, value FROM (
   SELECT *, row_number() OVER (ORDER BY ord) AS n
   FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY ord) AS seen FROM t) WHERE seen = 1)
 WHERE n <= (SELECT count(*) // 2 FROM documents)""",
-    "build_index": f"WITH {_E_INDEX} SELECT title, byte_offset, byte_length FROM ei",
-    "index_last_wins": f"WITH {_E_INDEX} {_last('ei')}",
+    "build_index": f"WITH {_T_INDEX} SELECT title, byte_offset, byte_length FROM ti",
+    "index_last_wins": f"WITH {_T_INDEX} {_last('ti')}",
     "index_validation": f"""WITH {_MERGE}
 SELECT count(DISTINCT title) AS index_entries, count(*) AS total_rows, count(*) - count(DISTINCT title) AS difference FROM m""",
     "index_from_lines": f"WITH {_T_INDEX} {_last('ti')}",
+    "line_counts": f"""WITH l AS (
+  SELECT unnest(string_split(({_field('source')}) || ',' || ({_field('text')}) || chr(13), chr(10))) AS line FROM documents)
+SELECT count(*) AS total_lines, count(*) FILTER (rtrim(line, chr(13)) <> '') AS indexed_lines,
+  count(*) FILTER (rtrim(line, chr(13)) = '') AS skipped_lines, CAST(sum(octet_length(encode(line)) + 1) AS BIGINT) AS total_bytes FROM l""",
     "index_slice_audit": f"""WITH {_T_INDEX}
 SELECT title, byte_offset, byte_length, title AS slice_title, value AS slice_value FROM ti""",
-    "index_shards": f"""WITH {_MERGE}
-SELECT CAST(pos * {SHARDS} // (SELECT count(*) FROM e) AS INTEGER) AS shard, count(*) AS entries, min(k) AS min_key, max(k) AS max_key
-FROM (SELECT k, row_number() OVER (ORDER BY k, ord) - 1 AS pos FROM e) GROUP BY shard""",
+    "index_shards": f"""WITH {_T}
+SELECT CAST(pos * {SHARDS} // (SELECT count(*) FROM t) AS INTEGER) AS shard, count(*) AS entries, min(k) AS min_key, max(k) AS max_key
+FROM (SELECT lower(title) AS k, row_number() OVER (ORDER BY lower(title), ord) - 1 AS pos FROM t) GROUP BY shard""",
     "size_report": f"""WITH {_T}
 SELECT *, data_bytes / 1048576.0::DOUBLE AS data_mb, data_bytes / 1073741824.0::DOUBLE AS data_gb
 FROM (SELECT count(*) AS total_rows, CAST(sum({_bytes()}) + 13 AS BIGINT) AS data_bytes,

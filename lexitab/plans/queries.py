@@ -40,9 +40,8 @@ def _merged_table(existing: DataFrame, changelog: DataFrame) -> DataFrame:
     return _slim_table(merge.upsert(existing, changelog, ordered=True), "status")
 
 
-def _existing_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.dictionary_table(spark, sf_dir)
-    return _slim_table(ordering.stable_sort(fixtures.existing(t)))
+def _dictionary_slim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _slim_table(ordering.stable_sort(fixtures.dictionary_table(spark, sf_dir)))
 
 
 def _dictionary_csv(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
@@ -131,12 +130,12 @@ def unique_limit(spark, sf_dir):
 
 
 def build_index(spark, sf_dir):
-    return (index.build_index(_existing_table(spark, sf_dir))
+    return (index.build_index(_dictionary_slim(spark, sf_dir))
             .select("title", "byte_offset", "byte_length"))
 
 
 def index_last_wins(spark, sf_dir):
-    return (index.last_wins(index.build_index(_existing_table(spark, sf_dir)))
+    return (index.last_wins(index.build_index(_dictionary_slim(spark, sf_dir)))
             .select("title", "byte_offset", "byte_length"))
 
 
@@ -150,13 +149,21 @@ def index_from_lines(spark, sf_dir):
     return index.last_wins(index.logical_offsets(index.index_lines(lines, header=False), lines))
 
 
+def line_counts(spark, sf_dir):
+    """Physical lines of a CSV of raw texts: continuation lines count, blank ones are skipped."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "raw")
+    docs.select(text.csv_line("source", "text").alias("line")).write.option("lineSep", "\r\n").text(path)
+    return index.line_counts(read_lines(spark, path))
+
+
 def index_slice_audit(spark, sf_dir):
     table, path = _dictionary_csv(spark, sf_dir)
     return lookup.fetch_slices(spark, index.build_index(table), path)
 
 
 def index_shards(spark, sf_dir):
-    return index.index_shards(_existing_table(spark, sf_dir), SHARDS)
+    return index.index_shards(_dictionary_slim(spark, sf_dir), SHARDS)
 
 
 def size_report(spark, sf_dir):
@@ -273,7 +280,7 @@ QUERIES = {f.__name__: f for f in (
     upsert_index, dict_scan, csv_round_trip, title_fold, title_case, normalize_text, row_bytes,
     version_stamp, upsert_merge, changelog_new_rows, changelog_updates, existing_untouched_rows,
     merge_stats, sorted_dictionary, dedupe_first, unique_limit, build_index, index_last_wins,
-    index_validation, index_from_lines, index_slice_audit, index_shards, size_report,
+    index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_checks, published_dictionary,
     published_index, streamed_changelog,

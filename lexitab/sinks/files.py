@@ -8,7 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import csv_line
+from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.schema import HEADER, MANIFEST
+from lexitab.session import materialise
+
+JSON_PART_ENTRIES = 1_000_000
 
 
 def write_csv_parts(dictionary: DataFrame, path: str) -> None:
@@ -18,11 +22,15 @@ def write_csv_parts(dictionary: DataFrame, path: str) -> None:
     header, so their offsets start at zero.  ``DataFrameWriter.csv`` is not used: it trims
     blanks and writes empty strings differently.
     """
-    name = F.format_string("p%012d", "part")
-    (dictionary.select("row", csv_line().alias("line"), name.alias("part_file"))
+    _write_parts(dictionary.select("part", "row", csv_line().alias("line")), path, "\r\n")
+
+
+def _write_parts(lines: DataFrame, path: str, line_end: str) -> None:
+    """One text file per part: all lines of a part meet in one task, in order."""
+    (lines.withColumn("part_file", F.format_string("p%012d", "part"))
      .repartition("part_file").sortWithinPartitions("part_file", "row")
      .select("line", "part_file")
-     .write.mode("errorifexists").partitionBy("part_file").option("lineSep", "\r\n").text(path))
+     .write.mode("errorifexists").partitionBy("part_file").option("lineSep", line_end).text(path))
 
 
 def write_csv_header(spark: SparkSession, path: str) -> None:
@@ -35,9 +43,28 @@ def write_index(index: DataFrame, path: str) -> None:
 
 
 def write_index_json(index: DataFrame, path: str) -> None:
-    """The index as JSON lines ``{"title", "offset", "length"}``, for readers without Parquet."""
-    (index.select("title", F.col("byte_offset").alias("offset"), F.col("byte_length").alias("length"))
-     .write.mode("errorifexists").json(path))
+    """The index as one JSON object ``{title: {"offset", "length"}}``, cut into parts.
+
+    Parts in name order are the object, with entries by offset; each entry is written by itself,
+    so no task holds the object.
+    """
+    ordered = range_sort(index.select("title", "byte_offset", "byte_length"), ["byte_offset"])
+    placed = with_positions(materialise(number_rows(ordered), "json"))
+    last = index.count() - 1
+    quoted = F.to_json(F.struct(F.col("title").alias("t")))
+    quoted = F.substring(quoted, F.lit(6), F.length(quoted) - 6)
+    entry = F.concat(
+        F.when(F.col("pos") == 0, "{\n").otherwise(""), F.lit("  "), quoted,
+        F.format_string(': {\n    "offset": %d,\n    "length": %d\n  }', "byte_offset", "byte_length"),
+        F.when(F.col("pos") == last, "\n}").otherwise(","))
+    part = F.floor(F.col("pos") / JSON_PART_ENTRIES)
+    _write_parts(placed.select(part.alias("part"), F.col("pos").alias("row"), entry.alias("line")), path, "\n")
+
+
+def listed_bytes(spark: SparkSession, path: str, pattern: str) -> int:
+    """Size of the files below ``path``, from the listing alone."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -44,6 +44,15 @@ def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None
     return None
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
+
+
+def type_difference(spark_types: list[tuple[str, str]], description) -> str | None:
+    left = {name: SQL_TYPES.get(kind, kind) for name, kind in spark_types}
+    right = {column[0]: str(column[1]) for column in description}
+    return None if left == right else f"types {left} / {right}"
+
+
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from lexitab.session import local_session
@@ -57,7 +66,6 @@ def main() -> int:
     for name in names:
         start = time.time()
         frame = queries()[name](spark, sf_dir)
-        types = dict(frame.dtypes)
         result = frame.toPandas()
         took = time.time() - start
         sql = oracle_sql().get(name)
@@ -65,11 +73,9 @@ def main() -> int:
             print(f"{name:26} rows only {len(result):8} {took:6.2f}s")
             continue
         twin = con.execute(sql)
-        sql_types = {c[0]: str(c[1]) for c in twin.description}
-        problem = difference(result, twin.fetch_df())
+        problem = type_difference(frame.dtypes, twin.description) or difference(result, twin.fetch_df())
         bad += problem is not None
-        print(f"{name:26} {'ok' if problem is None else problem} {len(result):8} {took:6.2f}s"
-              + ("" if problem is None else f"\n   {types}\n   {sql_types}"), flush=True)
+        print(f"{name:26} {problem or 'ok'} {len(result):8} {took:6.2f}s", flush=True)
     return bad
 
 

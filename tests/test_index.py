@@ -1,15 +1,16 @@
 import csv
 import glob
 import io
+import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import models
 from lexitab.operators import index, lookup, ordering
 from lexitab.session import materialise, scratch_path
-from lexitab.sinks.files import write_csv_parts, write_index_json
+from lexitab.sinks import files
+from lexitab.sinks.files import write_csv_parts
 from lexitab.sources.files import read_dictionary, read_lines
 
 PAIRS = [("b,c", "x\ny"), ('a"b', ""), (" a", '"q"'), ("", "empty title"), ("é", "日本, 😀"), ("É", "two\r\nlines"),
@@ -65,10 +66,15 @@ def test_shards_are_contiguous_and_even(rows):
     assert all(a.max_key < b.min_key for a, b in zip(got, got[1:]))
 
 
-def test_index_json_lines(spark, rows):
+def test_index_json_is_one_object(spark, rows, monkeypatch):
+    monkeypatch.setattr(files, "JSON_PART_ENTRIES", 4)
+    entries = index.last_wins(index.build_index(table(rows(PAIRS + [("tab\tback\\", "v")]))))
     path = scratch_path(spark, "json")
-    write_index_json(index.last_wins(index.build_index(table(rows(PAIRS)))), path)
-    assert spark.read.json(path).count() == 9
+    files.write_index_json(entries, path)
+    want = {r.title: {"offset": r.byte_offset, "length": r.byte_length}
+            for r in entries.orderBy("byte_offset").collect()}
+    assert len(glob.glob(f"{path}/part_file=*")) > 1
+    assert part_bytes(path).decode() == json.dumps(want, ensure_ascii=False, indent=2) + "\n"
 
 
 def lines_model(data: bytes, header=True):
@@ -105,8 +111,13 @@ LINES = {
 def test_index_of_physical_lines(spark, tmp_path, name):
     path = tmp_path / "data.csv"
     path.write_bytes(LINES[name])
-    got = index.index_lines(read_lines(spark, str(path))).orderBy("byte_offset").collect()
-    assert [(r.title, r.byte_offset, r.byte_length) for r in got] == lines_model(LINES[name])
+    lines = read_lines(spark, str(path))
+    got = index.index_lines(lines).orderBy("byte_offset").collect()
+    want = lines_model(LINES[name])
+    assert [(r.title, r.byte_offset, r.byte_length) for r in got] == want
+    counts = index.line_counts(lines).first()
+    assert (counts.total_lines, counts.indexed_lines) == (LINES[name].rstrip(b"\n").count(b"\n") + 1
+            + (LINES[name].endswith(b"\n\n")), len(want) + 1)
 
 
 def test_index_of_a_file_read_in_splits(spark, tmp_path):

@@ -14,10 +14,13 @@ def duck():
 @pytest.mark.filterwarnings("ignore:index size mismatch")
 @pytest.mark.parametrize("name", queries())
 def test_query_equals_its_sql(spark, duck, name):
-    got = queries()[name](spark, SF).toPandas()
+    frame = queries()[name](spark, SF)
+    got = frame.toPandas()
     assert len(got) > 0
     if name in oracle_sql():
-        assert oracle_check.difference(got, duck.execute(oracle_sql()[name]).fetch_df()) is None
+        twin = duck.execute(oracle_sql()[name])
+        assert oracle_check.type_difference(frame.dtypes, twin.description) is None
+        assert oracle_check.difference(got, twin.fetch_df()) is None
 
 
 def test_every_sql_has_a_query():

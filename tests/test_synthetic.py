@@ -1,3 +1,7 @@
+import csv
+import glob
+import io
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +73,19 @@ def test_size_or_rows(spark):
     assert rows.count() == 30 and "k" not in rows.columns
 
 
+@pytest.mark.parametrize("sort", [True, False])
+def test_generated_csv(spark, tmp_path, sort):
+    made = build.generate_csv(spark, str(tmp_path), num_rows=25, seed=4, sort=sort, part_rows=10)
+    parts = sorted(glob.glob(f"{tmp_path}/data.csv/part_file=*/*.txt"))
+    data = b"".join(open(f, "rb").read() for f in [f"{tmp_path}/header.csv", *parts])
+    assert made == {"rows": 25, "bytes": len(data)}
+    got = list(csv.DictReader(io.StringIO(data.decode(), newline="")))
+    drawn = {r.title: r.ord for r in synthetic.generate(spark, num_rows=25, seed=4, sort=False).collect()}
+    key = (lambda t: t.lower()) if sort else drawn.get
+    titles = [r["title"] for r in got]
+    assert titles == sorted(drawn, key=key)
+
+
 def test_full_build_defaults_to_synthetic_rows(spark, tmp_path):
     made = build.full_build(spark, str(tmp_path), target_gb=20 * 8030 / 1024 ** 3, seed=2)
     assert made.rows == made.index_entries == 20 and made.data_bytes > 20 * 5000
