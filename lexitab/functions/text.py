@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lexitab.schema import DICT
-
 # The character classes of the CSV dialect and of whitespace.
 NEEDS_QUOTES = r'[,"\r\n]'
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -69,12 +67,20 @@ def without_line_end(line: Column | str) -> Column:
     return F.rtrim(_col(line), F.lit(LINE_END))
 
 
+def _parsed(line: Column | str) -> Column:
+    return F.from_csv(without_line_end(line), "title string, value string", {"escape": '"', "multiLine": "true"})
+
+
+def csv_title(line: Column | str) -> Column:
+    """The title of one CSV record; Spark then parses no further than it has to."""
+    return F.coalesce(_parsed(line)["title"], F.lit(""))
+
+
 def csv_decode(line: Column | str) -> Column:
-    """Struct ``(title, value)`` of one CSV record; its line end may still be attached."""
-    row = F.from_csv(without_line_end(line), DICT.simpleString()[len("struct<"):-1].replace(":", " "),
-                     {"escape": '"', "multiLine": "true"})
-    return F.struct(F.coalesce(row["title"], F.lit("")).alias("title"),
-                    F.coalesce(row["value"], F.lit("")).alias("value"))
+    """Struct ``(title, value)`` of one CSV record, parsed once; its line end may be attached."""
+    return F.transform(F.array(_parsed(line)), lambda row: F.struct(
+        F.coalesce(row["title"], F.lit("")).alias("title"),
+        F.coalesce(row["value"], F.lit("")).alias("value")))[0]
 
 
 def date_stamp(ts: Column | str) -> Column:

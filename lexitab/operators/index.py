@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexitab.functions.text import csv_decode, row_bytes, without_line_end
+from lexitab.functions.text import csv_title, row_bytes, without_line_end
 from lexitab.operators.ordering import bases, number_rows, with_positions
 from lexitab.schema import HEADER_BYTES
 
@@ -20,6 +20,11 @@ PART_ROWS = 16_384
 PARTS_PER_PID = 100_000
 
 
+def part_name(part: Column | str) -> Column:
+    """Folder name of a part; names sort as the parts do."""
+    return F.format_string("p%012d", part)
+
+
 def data_table(ordered_rows: DataFrame, write: Callable[[DataFrame], DataFrame],
                part_rows: int = PART_ROWS) -> DataFrame:
     """Add byte lengths, places and parts to range-sorted rows and pass them to ``write``."""
@@ -147,4 +152,4 @@ def _gives_entry() -> Column:
 def _titles(lines: DataFrame) -> DataFrame:
     """Lines reduced to their title; ``NULL`` marks a line that gives no entry."""
     return lines.select("file_path", "block_start", "line_id", "file_size", "_len",
-                        F.when(_gives_entry(), csv_decode("value")["title"]).alias("title"))
+                        F.when(_gives_entry(), csv_title("value")).alias("title"))

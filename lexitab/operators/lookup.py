@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lexitab.functions.text import csv_decode
+from lexitab.operators.index import part_name
 from lexitab.operators.skew import HOT_ROWS, salted_left_join
 
+# Up to this many parts are named in the plan, so that others are not read.
+MAX_NAMED_PARTS = 1_000
+
 
 def latest_values(merged: DataFrame) -> DataFrame:
     """One row per exact title of a merged table: the last in its output order.
@@ -43,17 +47,22 @@ def fetch_slices(spark: SparkSession, index: DataFrame, csv_path: str) -> DataFr
     """Read ``[part_offset, part_offset + byte_length)`` of each entry's part and decode it.
 
     Entries are gathered per part, and a part holds at most ``index.PART_ROWS`` rows, so every
-    file is read once and meets one bounded list.
+    file is read once and meets one bounded list.  The lists are the hashed side of the join,
+    so the contents stream by unsorted.  Entries of few parts read those parts only.
     """
-    entries = index.groupBy("part").agg(F.collect_list(F.struct(
+    entries = index.groupBy(part_name("part").alias("part_file")).agg(F.collect_list(F.struct(
         "title", "byte_offset", "part_offset", "byte_length")).alias("entries"))
     parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(csv_path)
-             .select(F.substring("part_file", 2, 12).cast("long").alias("part"), "content"))
+             .select("part_file", "content"))
+    names = [r.part_file for r in index.select(part_name("part").alias("part_file")).distinct()
+             .limit(MAX_NAMED_PARTS + 1).collect()]
+    if len(names) <= MAX_NAMED_PARTS:
+        parts = parts.filter(F.col("part_file").isin(names))
     # The content goes in as a lambda variable: a column would be copied whole for every entry.
     cut = F.transform(F.array("content"), lambda content: F.transform("entries", lambda e: F.struct(
         e["title"].alias("title"), e["byte_offset"].alias("byte_offset"), e["byte_length"].alias("byte_length"),
         F.substring(content, (e["part_offset"] + 1).cast("int"), e["byte_length"]).alias("bytes"))))
-    sliced = entries.join(parts, "part", "left").select(F.inline(cut[0]))
+    sliced = entries.hint("shuffle_hash").join(parts, "part_file", "left").select(F.inline(cut[0]))
     # As a generator the decoded row is made once, not once for each of its fields.
     decoded = F.inline(F.array(csv_decode(F.col("bytes").cast("string"))))
     return sliced.select("title", "byte_offset", "byte_length", decoded.alias("slice_title", "slice_value"))

@@ -61,11 +61,13 @@ def upsert(existing: DataFrame, changelog: DataFrame, *, ordered: bool = False,
     slim count of ``k``.
     """
     rows = _tagged(existing, changelog)
-    hot = materialise(largest(_side_counts(rows), "k", F.col("n_c") + F.col("n_e"), hot_rows), "hotkeys")
-    has_hot = not hot.isEmpty()
+    # At most skew.MAX_HOT_KEYS rows, usually none.
+    hot = largest(_side_counts(rows), "k", F.col("n_c") + F.col("n_e"), hot_rows)
+    found = hot.collect()
+    has_hot = bool(found)
     group = ["k"]
     if has_hot:
-        # At most skew.MAX_HOT_KEYS rows.
+        hot = rows.sparkSession.createDataFrame(found, hot.schema)
         rows = rows.join(F.broadcast(_hot_cutoffs(rows, hot)), "k", "left")
         rows = (rows.withColumn("hot", F.coalesce("hot", F.lit(False)))
                 .withColumn("_side", F.when(F.col("hot"), F.col("side")))

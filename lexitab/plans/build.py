@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import date_stamp, iso_stamp
-from lexitab.operators.index import PART_ROWS, build_index, data_table, index_validation, last_wins
+from lexitab.operators.index import PART_ROWS, build_index, data_table, last_wins
 from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
 from lexitab.operators.skew import HOT_ROWS
@@ -76,23 +76,22 @@ def _publish(spark: SparkSession, root: str, version: str, ordered: DataFrame, *
 
 def _verify(spark: SparkSession, home: str, version: str, *, csv: bool, strict: bool) -> Version:
     data = read_data(spark, os.path.join(home, DATA))
-    check = index_validation(data).first()
-    entries = read_index(spark, os.path.join(home, INDEX)).count()
-    size = data.agg(F.coalesce(F.sum("byte_length"), F.lit(0))).first()[0]
-    if entries != check.index_entries:
-        raise RuntimeError(f"index of {version} has {entries} entries for {check.index_entries} titles")
-    if csv and check.total_rows:
+    rows, size = data.agg(F.count(F.lit(1)), F.coalesce(F.sum("byte_length"), F.lit(0))).first()
+    end = F.coalesce(F.max(F.col("byte_offset") + F.col("byte_length")), F.lit(HEADER_BYTES))
+    entries, index_end = read_index(spark, os.path.join(home, INDEX)).agg(F.count(F.lit(1)), end).first()
+    if index_end != size + HEADER_BYTES:
+        raise RuntimeError(f"index of {version} ends at byte {index_end}, its data at {size + HEADER_BYTES}")
+    if csv and rows:
         written = listed_bytes(spark, os.path.join(home, CSV), "*.txt")
         if written != size:
             raise RuntimeError(f"CSV parts of {version} hold {written} bytes, expected {size}")
-    if check.difference:
-        message = (f"index size mismatch in {version}: {check.index_entries} entries, "
-                   f"{check.total_rows} rows, difference {check.difference}")
+    if entries != rows:
+        message = (f"index size mismatch in {version}: {entries} entries, {rows} rows, "
+                   f"difference {rows - entries}")
         if strict:
             raise RuntimeError(message)
         warnings.warn(message, stacklevel=2)
-    return Version(version, f"dict/{version}/{CSV}", f"dict/{version}/{INDEX}",
-                   check.total_rows, entries, size,
+    return Version(version, f"dict/{version}/{CSV}", f"dict/{version}/{INDEX}", rows, entries, size,
                    listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"))
 
 

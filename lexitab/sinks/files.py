@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import csv_line
+from lexitab.operators.index import part_name
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.schema import HEADER, MANIFEST
 from lexitab.session import materialise
@@ -27,7 +28,7 @@ def write_csv_parts(dictionary: DataFrame, path: str) -> None:
 
 def _write_parts(lines: DataFrame, path: str, line_end: str) -> None:
     """One text file per part: all lines of a part meet in one task, in order."""
-    (lines.withColumn("part_file", F.format_string("p%012d", "part"))
+    (lines.withColumn("part_file", part_name("part"))
      .repartition("part_file").sortWithinPartitions("part_file", "row")
      .select("line", "part_file")
      .write.mode("errorifexists").partitionBy("part_file").option("lineSep", line_end).text(path))

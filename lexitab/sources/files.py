@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from lexitab.operators.index import part_name
 from lexitab.schema import DICT, MANIFEST
 
 
@@ -64,7 +65,7 @@ def read_data(spark: SparkSession, path: str) -> DataFrame:
 def as_dictionary(data: DataFrame) -> DataFrame:
     """A published table as merge input; ``ord`` has the type that CSV input has."""
     return data.select("title", "value", F.struct(
-        F.format_string("p%012d", "part").alias("file"), F.lit(0).cast("long").alias("block"),
+        part_name("part").alias("file"), F.lit(0).cast("long").alias("block"),
         F.col("row")).alias("ord"))
 
 

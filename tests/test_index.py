@@ -3,6 +3,7 @@ import glob
 import io
 import json
 import random
+import re
 
 import pytest
 
@@ -48,6 +49,16 @@ def test_slices_decode_to_their_rows(spark, rows):
     assert all(r.title == r.slice_title for r in got)
 
 
+def test_a_few_slices_read_only_their_parts(spark, rows):
+    data = table(rows(PAIRS), 4, 1)
+    path = scratch_path(spark, "csv")
+    write_csv_parts(data, path)
+    got = lookup.fetch_slices(spark, index.build_index(data).filter("title = 'é'"), path)
+    assert [(r.slice_title, r.slice_value) for r in got.collect()] == [("é", "日本, 😀")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*part_file", plan)
+
+
 def test_last_wins_and_validation(spark, rows):
     data = table(rows(PAIRS))
     entries = index.build_index(data)
