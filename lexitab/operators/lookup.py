@@ -68,6 +68,18 @@ def fetch_slices(spark: SparkSession, index: DataFrame, csv_path: str) -> DataFr
     return sliced.select("title", "byte_offset", "byte_length", decoded.alias("slice_title", "slice_value"))
 
 
+def read_values(spark: SparkSession, requests: DataFrame, index: DataFrame, csv_path: str,
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The whole read path in batch: key, index entry, byte range, value.
+
+    Each requested title is fetched once, however often it is asked for.
+    """
+    asked = requests.select(F.col("key").alias("title")).distinct()
+    entries = index.join(asked, "title", "left_semi")
+    values = fetch_slices(spark, entries, csv_path).select("title", F.col("slice_value").alias("value"))
+    return lookup(requests, values, hot_rows=hot_rows)
+
+
 def prefix_search(table: DataFrame, prefix: str, k: int) -> DataFrame:
     """The first ``k`` titles that start with ``prefix``, ignoring case.
 

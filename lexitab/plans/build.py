@@ -205,3 +205,8 @@ def live_data(spark: SparkSession, root: str) -> DataFrame:
 
 def live_index(spark: SparkSession, root: str) -> DataFrame:
     return read_index(spark, os.path.join(root, load_manifest(spark, root)["index_file_path"]))
+
+
+def live_csv(spark: SparkSession, root: str) -> str:
+    """Path of the live version's CSV parts."""
+    return os.path.join(root, load_manifest(spark, root)["file_path"])

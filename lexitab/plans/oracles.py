@@ -145,3 +145,4 @@ SELECT request_id, lower(left(key, 3)) AS prefix, rank, title FROM r LEFT JOIN p
     "published_index": f"WITH {_MERGE_INDEX} {_last('mi')}",
     "streamed_changelog": f"WITH {_MERGE} SELECT title, value FROM m",
 }
+ORACLES["range_lookup"] = ORACLES["batch_lookup"]

@@ -259,6 +259,14 @@ def published_index(spark, sf_dir):
             .select("title", "byte_offset", "byte_length"))
 
 
+def range_lookup(spark, sf_dir):
+    """The requests again, answered from byte ranges of the published CSV parts."""
+    root = _published(spark, sf_dir)
+    requests = _inputs(spark, sf_dir)[2]
+    return (lookup.read_values(spark, requests, build.live_index(spark, root), build.live_csv(spark, root))
+            .select("request_id", "key", "found", "value"))
+
+
 def streamed_changelog(spark, sf_dir):
     """The same upsert, with C arriving as CSV files."""
     root, incoming = scratch_path(spark, "streamed"), scratch_path(spark, "incoming")
@@ -283,5 +291,5 @@ QUERIES = {f.__name__: f for f in (
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_checks, published_dictionary,
-    published_index, streamed_changelog,
+    published_index, range_lookup, streamed_changelog,
 )}

@@ -36,19 +36,17 @@ def scratch_root(spark: SparkSession) -> str:
     It is the session's ``spark.checkpoint.dir``.  A temporary folder stands in only on a
     local master, where driver and executors are one process.
     """
-    sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_KEY, None)
-    if root is None:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        if not sc.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="lexitab-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    if not sc.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexitab-"))
+    return scratch_root(spark)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

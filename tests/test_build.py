@@ -7,6 +7,7 @@ import random
 import pytest
 
 import models
+from lexitab.operators import lookup
 from lexitab.plans import build
 from lexitab.sinks.files import write_manifest
 from lexitab.sources.files import read_manifest
@@ -68,6 +69,13 @@ def test_full_then_incremental(spark, root, rows):
     assert entries == {t: p for (t, _), p in zip(want, places)}
 
 
+def test_values_by_byte_range(spark, root, rows):
+    build.full_build(spark, root, rows(E), now=DAY, part_rows=1)
+    asked = spark.createDataFrame([(1, "b,c"), (2, "Apple"), (3, "b,c"), (4, "none")], "request_id long, key string")
+    got = lookup.read_values(spark, asked, build.live_index(spark, root), build.live_csv(spark, root), hot_rows=1)
+    assert {r.request_id: r.value for r in got.collect()} == {1: "line\nbreak", 2: "e1", 3: "line\nbreak", 4: None}
+
+
 def test_same_day_build_loses_nothing_and_keeps_the_old_version(spark, root, rows):
     build.full_build(spark, root, rows(E), now=DAY)
     before = file_bytes(root, manifest_of(root))
