@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -152,18 +153,28 @@ CAPITAL_WORDS = " ".join(word.capitalize() for word in WORDS.split(" "))
 
 
 class _Draw:
-    """Repeatable draws for one row: every draw is a hash of the row's attempt, seed and a tag."""
+    """Repeatable draws for one row: every draw is a hash of the row's key and a tag.
 
-    def __init__(self, seed: int, *path: Column):
-        self.seed, self.path = seed, path
+    The key is a hash of seed and attempt; ``each`` gives every element of a sequence a key of
+    its own, made once per element.
+    """
+
+    def __init__(self, key: Column):
+        self.key = key
+
+    @classmethod
+    def of(cls, seed: int, *path: Column) -> "_Draw":
+        return cls(F.xxhash64(F.lit(seed), *path))
 
-    def at(self, *path: Column) -> "_Draw":
-        return _Draw(self.seed, *self.path, *path)
+    def each(self, low: int, high: Column, text: Callable[["_Draw"], Column]) -> Column:
+        """An array of ``text`` for ``low..high``."""
+        keys = F.transform(F.sequence(F.lit(low), high), lambda i: F.xxhash64(self.key, i))
+        return F.transform(keys, lambda key: text(_Draw(key)))
 
     def number(self, tag: int, low: int | Column, high: int | Column) -> Column:
         """Uniform in ``low..high``."""
         low, high = (F.lit(x) if isinstance(x, int) else x for x in (low, high))
-        drawn = F.xxhash64(F.lit(self.seed), F.lit(tag), *self.path)
+        drawn = F.xxhash64(self.key, F.lit(tag))
         return (F.pmod(drawn, (high - low + 1).cast("long")) + low).cast("int")
 
     def pick(self, tag: int, words: str, separator: str = " ") -> Column:
@@ -175,22 +186,24 @@ class _Draw:
     def word(self, tag: int = 0) -> Column:
         return self.pick(tag, WORDS)
 
-    def words(self, tag: int, count: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), count), lambda j: self.at(j).word(tag))
-        return F.concat_ws(" ", each)
+    def words(self, tag: int, low: int, high: Column) -> Column:
+        """Words number ``low`` to ``high``: one hash each."""
+        size = WORDS.count(" ") + 1
+        options = F.split(F.lit(WORDS), " ")
+        drawn = F.transform(F.sequence(F.lit(low), high), lambda j: F.element_at(
+            options, (F.pmod(F.xxhash64(self.key, F.lit(tag), j), F.lit(size)) + 1).cast("int")))
+        return F.concat_ws(" ", drawn)
 
     def sentence(self, tag: int, words: int | Column) -> Column:
         """About ``words`` words: between 60 and 140 per cent, and at least four."""
         words = F.lit(words) if isinstance(words, int) else words
         low = F.greatest(F.lit(4), F.floor(words * 0.6).cast("int"))
         high = F.greatest(low, F.floor(words * 1.4).cast("int"))
-        later = F.sequence(F.lit(2), self.number(tag + 1, low, high))
         return F.concat(self.pick(tag, CAPITAL_WORDS), F.lit(" "),
-                        F.concat_ws(" ", F.transform(later, lambda j: self.at(j).word(tag))), F.lit("."))
+                        self.words(tag, 2, self.number(tag + 1, low, high)), F.lit("."))
 
     def sentences(self, tag: int, count: Column, words: int) -> Column:
-        each = F.transform(F.sequence(F.lit(1), count), lambda s: self.at(s).sentence(tag, words))
-        return F.concat_ws(" ", each)
+        return F.concat_ws(" ", self.each(1, count, lambda draw: draw.sentence(tag, words)))
 
 
 def _token(token: Column, draw: _Draw) -> Column:
@@ -199,10 +212,10 @@ def _token(token: Column, draw: _Draw) -> Column:
     other_last = F.concat(draw.pick(12, CAPITAL_WORDS), draw.pick(13, LAST_END))
     repeats = F.split(F.regexp_extract(token, r":(\d+-\d+)", 1), "-")
     count = draw.number(20, repeats[0].cast("int"), repeats[1].cast("int"))
-    initials = F.transform(F.sequence(F.lit(1), count), lambda j: F.upper(F.substring(draw.at(j).word(), 1, 1)))
+    initials = draw.each(1, count, lambda each: F.upper(F.substring(each.word(), 1, 1)))
     options = F.split(F.regexp_replace(token, "[{}]", ""), r"\|")
     choice = F.element_at(options, draw.number(21, F.lit(1), F.size(options)))
-    plain = draw.words(0, count)
+    plain = draw.words(0, 1, count)
     texts = {
         "{word}": draw.word(),
         "{Word}": draw.pick(0, CAPITAL_WORDS),
@@ -231,10 +244,10 @@ def _token(token: Column, draw: _Draw) -> Column:
 
 def title(attempt: Column, seed: int, templates: list[str] = FULL_TEMPLATES) -> Column:
     """One of the templates, each equally likely, filled in."""
-    draw = _Draw(seed, attempt)
+    draw = _Draw.of(seed, attempt)
     tokens = "\n".join("\t".join(t for t in re.split(r"(\{[^}]*\})", line) if t) for line in templates)
     template = F.split(F.element_at(F.split(F.lit(tokens), "\n"), draw.number(100, 1, len(templates))), "\t")
-    return F.concat_ws("", F.transform(template, lambda token, i: _token(token, draw.at(i))))
+    return F.concat_ws("", F.transform(template, lambda token, i: _token(token, _Draw(F.xxhash64(draw.key, i)))))
 
 
 def value(attempt: Column, seed: int, target: Column) -> Column:
@@ -242,8 +255,7 @@ def value(attempt: Column, seed: int, target: Column) -> Column:
 
     The blanks that join the pieces are not counted.
     """
-    def piece(i: Column) -> Column:
-        draw = _Draw(seed, attempt, i)
+    def piece(draw: _Draw) -> Column:
         kind = draw.number(201, 0, 3)
         text = (F.when(kind == 0, draw.sentences(210, draw.number(202, 3, 7), 6))
                 .when(kind == 1, draw.sentence(220, draw.number(203, 10, 30)))
@@ -251,20 +263,20 @@ def value(attempt: Column, seed: int, target: Column) -> Column:
                 .otherwise(F.concat(draw.word(240), F.lit(": "), draw.sentence(241, 6))))
         return normalize(text)
 
-    def add(state: Column, i: Column) -> Column:
-        text = piece(i)
-        grown = F.transform(F.array(text), lambda p: F.struct(
+    def add(state: Column, key: Column) -> Column:
+        grown = F.transform(F.array(piece(_Draw(key))), lambda p: F.struct(
             F.concat(state["parts"], F.array(p)).alias("parts"),
             (state["bytes"] + utf8_bytes(p)).alias("bytes")))[0]
         return F.when(state["bytes"] >= target, state).otherwise(grown)
 
     empty = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("bytes"))
-    steps = F.sequence(F.lit(1), F.ceil(target / SHORTEST_PIECE).cast("int"))
+    most = F.ceil(target / SHORTEST_PIECE).cast("int")
+    steps = F.transform(F.sequence(F.lit(1), most), lambda i: F.xxhash64(F.lit(seed), attempt, i))
     return F.aggregate(steps, empty, add, lambda state: F.concat_ws(" ", state["parts"]))
 
 
 def target_bytes(attempt: Column, seed: int) -> Column:
-    return _Draw(seed, attempt).number(300, MIN_VALUE_BYTES, MAX_VALUE_BYTES)
+    return _Draw.of(seed, attempt).number(300, MIN_VALUE_BYTES, MAX_VALUE_BYTES)
 
 
 def rows_for_size(target_gb: float, avg_value_bytes: int = 8000) -> int:

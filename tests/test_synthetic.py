@@ -54,7 +54,7 @@ def test_limit_keeps_the_first_attempts(spark):
 
 def test_all_templates_are_drawn_evenly(spark):
     assert (len(synthetic.FULL_TEMPLATES), len(synthetic.SMALL_TEMPLATES)) == (71, 25)
-    draws = spark.range(20_000).select(synthetic._Draw(0, F.col("id")).number(100, 1, 71).alias("n"))
+    draws = spark.range(20_000).select(synthetic._Draw.of(0, F.col("id")).number(100, 1, 71).alias("n"))
     counts = [r["count"] for r in draws.groupBy("n").count().collect()]
     assert len(counts) == 71 and min(counts) > 200 and max(counts) < 370
 
