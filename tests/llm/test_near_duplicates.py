@@ -1,0 +1,174 @@
+import math
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from lexitab.llm import embeddings, simhash
+from lexitab.llm.components import components, forest
+from lexitab.plans.fixtures import table
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, fp string, key int"
+VECS = "vec_id bigint, embedding array<float>, label int, c string"
+
+
+def roots(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_forest_joins_what_links_join():
+    draw = np.random.default_rng(3)
+    for _ in range(20):
+        a, b = draw.integers(0, 60, 40), draw.integers(0, 60, 40)
+        want = roots(range(60), zip(a.tolist(), b.tolist()))
+        assert forest(a, b, 60).tolist() == [want[i] for i in range(60)]
+
+
+def test_components_of_chains_stars_and_repeats(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(900 + i, 500) for i in range(50)]
+    links = [*chain, *star, *star, (7, 7), (3, 2), (2, 3)]
+    got = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    links = [x for x in links if x[0] != x[1]]
+    want = roots({n for x in links for n in x}, links)
+    assert {r.node: r.root for r in got.collect()} == want
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in "".join(" " if c in " \t\n\x0b\x0c\r" else c for c in text).split(" ") if w]
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    value = 0
+    for bit in range(64):
+        ones = sum(xxhash.xxh64_intdigest(s.encode(), seed=42) >> bit & 1 for s in shingles)
+        value |= (2 * ones > len(shingles)) << bit
+    return value
+
+
+def simhash_by_pairs(rows):
+    prints = [(i, d, plain_fingerprint(t)) for i, (d, t) in enumerate(rows)]
+    links = [(a[0], b[0]) for a in prints for b in prints if a[0] < b[0] and (a[2] ^ b[2]).bit_count() <= 3]
+    root = roots(range(len(rows)), links)
+    smallest = {}
+    for i, d, _ in prints:
+        if d is not None:
+            smallest[root[i]] = min(d, smallest.get(root[i], d))
+    return sorted(((d, f"{f:016x}", smallest.get(root[i])) for i, d, f in prints), key=str)
+
+
+def simhash_rows(found):
+    return sorted(((r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in found.collect()), key=str)
+
+
+def test_simhash_of_the_documents(spark):
+    docs = table(spark, SF, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in simhash.op6_simhash(spark, SF).collect()), key=str)
+    assert got == simhash_by_pairs(rows)
+
+
+def test_simhash_of_odd_rows(spark):
+    rows = [(1, None, "x", 0), (2, "", "x", 0), (3, " \t\n", None, None), (4, "one", "x", 0), (5, "ONE", "x", 0),
+            (6, "one two", "x", 0), (7, "one two three", "x", 0), (7, "one two three", "x", 0), (7, "other words here", "x", 0),
+            (None, "one two é", "x", 0), (None, None, "x", 0), (8, "É a a a a", "x", 0), (9, "word " * 70_000, "x", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert simhash_rows(simhash.near_duplicates(docs)) == simhash_by_pairs([r[:2] for r in rows])
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id if r.doc_id is not None else -1 for r in kept.collect()))
+    assert got == [-1, 1, 4, 6, 7, 7, 8, 9]
+    assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+    assert simhash.keep_first(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_simhash_links_fingerprints_near_each_other(spark, monkeypatch):
+    """Planted neighbours at 1 to 5 bits, in keys that are cut into tiles."""
+    monkeypatch.setattr(simhash, "TILE", 8)
+    draw = random.Random(5)
+    prints = {draw.getrandbits(64) for _ in range(40)}
+    for base in list(prints)[:20]:
+        for _ in range(6):
+            flipped = base
+            for bit in draw.sample(range(64), draw.randint(1, 5)):
+                flipped ^= 1 << bit
+            prints.add(flipped)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    got = components(simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp bigint")))
+    links = [(a, b) for a in signed for b in signed
+             if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3]
+    want = roots({n for x in links for n in x}, links)
+    assert {r.node: r.root for r in got.collect()} == want
+
+
+def test_pivots_never_discard_a_near_pair():
+    draw = np.random.default_rng(1)
+    fps = draw.integers(0, 1 << 63, 200, dtype=np.uint64)
+    near = fps ^ np.uint64(0b1011)
+    assert np.abs(simhash.pivot_table(fps) - simhash.pivot_table(near)).max() <= 3
+
+
+def vectors_by_pairs(rows, threshold=0.93):
+    def usable(v):
+        return v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    unit = [np.array(v, dtype=np.float64) / np.linalg.norm(np.array(v, dtype=np.float64)) if usable(v) else None
+            for _, v, *_ in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i + 1, len(rows))
+             if unit[i] is not None and unit[j] is not None and rows[i][2] is not None and rows[i][2] == rows[j][2]
+             and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold]
+    root = roots(range(len(rows)), links)
+    count = [0] * len(rows)
+    for i, j in links:
+        count[i] += 1
+        count[j] += 1
+    smallest = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            smallest[root[i]] = min(r[0], smallest.get(root[i], r[0]))
+    return sorted(((r[0], count[i], smallest.get(root[i]), r[0] == smallest.get(root[i])) for i, r in enumerate(rows)), key=str)
+
+
+def test_vectors_of_the_table(spark):
+    rows = [(r.vec_id, r.embedding, r.label) for r in table(spark, SF, "embeddings").collect()]
+    got = sorted((tuple(r) for r in embeddings.op3_embeddings(spark, SF).collect()), key=str)
+    assert got == vectors_by_pairs(rows)
+
+
+@pytest.mark.parametrize("tile", [8, 4_096])
+def test_vectors_around_the_threshold(spark, monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    draw = np.random.default_rng(7)
+    rows = []
+    for label in (0, 1, None):
+        for base in draw.normal(size=(5, 24)):
+            for _ in range(6):
+                mixed = base + draw.normal(size=24) * draw.choice([0.0, 0.2, 0.35, 0.4])
+                rows.append((len(rows), mixed.astype(np.float32).tolist(), label, "x"))
+    rows += [(900, None, 0, "x"), (901, [], 0, "x"), (902, [0.0] * 24, 0, "x"), (903, [float("nan")] * 24, 0, "x"),
+             (904, [1.0, None], 0, "x"), (905, [float("inf")] * 24, 0, "x"), (906, [1.0, 0.0], 0, "x"),
+             (906, [1.0, 0.0], 0, "x"), (None, [2.0, 0.0], 0, "x"), (907, [1.0, -0.0], 0, "x"), (908, [1e-40, 0.0], 0, "x")]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, VECS))
+    want = vectors_by_pairs(rows)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert embeddings.near_duplicates(spark.createDataFrame([], VECS)).count() == 0
+
+
+def test_quantising_bounds_hold():
+    draw = np.random.default_rng(2)
+    unit = draw.normal(size=(300, 48))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    q, s, e = embeddings.quantise(unit)
+    about = (q.astype(np.float64) @ q.T) * s[:, None] * s[None, :]
+    bound = (1 + e)[:, None] * e[None, :] + e[:, None] * (1 + e)[None, :] + e[:, None] * e[None, :]
+    assert (np.abs(unit @ unit.T - about) <= bound).all()
