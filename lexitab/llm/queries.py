@@ -8,7 +8,11 @@ from lexitab.llm.embeddings import op3_embeddings
 from lexitab.llm.licenses import OP1_SQL, op1_licenses
 from lexitab.llm.sharding import OP2_SQL, op2_sharding
 from lexitab.llm.simhash import op6_simhash
+from lexitab.llm.token_counts import op5_token_counts
+from lexitab.llm.token_files import op4_token_files
 
-QUERIES = {f.__name__: f for f in (op1_licenses, op2_sharding, op3_embeddings, op6_simhash, op7_byte_bpe, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_licenses, op2_sharding, op3_embeddings, op4_token_files, op5_token_counts, op6_simhash, op7_byte_bpe,
+    op9_decontamination)}
 
 ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op9_decontamination": OP9_SQL}
