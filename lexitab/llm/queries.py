@@ -5,7 +5,9 @@ from __future__ import annotations
 from lexitab.llm.byte_bpe import op7_byte_bpe
 from lexitab.llm.decontamination import OP9_SQL, op9_decontamination
 from lexitab.llm.embeddings import op3_embeddings
+from lexitab.llm.language import op8_language
 from lexitab.llm.licenses import OP1_SQL, op1_licenses
+from lexitab.llm.quality import op10_quality
 from lexitab.llm.sharding import OP2_SQL, op2_sharding
 from lexitab.llm.simhash import op6_simhash
 from lexitab.llm.token_counts import op5_token_counts
@@ -13,6 +15,6 @@ from lexitab.llm.token_files import op4_token_files
 
 QUERIES = {f.__name__: f for f in (
     op1_licenses, op2_sharding, op3_embeddings, op4_token_files, op5_token_counts, op6_simhash, op7_byte_bpe,
-    op9_decontamination)}
+    op8_language, op9_decontamination, op10_quality)}
 
 ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op9_decontamination": OP9_SQL}
