@@ -6,14 +6,18 @@ import math
 
 from pyspark.sql import DataFrame
 
+# What Spark reports for a table whose size it does not know.
+UNKNOWN = (1 << 63) - 1
 # Stored bytes for one shuffle partition; compressed columns grow severalfold in memory.
 PART_BYTES = 64 * 1024 ** 2
 
 
 def read_bytes(df: DataFrame) -> int:
-    """Stored size of all tables below ``df``, from file listings; joins and filters do not count."""
+    """Stored size of all tables below ``df``, from file listings; joins and filters do not count, and
+    neither do tables of unknown size."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN)
 
 
 def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
