@@ -1,0 +1,186 @@
+import base64
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from lexitab.llm import byte_bpe, token_counts, token_files
+from lexitab.plans.fixtures import table
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, ids string, n_tokens int"
+ODD = ["", " ", "\n", "a", "A\x1cb c\r\nd\te", "x́̈ ²³½ Ⅷ", "'s don't 'LL 12", "a  b   c    ", "é" * 301,
+       "日本語 한국어 العربية", "\U0001F600" * 40, "<|endoftext|> a<|startoftext|>b", "▁x▁▁y", "İI ﬁ Å Σ ΑΣ", "a" * 3_000,
+       "z" * 70_000 + " end", "word " * 30_000]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return [r.text for r in table(spark, SF, "documents").select("text").collect()]
+
+
+def odd_rows(spark):
+    rows = [(i, t, "x", 0) for i, t in enumerate(ODD)] + [(None, None, "x", 0), (None, "b", "x", 0), (5, "c", "x", 0), (5, "c", "x", 0)]
+    return rows, spark.createDataFrame(rows, DOCS)
+
+
+# --- byte-level BPE ---------------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def library():
+    with open(public_tokenizers.path(byte_bpe.VOCABULARY), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_bpe_of_the_documents(spark, library):
+    texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
+    found = byte_bpe.op7_byte_bpe(spark, SF).collect()
+    assert {r.doc_id for r in found} == set(texts)
+    for r in found:
+        ids = library.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_byte_bpe_of_odd_rows(spark, library):
+    rows, docs = odd_rows(spark)
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    encoded = byte_bpe.encode_documents(docs, path, with_ids=True)
+    got = sorted(((r.doc_id, r.ids) for r in encoded.collect()), key=str)
+    assert got == sorted(((d, library.encode_ordinary(t or "")) for d, t, *_ in rows), key=str)
+    back = sorted(((r.doc_id, bytes(r.bytes)) for r in byte_bpe.decode_documents(encoded, path).collect()), key=str)
+    assert back == sorted(((d, (t or "").encode()) for d, t, *_ in rows), key=str)
+    assert byte_bpe.encode_documents(spark.createDataFrame([], DOCS), path).count() == 0
+
+
+def test_random_bytes_merge_like_the_library(library):
+    coder = byte_bpe.encoder(public_tokenizers.path(byte_bpe.VOCABULARY), public_tokenizers.PATTERN)
+    draw = random.Random(4)
+    for _ in range(300):
+        text = "".join(draw.choice("abcdeéñ 12'\n.日") for _ in range(draw.randint(0, 80)))
+        assert coder.encode(text) == library.encode_ordinary(text)
+
+
+def test_memory_of_pretokens_is_bounded(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 5)
+    coder = byte_bpe.Encoder(byte_bpe.load(public_tokenizers.path(byte_bpe.VOCABULARY)), public_tokenizers.PATTERN)
+    for text in ("one two three four five six seven", "eight nine ten one two", "one two"):
+        assert coder.encode(text) == library.encode_ordinary(text)
+
+
+def test_the_perfect_hash_is_minimal_and_perfect():
+    for n in (0, 1, 2, 3, 50, 2_000):
+        keys = [f"key {i}".encode() for i in range(n)]
+        made = byte_bpe.PerfectHash(keys)
+        assert [made.candidate(k) for k in keys] == list(range(n))
+        assert len(made.key_at) == max(1, n) and sorted(x for x in made.key_at if x >= 0) == list(range(n))
+
+
+# --- token files ------------------------------------------------------------------------------
+
+def expected(rows, end=2):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(token_files.VOCABULARY))
+    return [(d, [*tokenizer.encode(t or "", add_special_tokens=False).ids, end]) for d, t in rows]
+
+
+def checked(found, want):
+    """Offsets are gapless in doc_id order; counts and checksums are those of the ids."""
+    found = sorted(found, key=lambda r: r.start)
+    order = [-1 if r.doc_id is None else r.doc_id for r in found]
+    assert order == sorted(order)
+    start = 0
+    for r in found:
+        assert r.start == start
+        start += r.n_tokens
+    sums = sorted((str(d), len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for d, ids in want)
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in found) == sums
+
+
+def test_token_files_of_the_documents(spark):
+    rows = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
+    checked(token_files.op4_token_files(spark, SF).collect(), expected(rows))
+
+
+def test_token_files_of_odd_rows(spark, tmp_path):
+    rows, docs = odd_rows(spark)
+    path = str(tmp_path / "tokens")
+    token_files.write_tokens(docs, path, public_tokenizers.path(token_files.VOCABULARY), 7)
+    want = expected([r[:2] for r in rows], 7)
+    checked(token_files.token_offsets(spark, path).collect(), want)
+    some = token_files.tokens_of(spark, path, [3, 5])
+    assert sorted((r.doc_id, r.ids) for r in some.collect()) == sorted(w for w in want if w[0] in (3, 5))
+    assert "PushedFilters: [In(doc_id" in some._jdf.queryExecution().toString()
+
+
+def test_no_documents_give_no_tokens(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    token_files.write_tokens(spark.createDataFrame([], DOCS), path, public_tokenizers.path(token_files.VOCABULARY))
+    assert token_files.token_offsets(spark, path).count() == 0
+
+
+def test_files_have_indexes_and_bloom_filters(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    docs = spark.range(5_000).selectExpr("id as doc_id", "'some words' as text")
+    token_files.write_tokens(docs, path, public_tokenizers.path(token_files.VOCABULARY))
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    file = next(f for f in (tmp_path / "tokens").iterdir() if f.name.endswith(".orc"))
+    reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(str(file)), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+    footer = reader.rows().readStripeFooter(reader.getStripes().get(0)) if hasattr(reader.rows(), "readStripeFooter") else None
+    assert reader.getRowIndexStride() == 2_000
+    if footer is not None:
+        kinds = {str(s.getKind()) for s in footer.getStreamsList()}
+        assert "ROW_INDEX" in kinds and kinds & {"BLOOM_FILTER", "BLOOM_FILTER_UTF8"}
+
+
+# --- token counts -----------------------------------------------------------------------------
+
+def tokenizer_of(vocabulary, byte_pieces):
+    unigram = Tokenizer(models.Unigram(vocabulary, 0, byte_pieces))
+    unigram.pre_tokenizer = pre_tokenizers.Metaspace(replacement=token_counts.MARK, prepend_scheme="always", split=True)
+    return unigram
+
+
+def test_counts_are_the_tokenizer_s(spark, texts):
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    library = tokenizer_of(*token_counts.vocabulary(path))
+    counter = token_counts.counter(path)
+    for text in [*ODD[:-2], *texts]:
+        assert counter.count(text)[0] == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_ties_go_as_in_the_tokenizer():
+    draw = random.Random(8)
+    for byte_pieces in (False, True):
+        pieces = {"".join(draw.choice("abc" + token_counts.MARK) for _ in range(draw.randint(1, 4))) for _ in range(40)}
+        vocabulary = [("<unk>", 0.0), *((p, float(-draw.randint(1, 3))) for p in sorted(pieces))]
+        if byte_pieces:
+            vocabulary += [(f"<0x{i:02X}>", -9.0) for i in range(256)]
+        library, counter = tokenizer_of(vocabulary, byte_pieces), token_counts.UnigramCounter(vocabulary, byte_pieces)
+        for _ in range(300):
+            text = "".join(draw.choice("abcdé ") for _ in range(draw.randint(0, 30)))
+            assert counter.count(text)[0] == len(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_count_query(spark):
+    texts = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
+    counter = token_counts.counter(public_tokenizers.path(token_counts.VOCABULARY))
+    found = token_counts.op5_token_counts(spark, SF).collect()
+    assert {r.doc_id: (r.n_tokens, r.score) for r in found} == {d: counter.count(t) for d, t in texts.items()}
+
+
+def test_counts_of_odd_rows(spark):
+    rows, docs = odd_rows(spark)
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    counter = token_counts.counter(path)
+    got = sorted(((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs, path).collect()), key=str)
+    assert got == sorted(((d, counter.count(t or "")[0]) for d, t, *_ in rows), key=str)
+    assert counter.count("") == (0, 0.0)
+    assert token_counts.count_tokens(spark.createDataFrame([], DOCS), path).count() == 0
