@@ -1,7 +1,7 @@
 """The key -> (byte offset, byte length) index.
 
 ``dictionary`` below is a written, sorted table made by ``data_table``: one row per dictionary
-row, with its place ``(pid, row)`` in the order and the number of the CSV part it belongs to.
+row, with its place ``(pid, row)`` in the order.  CSV parts are cut from it by size.
 """
 
 from __future__ import annotations
@@ -13,49 +13,54 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexitab.functions.text import csv_title, row_bytes, without_line_end
 from lexitab.operators.ordering import bases, number_rows, with_positions
 from lexitab.schema import HEADER_BYTES
+from lexitab.sources.listing import listed_files
 
-# Rows in one CSV part; bounds every per-part window, list and file.
-PART_ROWS = 16_384
-# Parts one partition can hold; part numbers ascend with (pid, row).
-PARTS_PER_PID = 100_000
+# Bounds of one CSV part: rows, and bytes up to the end of its last row.
+PART_ROWS, PART_BYTES = 16_384, 128 * 1024 ** 2
 
 
-def part_name(part: Column | str) -> Column:
-    """Folder name of a part; names sort as the parts do."""
-    return F.format_string("p%012d", part)
+def part_name(pid: Column | str, number: Column | str) -> Column:
+    """Folder name of part ``number`` of a partition; names sort as the parts do."""
+    return F.format_string("p%010d-%010d", pid, number)
 
 
-def data_table(ordered_rows: DataFrame, write: Callable[[DataFrame], DataFrame],
-               part_rows: int = PART_ROWS) -> DataFrame:
-    """Add byte lengths, places and parts to range-sorted rows and pass them to ``write``."""
-    numbered = number_rows(ordered_rows.withColumn("byte_length", row_bytes()))
-    part = F.col("pid").cast("long") * PARTS_PER_PID + F.floor(F.col("row") / part_rows)
-    return write(numbered.withColumn("part", part))
+def data_table(ordered_rows: DataFrame, write: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Add byte lengths and places to range-sorted rows and pass them to ``write``."""
+    return write(number_rows(ordered_rows.withColumn("byte_length", row_bytes())))
 
 
-def build_index(dictionary: DataFrame, *extra: str) -> DataFrame:
-    """Offsets of every row: ``byte_offset`` in the logical single file (header first) and
-    ``part_offset`` in its part.
+def with_parts(rows: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """Add ``part_file`` and, counted in the partition, the bytes before each row as ``pid_offset``.
 
-    A three-level prefix sum: rows in a part, parts in a partition, partitions.  Only the last
-    is a one-task window, with one row per range partition, as is the broadcast.  Values are
-    not read.
+    A row weighs what it takes of either bound, and a part ends where the weights fill one part, so
+    it holds at most ``part_rows`` rows and PART_BYTES and one more row.  Running sums stay in a
+    range partition, whose size is bounded.
     """
-    slim = dictionary.select("title", "part", "row", "byte_length", *extra)
-    before = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum("byte_length").over(before), F.lit(0)).cast("long")
-    return (slim.withColumn("part_offset", local).join(_part_starts(slim), "part")
-            .select("title", (F.col("start") + F.col("part_offset")).alias("byte_offset"),
-                    "byte_length", "part", "part_offset", *extra))
+    before = Window.partitionBy("pid").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    bound = float(part_rows) * PART_BYTES
+    weight = F.greatest(F.col("byte_length").cast("double") * part_rows, F.lit(float(PART_BYTES)))
+    number = F.floor(F.coalesce(F.sum(weight).over(before), F.lit(0.0)) / bound)
+    offset = F.coalesce(F.sum("byte_length").over(before), F.lit(0)).cast("long")
+    return rows.withColumns({"pid_offset": offset, "part_file": part_name("pid", number)})
+
 
+def build_index(dictionary: DataFrame, *extra: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """Offsets of every row: ``byte_offset`` in the logical single file (header first) and
+    ``part_offset`` in its part.
 
-def _part_starts(slim: DataFrame) -> DataFrame:
-    sizes = (slim.groupBy("part").agg(F.sum("byte_length").alias("bytes"))
-             .withColumn("pid", F.floor(F.col("part") / PARTS_PER_PID).cast("int")))
-    partitions = bases(sizes.groupBy("pid").agg(F.sum("bytes").alias("bytes")), ["pid"], "bytes")
-    parts = bases(sizes, ["part"], "bytes", base="in_pid", within=["pid"])
-    return parts.join(F.broadcast(partitions), "pid").select(
-        "part", (F.col("base") + F.col("in_pid") + HEADER_BYTES).alias("start"))
+    A two-level prefix sum: rows in a partition, then partitions.  Only the latter is a one-task
+    window, with one row per range partition, as is the broadcast.  Values are not read; ``extra``
+    columns are joined to the finished offsets by their place.
+    """
+    slim = with_parts(dictionary.select("title", "pid", "row", "byte_length"), part_rows)
+    in_part = Window.partitionBy("pid", "part_file")
+    slim = slim.withColumn("part_offset", F.col("pid_offset") - F.min("pid_offset").over(in_part))
+    starts = bases(slim.groupBy("pid").agg(F.sum("byte_length").alias("bytes")), ["pid"], "bytes")
+    placed = slim.join(F.broadcast(starts), "pid").withColumn(
+        "byte_offset", F.col("base") + F.col("pid_offset") + HEADER_BYTES)
+    if extra:
+        placed = placed.join(dictionary.select("pid", "row", *extra), ["pid", "row"])
+    return placed.select("title", "byte_offset", "byte_length", "part_file", "part_offset", *extra)
 
 
 def last_wins(index: DataFrame) -> DataFrame:
@@ -64,7 +69,7 @@ def last_wins(index: DataFrame) -> DataFrame:
     All buffers are fixed-width numbers, so this is a hash aggregate that combines copies
     before the shuffle.
     """
-    kept = [c for c in ("byte_length", "part", "part_offset") if c in index.columns]
+    kept = [c for c in ("byte_length", "part_file", "part_offset") if c in index.columns]
     return index.groupBy("title").agg(
         F.max("byte_offset").alias("byte_offset"),
         *(F.max_by(c, "byte_offset").alias(c) for c in kept))
@@ -135,9 +140,10 @@ def line_counts(lines: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.octet_length("value") + 1), F.lit(0)).cast("long").alias("total_bytes"))
 
 
-def logical_offsets(index: DataFrame, lines: DataFrame) -> DataFrame:
-    """Move offsets in headerless part files to the single file: header, then parts by name."""
-    files = lines.select("file_path", "file_size").distinct()
+def logical_offsets(index: DataFrame, path: str) -> DataFrame:
+    """Move offsets in the headerless part files below ``path`` to the single file: header, then parts
+    by name.  File sizes come from the listing; one row per file goes through the one-task window."""
+    files = listed_files(index.sparkSession, path, "*.txt")
     return index.join(bases(files, ["file_path"], "file_size"), "file_path").select(
         "title", (F.col("byte_offset") + F.col("base") + HEADER_BYTES).alias("byte_offset"), "byte_length")
 

@@ -2,35 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexitab.functions.text import csv_decode
-from lexitab.operators.index import part_name
-from lexitab.operators.skew import HOT_ROWS, salted_left_join
+from lexitab.sources.listing import listed_files
 
-# Up to this many parts are named in the plan, so that others are not read.
-MAX_NAMED_PARTS = 1_000
+# Ranges of one file this close together are read as one.
+GAP_BYTES = 64 * 1024
+# Bytes that are read at a time, unless one row is longer.
+READ_BYTES = 8 * 1024 ** 2
 
 
 def latest_values(merged: DataFrame) -> DataFrame:
     """One row per exact title of a merged table: the last in its output order.
 
-    Equal titles have equal folded keys, so the merge's partitioning by ``k`` is used again.
+    ``row_number() = 1`` lets Spark drop earlier rows before the shuffle.
     """
-    order = Window.partitionBy("k", "title").orderBy(F.desc("side"), F.desc("ord"))
+    order = Window.partitionBy("title").orderBy(F.desc("side"), F.desc("ord"))
     return (merged.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
             .select("title", "value"))
 
 
-def lookup(requests: DataFrame, table: DataFrame, *, spread: Column | None = None,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup(requests: DataFrame, table: DataFrame) -> DataFrame:
     """Exact, case-sensitive lookup of ``requests.key`` in a table with unique ``title``.
 
-    Every request gives one row; a miss has ``found = false`` and NULL in the table's columns.
+    Every request gives one row; a miss has ``found = false`` and NULL in the table's columns.  The
+    table is cut to the keys that are asked for before its values move.  What is left is unique per
+    key, so a hot key is on the requests' side only, where Spark can split it.
     """
-    found = table.withColumnRenamed("title", "key").withColumn("_hit", F.lit(True))
-    spread = F.col("request_id") if spread is None else spread
-    joined = salted_left_join(requests, found, "key", spread, hot_rows)
+    asked = requests.select("key").distinct()
+    found = table.withColumnRenamed("title", "key").join(asked, "key", "left_semi").withColumn("_hit", F.lit(True))
+    joined = requests.join(found, "key", "left")
     return joined.withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
@@ -43,33 +49,51 @@ def misses(requests: DataFrame, table: DataFrame) -> DataFrame:
     return asked.join(table.select(F.col("title").alias("key")).distinct(), "key", "left_anti")
 
 
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Read the asked ranges of each file; rows come sorted by file and offset.
+
+    Neighbouring ranges are one read, of bounded size.  Only what is asked for, and small gaps, is read.
+    """
+    for batch in batches:
+        rows = batch.to_pylist()
+        first = 0
+        while first < len(rows):
+            path, start = rows[first]["file_path"], rows[first]["part_offset"]
+            end, last = start + rows[first]["byte_length"], first + 1
+            while (last < len(rows) and rows[last]["file_path"] == path and rows[last]["part_offset"] <= end + GAP_BYTES
+                   and rows[last]["part_offset"] + rows[last]["byte_length"] <= start + READ_BYTES):
+                end = max(end, rows[last]["part_offset"] + rows[last]["byte_length"])
+                last += 1
+            store, name = pafs.FileSystem.from_uri(path)
+            with store.open_input_file(name) as file:
+                data = file.read_at(end - start, start)
+            some = rows[first:last]
+            cut = [data[r["part_offset"] - start:r["part_offset"] - start + r["byte_length"]] for r in some]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([r[n] for r in some], batch.schema.field(n).type) for n in ("title", "byte_offset", "byte_length")),
+                 pa.array(cut, pa.binary())], ["title", "byte_offset", "byte_length", "bytes"])
+            first = last
+
+
 def fetch_slices(spark: SparkSession, index: DataFrame, csv_path: str) -> DataFrame:
     """Read ``[part_offset, part_offset + byte_length)`` of each entry's part and decode it.
 
-    Entries are gathered per part, and a part holds at most ``index.PART_ROWS`` rows, so every
-    file is read once and meets one bounded list.  The lists are the hashed side of the join,
-    so the contents stream by unsorted.  Entries of few parts read those parts only.
+    The entries, which are slim, go to the tasks that read: one range exchange by file and offset, so
+    a part that many ask for is read by several tasks.  No content is in an exchange and nothing but
+    the asked ranges is read.  The parts' store has to be one that Arrow opens by URI.
     """
-    entries = index.groupBy(part_name("part").alias("part_file")).agg(F.collect_list(F.struct(
-        "title", "byte_offset", "part_offset", "byte_length")).alias("entries"))
-    parts = (spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(csv_path)
-             .select("part_file", "content"))
-    names = [r.part_file for r in index.select(part_name("part").alias("part_file")).distinct()
-             .limit(MAX_NAMED_PARTS + 1).collect()]
-    if len(names) <= MAX_NAMED_PARTS:
-        parts = parts.filter(F.col("part_file").isin(names))
-    # The content goes in as a lambda variable: a column would be copied whole for every entry.
-    cut = F.transform(F.array("content"), lambda content: F.transform("entries", lambda e: F.struct(
-        e["title"].alias("title"), e["byte_offset"].alias("byte_offset"), e["byte_length"].alias("byte_length"),
-        F.substring(content, (e["part_offset"] + 1).cast("int"), e["byte_length"]).alias("bytes"))))
-    sliced = entries.hint("shuffle_hash").join(parts, "part_file", "left").select(F.inline(cut[0]))
+    files = listed_files(spark, csv_path, "*.txt").withColumn(
+        "part_file", F.regexp_extract("file_path", "part_file=([^/]+)/", 1))
+    placed = index.join(files.select("part_file", "file_path"), "part_file").select(
+        "title", "byte_offset", "byte_length", "file_path", "part_offset")
+    ordered = placed.repartitionByRange("file_path", "part_offset").sortWithinPartitions("file_path", "part_offset")
+    sliced = ordered.mapInArrow(_read_ranges, "title string, byte_offset bigint, byte_length int, bytes binary")
     # As a generator the decoded row is made once, not once for each of its fields.
     decoded = F.inline(F.array(csv_decode(F.col("bytes").cast("string"))))
     return sliced.select("title", "byte_offset", "byte_length", decoded.alias("slice_title", "slice_value"))
 
 
-def read_values(spark: SparkSession, requests: DataFrame, index: DataFrame, csv_path: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def read_values(spark: SparkSession, requests: DataFrame, index: DataFrame, csv_path: str) -> DataFrame:
     """The whole read path in batch: key, index entry, byte range, value.
 
     Each requested title is fetched once, however often it is asked for.
@@ -77,7 +101,7 @@ def read_values(spark: SparkSession, requests: DataFrame, index: DataFrame, csv_
     asked = requests.select(F.col("key").alias("title")).distinct()
     entries = index.join(asked, "title", "left_semi")
     values = fetch_slices(spark, entries, csv_path).select("title", F.col("slice_value").alias("value"))
-    return lookup(requests, values, hot_rows=hot_rows)
+    return lookup(requests, values)
 
 
 def prefix_search(table: DataFrame, prefix: str, k: int) -> DataFrame:
@@ -93,19 +117,27 @@ def prefix_search(table: DataFrame, prefix: str, k: int) -> DataFrame:
 def prefix_index(table: DataFrame, max_len: int, k: int) -> DataFrame:
     """The first ``k`` distinct titles of every folded prefix of up to ``max_len`` characters.
 
-    ``rank <= k`` is applied before the shuffle too, so a prefix that a third of all titles
-    share sends ``k`` rows per map task.
+    Titles are ranked in two steps, for any ``k``: inside one of as many groups as the session has
+    shuffle partitions, then among the ``k`` best of each group.  So a prefix that a third of all titles
+    share is spread over all tasks, and the last step meets ``k`` rows of a prefix per group.
     """
+    spark = table.sparkSession
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.lower("title")
     titles = table.select("title").distinct()
     prefixes = titles.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(key)))))
     prefixes = prefixes.filter(F.length(key) > 0).select(
-        F.substring(key, F.lit(1), F.col("length")).alias("prefix"), key.alias("k"), "title")
+        F.substring(key, F.lit(1), F.col("length")).alias("prefix"), key.alias("k"), "title",
+        F.pmod(F.xxhash64("title"), F.lit(groups)).alias("_group"))
+    in_group = F.row_number().over(Window.partitionBy("prefix", "_group").orderBy("k", "title"))
+    some = prefixes.withColumn("rank", in_group).filter(F.col("rank") <= k)
     rank = F.row_number().over(Window.partitionBy("prefix").orderBy("k", "title"))
-    return prefixes.withColumn("rank", rank).filter(F.col("rank") <= k).select("prefix", "rank", "title")
+    return some.withColumn("rank", rank).filter(F.col("rank") <= k).select("prefix", "rank", "title")
+
 
+def complete(requests: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Completions for a table of ``(request_id, prefix)`` by an equi-join to ``prefix_index``.
 
-def complete(requests: DataFrame, prefixes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Completions for a table of ``(request_id, prefix)`` by an equi-join to ``prefix_index``."""
-    folded = requests.withColumn("prefix", F.lower("prefix"))
-    return salted_left_join(folded, prefixes, "prefix", F.col("request_id"), hot_rows)
+    The index has at most its ``k`` rows per prefix, so a hot prefix is on the requests' side only.
+    """
+    return requests.withColumn("prefix", F.lower("prefix")).join(prefixes, "prefix", "left")

@@ -1,17 +1,16 @@
 """Upsert of a changelog into a dictionary, with pairwise semantics per folded key.
 
 Inside one folded key the i-th existing row pairs with the i-th changelog row.  A pair gives the
-changelog row; unpaired rows of either side stay.  Stated without pairing: every changelog row
-survives, and an existing row survives when its number in the key exceeds the key's changelog
-count.  The output order is ``(k, side, ord)``, changelog rows first.
+changelog row; unpaired rows of either side stay.  So with ``p`` pairs in a key, its first ``p``
+existing rows go and its first ``p`` changelog rows are updates: two cutoffs decide every row.  The
+output order is ``(k, side, ord)``, changelog rows first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lexitab.operators.ordering import number_rows, range_sort, with_key, with_positions
-from lexitab.operators.skew import HOT_ROWS, largest
 from lexitab.session import materialise
 
 # Changelog rows sort first; sums over ``side`` count existing rows.
@@ -19,10 +18,10 @@ CHANGELOG, EXISTING = 0, 1
 KEPT, UPDATED, ADDED = "kept", "updated", "added"
 
 
-def _tagged(existing: DataFrame, changelog: DataFrame) -> DataFrame:
-    sides = [df.select("title", "value", "ord", F.lit(side).alias("side"))
+def _tagged(existing: DataFrame, changelog: DataFrame, *columns: str) -> DataFrame:
+    sides = [with_key(df).select(*columns, "k", F.lit(side).alias("side"))
              for df, side in ((changelog, CHANGELOG), (existing, EXISTING))]
-    return with_key(sides[0].unionByName(sides[1]))
+    return sides[0].unionByName(sides[1])
 
 
 def _side_counts(rows: DataFrame) -> DataFrame:
@@ -30,77 +29,42 @@ def _side_counts(rows: DataFrame) -> DataFrame:
                                  F.count_if(F.col("side") == EXISTING).alias("n_e"))
 
 
-def _hot_cutoffs(rows: DataFrame, hot: DataFrame) -> DataFrame:
-    """For each hot key the last paired ``ord`` of either side: ``(k, cut_c, cut_e)``.
+def cutoffs(existing: DataFrame, changelog: DataFrame) -> DataFrame:
+    """For each key that has pairs the last paired ``ord`` of either side: ``(k, cut_c, cut_e)``.
 
-    The keys' rows are numbered by a range sort that may cut anywhere inside a key, on
-    ``(k, side, ord)`` alone.
+    Only ``(k, side, ord)`` of the changelog's keys moves.  A range sort numbers the rows and may cut
+    anywhere inside a key, so a key of any size is spread; ``groups`` has one row per key and side.
     """
-    slim = rows.select("k", "side", "ord").join(F.broadcast(hot.select("k")), "k")
-    ranked = with_positions(materialise(number_rows(range_sort(slim, ["k", "side", "ord"])), "hot"))
-    # One row per hot key and side, so this window is as small as the hot-key table.
-    sides = hot.select("k", F.least("n_c", "n_e").alias("pairs"), F.explode(F.array(
-        F.struct(F.lit(CHANGELOG).alias("side"), F.col("n_c").alias("n")),
-        F.struct(F.lit(EXISTING).alias("side"), F.col("n_e").alias("n")))).alias("s")
-    ).select("k", "pairs", "s.*")
-    before = Window.orderBy("k", "side").rowsBetween(Window.unboundedPreceding, -1)
-    sides = sides.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    last = ranked.join(F.broadcast(sides), ["k", "side"]).filter("pos - start + 1 = pairs")
-    cut = last.groupBy("k").agg(F.max(F.when(F.col("side") == CHANGELOG, F.col("ord"))).alias("cut_c"),
+    slim = _tagged(existing, changelog, "ord")
+    keys = with_key(changelog).select("k").distinct()
+    slim = slim.join(keys, "k", "left_semi")
+    ranked = with_positions(materialise(number_rows(range_sort(slim, ["k", "side", "ord"])), "ranked"))
+    groups = ranked.groupBy("k", "side").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("n"))
+    pairs = groups.groupBy("k").agg(F.count(F.lit(1)).alias("sides"), F.min("n").alias("pairs")).filter("sides = 2")
+    last = groups.join(pairs, "k").select("k", "side", (F.col("start") + F.col("pairs") - 1).alias("pos"))
+    # Positions are unique, so this join has no hot key.
+    cut = ranked.select("pos", "ord").join(last, "pos")
+    return cut.groupBy("k").agg(F.max(F.when(F.col("side") == CHANGELOG, F.col("ord"))).alias("cut_c"),
                                 F.max(F.when(F.col("side") == EXISTING, F.col("ord"))).alias("cut_e"))
-    return materialise(hot.select("k").join(cut, "k", "left").withColumn("hot", F.lit(True)), "cutoffs")
 
 
 def upsert(existing: DataFrame, changelog: DataFrame, *, ordered: bool = False,
-           num_parts: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+           num_parts: int | None = None) -> DataFrame:
     """Merge ``(title, value, ord)`` tables into ``(title, value, k, side, ord, status)``.
 
-    All rows move in one exchange.  ``ordered=True`` makes it a range exchange, so the same
-    shuffle serves the merge and the total order of the output.  A hot key is spread over tasks
-    by ``(side, ord)`` and decided by two cutoffs instead of a window; finding hot keys is one
-    slim count of ``k``.
-    """
-    rows = _tagged(existing, changelog)
-    # At most skew.MAX_HOT_KEYS rows, usually none.
-    hot = largest(_side_counts(rows), "k", F.col("n_c") + F.col("n_e"), hot_rows)
-    found = hot.collect()
-    has_hot = bool(found)
-    group = ["k"]
-    if has_hot:
-        hot = rows.sparkSession.createDataFrame(found, hot.schema)
-        rows = rows.join(F.broadcast(_hot_cutoffs(rows, hot)), "k", "left")
-        rows = (rows.withColumn("hot", F.coalesce("hot", F.lit(False)))
-                .withColumn("_side", F.when(F.col("hot"), F.col("side")))
-                .withColumn("_ord", F.when(F.col("hot"), F.col("ord"))))
-        group += ["_side", "_ord"]
-    if ordered:
-        rows = rows.repartitionByRange(num_parts, *group) if num_parts else rows.repartitionByRange(*group)
-    return _decide(rows, group, has_hot).select("title", "value", "k", "side", "ord", "status")
-
-
-def _decide(rows: DataFrame, group: list[str], has_hot: bool) -> DataFrame:
-    """Drop the existing rows that a changelog row replaces and name every row's status.
-
-    Changelog rows come first in a key, so running counts decide; only ``status`` needs the
-    key's existing count, and Spark drops that window where the status is not used.
+    Full rows meet the cutoffs in a left join, which are unique per key: Spark broadcasts them if they
+    are small, else it can split a hot key, which is on one side only.  ``ordered=True`` adds a range
+    exchange on ``(k, side, ord)``, whose bounds may cut inside a key too.
     """
+    cuts = materialise(cutoffs(existing, changelog), "cutoffs")
+    rows = _tagged(existing, changelog, "title", "value", "ord").join(cuts, "k", "left")
     from_changelog = F.col("side") == CHANGELOG
-    in_key = Window.partitionBy(*group).orderBy("side", "ord")
-    running = in_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = in_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumns({
-        "_n": F.row_number().over(in_key),
-        "_nc": F.sum(F.when(F.col("side") == CHANGELOG, 1).otherwise(0)).over(running),
-        "_ne": F.sum(F.col("side")).over(whole),
-    })
-    unpaired = F.col("_n") - F.col("_nc") > F.col("_nc")
-    updated = F.col("_n") <= F.col("_ne")
-    if has_hot:
-        hot = F.col("hot")
-        unpaired = F.when(hot, F.coalesce(F.col("ord") > F.col("cut_e"), F.lit(True))).otherwise(unpaired)
-        updated = F.when(hot, F.coalesce(F.col("ord") <= F.col("cut_c"), F.lit(False))).otherwise(updated)
+    updated = F.coalesce(F.col("ord") <= F.col("cut_c"), F.lit(False))
+    replaced = F.coalesce(F.col("ord") <= F.col("cut_e"), F.lit(False))
     status = F.when(~from_changelog, KEPT).when(updated, UPDATED).otherwise(ADDED)
-    return rows.filter(from_changelog | unpaired).withColumn("status", status)
+    merged = (rows.filter(from_changelog | ~replaced).withColumn("status", status)
+              .select("title", "value", "k", "side", "ord", "status"))
+    return range_sort(merged, ["k", "side", "ord"], num_parts) if ordered else merged
 
 
 def merge_stats(existing: DataFrame, changelog: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexitab.functions.text import fold
+from lexitab.operators.sizing import parts_for
 from lexitab.session import materialise
 
 # Fixed value: monotonically_increasing_id() keeps the row number in its low 33 bits.
@@ -21,7 +22,9 @@ def with_key(df: DataFrame) -> DataFrame:
 
 def range_sort(df: DataFrame, keys: list, num_parts: int | None = None) -> DataFrame:
     """Total order by range partitions; ending ``keys`` in a unique column lets Spark's
-    sampled bounds cut through the rows of one hot key."""
+    sampled bounds cut through the rows of one hot key.  The number of partitions follows the
+    size of what is sorted, unless it is given."""
+    num_parts = num_parts or parts_for(df)
     df = df.repartitionByRange(num_parts, *keys) if num_parts else df.repartitionByRange(*keys)
     return df.sortWithinPartitions(*keys)
 

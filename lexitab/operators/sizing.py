@@ -12,16 +12,29 @@ UNKNOWN = (1 << 63) - 1
 PART_BYTES = 64 * 1024 ** 2
 
 
-def read_bytes(df: DataFrame) -> int:
-    """Stored size of all tables below ``df``, from file listings; joins and filters do not count, and
-    neither do tables of unknown size."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    return sum(size for size in sizes if size < UNKNOWN)
-
-
-def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int:
-    """How many partitions an exchange of ``df`` needs: one for each ``part_bytes`` that are read, and
-    no fewer than the session asks for."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(read_bytes(df) / part_bytes))
+def _row_width(node) -> int:
+    output = node.output()
+    return 8 + sum(output.apply(i).dataType().defaultSize() for i in range(output.size()))
+
+
+def moved_bytes(df: DataFrame) -> int:
+    """About how many stored bytes an exchange of ``df`` moves: the size of every table below it, from
+    file listings, by the share of its row width that ``df`` still has.
+
+    Joins and filters do not count, and neither do tables of unknown size.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    width, total = _row_width(plan), 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        size = int(str(leaf.stats().sizeInBytes()))
+        if size < UNKNOWN:
+            total += math.ceil(size * min(1.0, width / _row_width(leaf)))
+    return total
+
+
+def parts_for(df: DataFrame, part_bytes: int = PART_BYTES) -> int | None:
+    """How many partitions an exchange of ``df`` needs, one for each ``part_bytes``; ``None`` if the
+    session's own number, which Spark may lower, is enough."""
+    needed = math.ceil(moved_bytes(df) / part_bytes)
+    return needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None

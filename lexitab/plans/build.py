@@ -13,11 +13,11 @@ from lexitab.functions.text import date_stamp, iso_stamp
 from lexitab.operators.index import PART_ROWS, build_index, data_table, last_wins
 from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
-from lexitab.operators.skew import HOT_ROWS
 from lexitab.schema import DICT, HEADER_BYTES
 from lexitab.session import materialise, write_table
-from lexitab.sinks.files import exists, listed_bytes, write_csv_header, write_csv_parts, write_index, write_manifest
+from lexitab.sinks.files import exists, write_csv_header, write_csv_parts, write_index, write_manifest
 from lexitab.sources.files import as_dictionary, read_data, read_dictionary, read_index, read_manifest
+from lexitab.sources.listing import listed_bytes
 from lexitab.sources.synthetic import FULL_TEMPLATES, generate
 
 MANIFEST_FILE = "manifest.json"
@@ -66,11 +66,11 @@ def _publish(spark: SparkSession, root: str, version: str, ordered: DataFrame, *
     they agree on every row's place also when tasks run again.
     """
     home = os.path.join(root, "dict", version)
-    data = data_table(ordered, lambda df: write_table(df, os.path.join(home, DATA)), part_rows)
-    write_index(last_wins(build_index(data)), os.path.join(home, INDEX))
+    data = data_table(ordered, lambda df: write_table(df, os.path.join(home, DATA)))
+    write_index(last_wins(build_index(data, part_rows=part_rows)), os.path.join(home, INDEX))
     if csv:
         write_csv_header(spark, os.path.join(home, "header.csv"))
-        write_csv_parts(data, os.path.join(home, CSV))
+        write_csv_parts(data, os.path.join(home, CSV), part_rows)
     return _verify(spark, home, version, csv=csv, strict=strict)
 
 
@@ -125,9 +125,9 @@ def generate_csv(spark: SparkSession, path: str, *, num_rows: int | None = None,
     """
     rows = generate(spark, num_rows=num_rows, target_gb=target_gb, seed=seed, sort=False, templates=templates)
     ordered = stable_sort(rows) if sort else range_sort(rows, ["ord"])
-    data = data_table(ordered.select(*DICT.names), lambda df: materialise(df, "generated"), part_rows)
+    data = data_table(ordered.select(*DICT.names), lambda df: materialise(df, "generated"))
     write_csv_header(spark, os.path.join(path, "header.csv"))
-    write_csv_parts(data, os.path.join(path, CSV))
+    write_csv_parts(data, os.path.join(path, CSV), part_rows)
     return {"rows": data.count(), "bytes": listed_bytes(spark, os.path.join(path, CSV), "*.txt") + HEADER_BYTES}
 
 
@@ -143,7 +143,7 @@ def current_rows(spark: SparkSession, root: str, file_path: str) -> DataFrame:
 def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | None = None, *,
                       changelog_path: str | None = None, now: datetime | None = None,
                       num_parts: int | None = None, part_rows: int = PART_ROWS, csv: bool = True,
-                      strict: bool = False, hot_rows: int = HOT_ROWS) -> Version:
+                      strict: bool = False) -> Version:
     """Upsert a changelog into the live version and publish the result.
 
     The changelog is given as rows, as a path, or by the manifest.  The manifest keeps every
@@ -162,7 +162,7 @@ def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | Non
 
     stamp, iso = _stamps(spark, now)
     version = _new_version(spark, root, stamp)
-    merged = upsert(existing, changelog, ordered=True, num_parts=num_parts, hot_rows=hot_rows)
+    merged = upsert(existing, changelog, ordered=True, num_parts=num_parts)
     made = _publish(spark, root, version, merged.select("title", "value", "k"),
                     part_rows=part_rows, csv=csv, strict=strict)
     made.counters = _counters(existing.count(), changelog.count(), made.rows)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import has_text, normalize
-from lexitab.operators.skew import salted_left_join
 from lexitab.session import materialise
 
 
@@ -40,9 +39,8 @@ def changelog(t: DataFrame) -> DataFrame:
 
 def requests(t: DataFrame, events: DataFrame) -> DataFrame:
     """R: one lookup per event, for the title of the document its user number points at."""
-    asked = salted_left_join(
-        events.select(F.col("event_id").alias("request_id"), "ts", F.col("user_id").alias("ord")),
-        t.select("ord", "title"), "ord", F.col("request_id"))
+    asked = events.select(F.col("event_id").alias("request_id"), "ts", F.col("user_id").alias("ord")).join(
+        t.select("ord", "title"), "ord", "left")
     miss = F.concat(F.lit("missing-"), F.col("request_id").cast("string"))
     key = F.when(F.col("request_id") % 10 == 0, miss).otherwise(F.coalesce("title", F.lit("missing-user")))
     return asked.select("request_id", "ts", key.alias("key"))

@@ -33,7 +33,7 @@ def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _slim_table(rows: DataFrame, *extra: str) -> DataFrame:
     """Sorted rows as a written table that has their byte lengths in place of their values."""
     return index.data_table(rows, lambda df: materialise(
-        df.select("title", "k", "byte_length", "pid", "row", "part", *extra), "slim"))
+        df.select("title", "k", "byte_length", "pid", "row", *extra), "slim"))
 
 
 def _merged_table(existing: DataFrame, changelog: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def index_validation(spark, sf_dir):
 def index_from_lines(spark, sf_dir):
     _, path = _dictionary_csv(spark, sf_dir)
     lines = read_lines(spark, path)
-    return index.last_wins(index.logical_offsets(index.index_lines(lines, header=False), lines))
+    return index.last_wins(index.logical_offsets(index.index_lines(lines, header=False), path))
 
 
 def line_counts(spark, sf_dir):

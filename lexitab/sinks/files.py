@@ -8,29 +8,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import csv_line
-from lexitab.operators.index import part_name
+from lexitab.operators.index import PART_ROWS, part_name, with_parts
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.schema import HEADER, MANIFEST
 from lexitab.session import materialise
+from lexitab.sources.listing import listed_bytes
 
 JSON_PART_ENTRIES = 1_000_000
 
 
-def write_csv_parts(dictionary: DataFrame, path: str) -> None:
+def write_csv_parts(dictionary: DataFrame, path: str, part_rows: int = PART_ROWS) -> None:
     """Write a sorted data table as CSV parts, one file below each ``part_file=...`` folder.
 
     Header plus parts in name order is, byte for byte, the single CSV file.  Parts carry no
     header, so their offsets start at zero.  ``DataFrameWriter.csv`` is not used: it trims
     blanks and writes empty strings differently.
     """
-    _write_parts(dictionary.select("part", "row", csv_line().alias("line")), path, "\r\n")
+    lines = dictionary.select("pid", "row", "byte_length", csv_line().alias("line"))
+    _write_parts(with_parts(lines, part_rows), path, "\r\n")
 
 
 def _write_parts(lines: DataFrame, path: str, line_end: str) -> None:
-    """One text file per part: all lines of a part meet in one task, in order."""
-    (lines.withColumn("part_file", part_name("part"))
-     .repartition("part_file").sortWithinPartitions("part_file", "row")
-     .select("line", "part_file")
+    """One text file per part: all lines of a part meet in one task, in order.
+
+    Lines of parts that ``with_parts`` made are together already, by their partition.
+    """
+    (lines.sortWithinPartitions("part_file", "row").select("line", "part_file")
      .write.mode("errorifexists").partitionBy("part_file").option("lineSep", line_end).text(path))
 
 
@@ -59,14 +62,9 @@ def write_index_json(index: DataFrame, path: str) -> None:
         F.when(F.col("pos") == 0, "{\n").otherwise(""), F.lit("  "), quoted,
         F.format_string(': {\n    "offset": %d,\n    "length": %d\n  }', "byte_offset", "byte_length"),
         F.when(F.col("pos") == last, "\n}").otherwise(","))
-    part = F.floor(F.col("pos") / JSON_PART_ENTRIES)
-    _write_parts(placed.select(part.alias("part"), F.col("pos").alias("row"), entry.alias("line")), path, "\n")
-
-
-def listed_bytes(spark: SparkSession, path: str, pattern: str) -> int:
-    """Size of the files below ``path``, from the listing alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    part = part_name(F.lit(0), F.floor(F.col("pos") / JSON_PART_ENTRIES))
+    lines = placed.select(part.alias("part_file"), F.col("pos").alias("row"), entry.alias("line"))
+    _write_parts(lines.repartition("part_file"), path, "\n")
 
 
 def _file_system(spark: SparkSession, path: str):

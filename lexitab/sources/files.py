@@ -6,7 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from lexitab.operators.index import part_name
 from lexitab.schema import DICT, MANIFEST
 
 
@@ -53,7 +52,6 @@ DATA = T.StructType([
     T.StructField("byte_length", T.IntegerType()),
     T.StructField("pid", T.IntegerType()),
     T.StructField("row", T.LongType()),
-    T.StructField("part", T.LongType()),
 ])
 
 
@@ -65,7 +63,7 @@ def read_data(spark: SparkSession, path: str) -> DataFrame:
 def as_dictionary(data: DataFrame) -> DataFrame:
     """A published table as merge input; ``ord`` has the type that CSV input has."""
     return data.select("title", "value", F.struct(
-        part_name("part").alias("file"), F.lit(0).cast("long").alias("block"),
+        F.format_string("p%010d", "pid").alias("file"), F.lit(0).cast("long").alias("block"),
         F.col("row")).alias("ord"))
 
 
