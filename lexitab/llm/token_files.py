@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexitab.operators.ordering import bases, number_rows, range_sort
-from lexitab.operators.sizing import parts_for
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise, scratch_path
 
@@ -86,7 +85,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     """
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_row"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered = range_sort(slim, ["doc_id", "_h", "_row"], parts_for(docs)).select("doc_id", "text")
+    ordered = range_sort(slim, ["doc_id", "_h", "_row"]).select("doc_id", "text")
     encoded = ordered.mapInArrow(_encoded(tokenizer, end_id), f"doc_id {kind}, ids array<int>")
     number_rows(encoded).write.mode("errorifexists").options(**ORC).orc(path)
 
