@@ -15,13 +15,16 @@ from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
 from lexitab.schema import DICT, HEADER_BYTES
 from lexitab.session import materialise, write_table
-from lexitab.sinks.files import exists, write_csv_header, write_csv_parts, write_index, write_manifest
-from lexitab.sources.files import as_dictionary, read_data, read_dictionary, read_index, read_manifest
+from lexitab.sinks.files import (children, exists, write_csv_header, write_csv_parts, write_index, write_index_json,
+                                 write_manifest)
+from lexitab.sources.files import (as_dictionary, read_data, read_dictionary, read_index, read_index_json,
+                                   read_manifest)
 from lexitab.sources.listing import listed_bytes
 from lexitab.sources.synthetic import FULL_TEMPLATES, generate
 
 MANIFEST_FILE = "manifest.json"
-DATA, CSV, INDEX = "data.parquet", "data.csv", "index.parquet"
+DATA, CSV, INDEX, INDEX_JSON = "data.parquet", "data.csv", "index.parquet", "index.json"
+VERSIONS = "dict"
 DEFAULT_GB = 5.0
 
 
@@ -36,6 +39,7 @@ class Version:
     index_entries: int
     data_bytes: int
     index_bytes: int
+    index_json_bytes: int | None = None
     counters: dict[str, int] | None = None
 
 
@@ -52,29 +56,42 @@ def _stamps(spark: SparkSession, now: datetime | None) -> tuple[str, str]:
 def _new_version(spark: SparkSession, root: str, stamp: str) -> str:
     """``stamp``, or ``stamp-n`` on a day that already has a version: versions are immutable."""
     version, n = stamp, 0
-    while exists(spark, os.path.join(root, "dict", version)):
+    while exists(spark, os.path.join(root, VERSIONS, version)):
         n += 1
         version = f"{stamp}-{n}"
     return version
 
 
 def _publish(spark: SparkSession, root: str, version: str, ordered: DataFrame, *,
-             part_rows: int, csv: bool, strict: bool) -> Version:
+             part_rows: int, csv: bool, index_json: bool, strict: bool) -> Version:
     """Write data, index and CSV parts below ``dict/<version>`` and check them against each other.
 
     The data table is the one full-size write; the index and the CSV parts are made from it, so
     they agree on every row's place also when tasks run again.
     """
-    home = os.path.join(root, "dict", version)
+    home = os.path.join(root, VERSIONS, version)
     data = data_table(ordered, lambda df: write_table(df, os.path.join(home, DATA)))
-    write_index(last_wins(build_index(data, part_rows=part_rows)), os.path.join(home, INDEX))
+    entries = write_index(last_wins(build_index(data, part_rows=part_rows)), os.path.join(home, INDEX))
+    if index_json:
+        write_index_json(entries, os.path.join(home, INDEX_JSON))
     if csv:
         write_csv_header(spark, os.path.join(home, "header.csv"))
         write_csv_parts(data, os.path.join(home, CSV), part_rows)
-    return _verify(spark, home, version, csv=csv, strict=strict)
+    return _verify(spark, root, version, strict=strict)
 
 
-def _verify(spark: SparkSession, home: str, version: str, *, csv: bool, strict: bool) -> Version:
+def _verify(spark: SparkSession, root: str, version: str, *, strict: bool) -> Version:
+    """Check what a version holds against each other, and name only what it holds.
+
+    Data and index are always there.  CSV parts and the JSON index are checked if they were written;
+    without CSV parts the data table is the version's file.
+    """
+    home = os.path.join(root, VERSIONS, version)
+    for needed in (DATA, INDEX):
+        if not exists(spark, os.path.join(home, needed, "_SUCCESS")):
+            raise RuntimeError(f"{version} has no complete {needed}")
+    csv = exists(spark, os.path.join(home, CSV, "_SUCCESS"))
+    index_json = exists(spark, os.path.join(home, INDEX_JSON, "_SUCCESS"))
     data = read_data(spark, os.path.join(home, DATA))
     rows, size = data.agg(F.count(F.lit(1)), F.coalesce(F.sum("byte_length"), F.lit(0))).first()
     end = F.coalesce(F.max(F.col("byte_offset") + F.col("byte_length")), F.lit(HEADER_BYTES))
@@ -91,14 +108,15 @@ def _verify(spark: SparkSession, home: str, version: str, *, csv: bool, strict:
         if strict:
             raise RuntimeError(message)
         warnings.warn(message, stacklevel=2)
-    return Version(version, f"dict/{version}/{CSV}", f"dict/{version}/{INDEX}", rows, entries, size,
-                   listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"))
+    json_bytes = listed_bytes(spark, os.path.join(home, INDEX_JSON), "*.txt") if index_json and rows else None
+    return Version(version, f"{VERSIONS}/{version}/{CSV if csv else DATA}", f"{VERSIONS}/{version}/{INDEX}", rows, entries,
+                   size, listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"), json_bytes)
 
 
 def full_build(spark: SparkSession, root: str, source: DataFrame | None = None, *,
                target_gb: float = DEFAULT_GB, seed: int = 0, now: datetime | None = None,
                num_parts: int | None = None, part_rows: int = PART_ROWS, csv: bool = True,
-               strict: bool = False, service_name: str = "dictionary",
+               index_json: bool = False, strict: bool = False, service_name: str = "dictionary",
                service_description: str = "", service_author: str = "") -> Version:
     """Publish ``source`` (``title, value, ord``) as a first version; synthetic rows by default."""
     stamp, iso = _stamps(spark, now)
@@ -106,7 +124,8 @@ def full_build(spark: SparkSession, root: str, source: DataFrame | None = None,
         source = generate(spark, target_gb=target_gb, seed=seed, sort=False)
     ordered = stable_sort(source, num_parts).select("title", "value", "k")
     version = _new_version(spark, root, stamp)
-    made = _publish(spark, root, version, ordered, part_rows=part_rows, csv=csv, strict=strict)
+    made = _publish(spark, root, version, ordered, part_rows=part_rows, csv=csv, index_json=index_json,
+                    strict=strict)
     write_manifest(spark, os.path.join(root, MANIFEST_FILE), {
         "service_name": service_name, "service_description": service_description,
         "service_author": service_author, "file_path": made.file_path,
@@ -134,8 +153,8 @@ def generate_csv(spark: SparkSession, path: str, *, num_rows: int | None = None,
 def current_rows(spark: SparkSession, root: str, file_path: str) -> DataFrame:
     """Rows of a version as merge input: its data table, or a plain CSV made elsewhere."""
     path = os.path.join(root, file_path)
-    data = path[:-len(CSV)] + DATA if path.endswith(CSV) else path
-    if data != path and exists(spark, data):
+    data = os.path.join(os.path.dirname(path), DATA)
+    if exists(spark, data):
         return as_dictionary(read_data(spark, data))
     return read_dictionary(spark, path)
 
@@ -143,11 +162,12 @@ def current_rows(spark: SparkSession, root: str, file_path: str) -> DataFrame:
 def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | None = None, *,
                       changelog_path: str | None = None, now: datetime | None = None,
                       num_parts: int | None = None, part_rows: int = PART_ROWS, csv: bool = True,
-                      strict: bool = False) -> Version:
+                      index_json: bool = False, strict: bool = False, tag: str = "") -> Version:
     """Upsert a changelog into the live version and publish the result.
 
-    The changelog is given as rows, as a path, or by the manifest.  The manifest keeps every
-    field but the version's own, and is only switched after the new version was verified.
+    The changelog is given as rows, as a path, or by the manifest; it is evaluated once.  The manifest
+    keeps every field but the version's own, and is only switched after the new version was verified.
+    ``tag`` goes into the version's name after its date.
     """
     manifest = load_manifest(spark, root)
     if changelog is None:
@@ -158,13 +178,14 @@ def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | Non
         raise ValueError("missing or empty required manifest field: file_path")
     if changelog is None:
         changelog = read_dictionary(spark, os.path.join(root, changelog_path))
+    changelog = materialise(changelog.select(*DICT.names, "ord"), "changelog")
     existing = current_rows(spark, root, manifest["file_path"])
 
     stamp, iso = _stamps(spark, now)
-    version = _new_version(spark, root, stamp)
+    version = _new_version(spark, root, f"{stamp}-{tag}" if tag else stamp)
     merged = upsert(existing, changelog, ordered=True, num_parts=num_parts)
     made = _publish(spark, root, version, merged.select("title", "value", "k"),
-                    part_rows=part_rows, csv=csv, strict=strict)
+                    part_rows=part_rows, csv=csv, index_json=index_json, strict=strict)
     made.counters = _counters(existing.count(), changelog.count(), made.rows)
     manifest |= {"file_path": made.file_path, "index_file_path": made.index_file_path,
                  "last_updated_at": iso, "version": made.version}
@@ -180,19 +201,26 @@ def _counters(existing: int, changelog: int, total: int) -> dict[str, int]:
 
 
 def build(spark: SparkSession, root: str, *, source: DataFrame | None = None, **options) -> Version:
-    """Incremental if the manifest names a data file, else full."""
-    if load_manifest(spark, root).get("file_path", "").strip():
+    """Incremental if the manifest names a data file, else full.
+
+    A first run finds neither a manifest nor versions.  Versions without a manifest mean that it was
+    lost, and a full build would take the place of their data.
+    """
+    manifest = load_manifest(spark, root)
+    if manifest.get("file_path", "").strip():
         return incremental_build(spark, root, **options)
+    if not manifest and children(spark, os.path.join(root, VERSIONS)):
+        raise RuntimeError(f"{root} has versions but no manifest: roll back to one of them")
     return full_build(spark, root, source, **options)
 
 
 def rollback(spark: SparkSession, root: str, version: str, now: datetime | None = None) -> None:
-    """Point the manifest back at an earlier version; its files were never touched."""
-    home = os.path.join(root, "dict", version)
-    if not exists(spark, os.path.join(home, DATA, "_SUCCESS")):
+    """Point the manifest back at an earlier version, after checking its files once more."""
+    if not exists(spark, os.path.join(root, VERSIONS, version, DATA, "_SUCCESS")):
         raise ValueError(f"no such version: {version}")
+    made = _verify(spark, root, version, strict=False)
     manifest = load_manifest(spark, root)
-    manifest |= {"file_path": f"dict/{version}/{CSV}", "index_file_path": f"dict/{version}/{INDEX}",
+    manifest |= {"file_path": made.file_path, "index_file_path": made.index_file_path,
                  "last_updated_at": _stamps(spark, now)[1], "version": version}
     write_manifest(spark, os.path.join(root, MANIFEST_FILE), manifest)
 
@@ -209,4 +237,13 @@ def live_index(spark: SparkSession, root: str) -> DataFrame:
 
 def live_csv(spark: SparkSession, root: str) -> str:
     """Path of the live version's CSV parts."""
-    return os.path.join(root, load_manifest(spark, root)["file_path"])
+    path = load_manifest(spark, root)["file_path"]
+    if not path.endswith(CSV):
+        raise ValueError(f"the live version has no CSV parts: {path}")
+    return os.path.join(root, path)
+
+
+def live_index_json(spark: SparkSession, root: str) -> DataFrame:
+    """The live version's JSON index."""
+    home = os.path.dirname(os.path.join(root, load_manifest(spark, root)["index_file_path"]))
+    return read_index_json(spark, os.path.join(home, INDEX_JSON))

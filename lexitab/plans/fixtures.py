@@ -37,6 +37,12 @@ def changelog(t: DataFrame) -> DataFrame:
     return t.filter("ord % 4 = 0 or ord % 8 = 1").withColumn("value", revised)
 
 
+def second_changelog(changelog: DataFrame) -> DataFrame:
+    """D: every second row of C once more, with a new value and in other case."""
+    return changelog.filter("ord % 16 in (0, 1)").select(
+        F.upper("title").alias("title"), F.concat("value", F.lit(" [rev3]")).alias("value"), "ord")
+
+
 def requests(t: DataFrame, events: DataFrame) -> DataFrame:
     """R: one lookup per event, for the title of the document its user number points at."""
     asked = events.select(F.col("event_id").alias("request_id"), "ts", F.col("user_id").alias("ord")).join(

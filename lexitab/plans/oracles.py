@@ -144,5 +144,13 @@ SELECT request_id, lower(left(key, 3)) AS prefix, rank, title FROM r LEFT JOIN p
     "published_dictionary": f"WITH {_MERGE_INDEX} SELECT title, value, byte_offset, byte_length FROM mi",
     "published_index": f"WITH {_MERGE_INDEX} {_last('mi')}",
     "streamed_changelog": f"WITH {_MERGE} SELECT title, value FROM m",
+    "streamed_two_changelogs": f"""WITH {_MERGE},
+d AS (SELECT upper(title) AS title, value || ' [rev3]' AS value, k, row_number() OVER (PARTITION BY k ORDER BY ord) AS n
+      FROM c WHERE ord % 16 IN (0, 1)),
+m1 AS (SELECT title, value, k, row_number() OVER (PARTITION BY k ORDER BY rn) AS n
+       FROM (SELECT title, value, k, rn + CASE WHEN status = 'kept' THEN 1000000000 ELSE 0 END AS rn FROM m))
+SELECT coalesce(d.title, m1.title) AS title, coalesce(d.value, m1.value) AS value
+FROM m1 FULL OUTER JOIN d ON m1.k = d.k AND m1.n = d.n""",
 }
 ORACLES["range_lookup"] = ORACLES["batch_lookup"]
+ORACLES["published_index_json"] = ORACLES["published_index"]

@@ -250,7 +250,7 @@ def _published(spark, sf_dir, **options) -> str:
 
 def published_dictionary(spark, sf_dir):
     """Both builds, read back through the manifest."""
-    return (index.build_index(build.live_data(spark, _published(spark, sf_dir)), "value")
+    return (index.build_index(build.live_data(spark, _published(spark, sf_dir, csv=False)), "value")
             .select("title", "value", "byte_offset", "byte_length"))
 
 
@@ -259,6 +259,10 @@ def published_index(spark, sf_dir):
             .select("title", "byte_offset", "byte_length"))
 
 
+def published_index_json(spark, sf_dir):
+    return build.live_index_json(spark, _published(spark, sf_dir, csv=False, index_json=True))
+
+
 def range_lookup(spark, sf_dir):
     """The requests again, answered from byte ranges of the published CSV parts."""
     root = _published(spark, sf_dir)
@@ -267,13 +271,30 @@ def range_lookup(spark, sf_dir):
             .select("request_id", "key", "found", "value"))
 
 
+def _drop_changelog(spark, rows: DataFrame, incoming: str, name: str) -> None:
+    """Put a changelog down as a folder of CSV files, in its own order."""
+    ordered = ordering.range_sort(rows, ["ord"])
+    ordered.select("value", "title").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{incoming}/{name}")
+
+
 def streamed_changelog(spark, sf_dir):
-    """The same upsert, with C arriving as CSV files."""
+    """The same upsert, with C arriving as CSV files whose columns are the other way round."""
+    root, incoming = scratch_path(spark, "streamed"), scratch_path(spark, "incoming")
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    build.full_build(spark, root, existing, csv=False)
+    _drop_changelog(spark, changelog, incoming, "c1")
+    apply_changelogs(spark, root, incoming, csv=False).awaitTermination()
+    return build.live_data(spark, root).select("title", "value")
+
+
+def streamed_two_changelogs(spark, sf_dir):
+    """C and then a second changelog on the same keys, both waiting in one batch."""
     root, incoming = scratch_path(spark, "streamed"), scratch_path(spark, "incoming")
     existing, changelog, _ = _inputs(spark, sf_dir)
     build.full_build(spark, root, existing, csv=False)
-    changelog.select("title", "value").write.options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(incoming)
+    _drop_changelog(spark, fixtures.second_changelog(changelog), incoming, "c2")
+    _drop_changelog(spark, changelog, incoming, "c1")
     apply_changelogs(spark, root, incoming, csv=False).awaitTermination()
     return build.live_data(spark, root).select("title", "value")
 
@@ -291,5 +312,5 @@ QUERIES = {f.__name__: f for f in (
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_checks, published_dictionary,
-    published_index, range_lookup, streamed_changelog,
+    published_index, published_index_json, range_lookup, streamed_changelog, streamed_two_changelogs,
 )}

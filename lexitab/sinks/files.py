@@ -11,7 +11,7 @@ from lexitab.functions.text import csv_line
 from lexitab.operators.index import PART_ROWS, part_name, with_parts
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.schema import HEADER, MANIFEST
-from lexitab.session import materialise
+from lexitab.session import materialise, write_table
 from lexitab.sources.listing import listed_bytes
 
 JSON_PART_ENTRIES = 1_000_000
@@ -41,10 +41,10 @@ def write_csv_header(spark: SparkSession, path: str) -> None:
     _put(spark, path, HEADER + "\r\n")
 
 
-def write_index(index: DataFrame, path: str) -> None:
+def write_index(index: DataFrame, path: str) -> DataFrame:
     """The index as a zstd Parquet table, each file one shard with its own range of titles, so
-    that a lookup of few keys skips the other files."""
-    range_sort(index, ["title"]).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    that a lookup of few keys skips the other files; returns the written table."""
+    return write_table(range_sort(index, ["title"]), path)
 
 
 def write_index_json(index: DataFrame, path: str) -> None:
@@ -78,20 +78,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it does not exist."""
+    _, target, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+# Stores whose rename replaces a file in one step.  Any other store shows a new object when its one put
+# has ended, and has no such rename.
+RENAMING = {"file", "hdfs", "viewfs"}
+
+
 def _put(spark: SparkSession, path: str, text: str) -> None:
-    """Write one small object so that readers see the old or the new text, never a part of it."""
+    """Write one small object so that readers see the old or the new text, never a part of it or none."""
     jvm, target, fs = _file_system(spark, path)
-    temp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    stream = fs.create(temp)
+    renames = (fs.getUri().getScheme() or "file") in RENAMING
+    written = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp") if renames else target
+    stream = fs.create(written, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
+    if not renames:
+        return
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(temp, target, options)
+    context.rename(written, target, options)
 
 
 def write_manifest(spark: SparkSession, path: str, manifest: dict[str, str]) -> None:

@@ -69,3 +69,15 @@ def as_dictionary(data: DataFrame) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def read_index_json(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON index in parts as ``(title, byte_offset, byte_length)``.
+
+    A part is a piece of one object; with its ends trimmed and braces around it, it is an object.
+    """
+    parts = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+    body = F.regexp_replace(F.regexp_replace("value", r"^\{\n", ""), r"(,|\n\})?\n$", "")
+    entries = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), "map<string, struct<offset: bigint, length: int>>")
+    return parts.select(F.explode(entries).alias("title", "e")).select(
+        "title", F.col("e.offset").alias("byte_offset"), F.col("e.length").alias("byte_length"))

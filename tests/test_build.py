@@ -72,7 +72,7 @@ def test_full_then_incremental(spark, root, rows):
 def test_values_by_byte_range(spark, root, rows):
     build.full_build(spark, root, rows(E), now=DAY, part_rows=1)
     asked = spark.createDataFrame([(1, "b,c"), (2, "Apple"), (3, "b,c"), (4, "none")], "request_id long, key string")
-    got = lookup.read_values(spark, asked, build.live_index(spark, root), build.live_csv(spark, root), hot_rows=1)
+    got = lookup.read_values(spark, asked, build.live_index(spark, root), build.live_csv(spark, root))
     assert {r.request_id: r.value for r in got.collect()} == {1: "line\nbreak", 2: "e1", 3: "line\nbreak", 4: None}
 
 
@@ -135,6 +135,65 @@ def test_rollback(spark, root, rows):
         build.rollback(spark, root, "20990101")
 
 
+def test_the_manifest_names_only_what_was_written(spark, root, rows):
+    made = build.full_build(spark, root, rows(E), now=DAY, csv=False)
+    assert made.file_path == manifest_of(root)["file_path"] == "dict/20240501/data.parquet"
+    assert os.path.exists(os.path.join(root, made.file_path))
+    with pytest.raises(ValueError, match="no CSV parts"):
+        build.live_csv(spark, root)
+    put_csv(root, "changes.csv", C)
+    build.incremental_build(spark, root, changelog_path="changes.csv", now=DAY)
+    assert manifest_of(root)["file_path"] == "dict/20240501-1/data.csv" and build.live_csv(spark, root)
+    build.rollback(spark, root, "20240501", now=DAY)
+    assert manifest_of(root)["file_path"] == "dict/20240501/data.parquet" and live(spark, root) == models.stable_sorted(E)
+
+
+def test_rollback_checks_the_files(spark, root, rows):
+    build.full_build(spark, root, rows(E), now=DAY)
+    put_csv(root, "changes.csv", C)
+    build.incremental_build(spark, root, changelog_path="changes.csv", now=DAY)
+    before = manifest_of(root)
+    part = glob.glob(f"{root}/dict/20240501/data.csv/part_file=*/*.txt")[0]
+    with open(part, "ab") as f:
+        f.write(b"more")
+    os.remove(f"{os.path.dirname(part)}/.{os.path.basename(part)}.crc")
+    with pytest.raises(RuntimeError, match="CSV parts"):
+        build.rollback(spark, root, "20240501")
+    os.remove(f"{root}/dict/20240501/index.parquet/_SUCCESS")
+    with pytest.raises(RuntimeError, match="no complete index"):
+        build.rollback(spark, root, "20240501")
+    assert manifest_of(root) == before
+
+
+def test_a_lost_manifest_is_not_a_first_run(spark, root, rows):
+    build.full_build(spark, root, rows(E), now=DAY, csv=False)
+    os.remove(os.path.join(root, "manifest.json"))
+    with pytest.raises(RuntimeError, match="versions but no manifest"):
+        build.build(spark, root, source=rows(E), now=DAY)
+    build.rollback(spark, root, "20240501", now=DAY)
+    assert live(spark, root) == models.stable_sorted(E)
+
+
+def test_one_put_where_rename_is_not_atomic(spark, root, monkeypatch):
+    from lexitab.sinks import files
+    monkeypatch.setattr(files, "RENAMING", set())
+    path = os.path.join(root, "manifest.json")
+    for version in ("1", "2"):
+        write_manifest(spark, path, {"version": version})
+        assert build.load_manifest(spark, root) == {"version": version}
+    assert [n for n in os.listdir(root) if not n.startswith(".")] == ["manifest.json"]
+
+
+def test_json_index_of_a_version(spark, root, rows):
+    made = build.full_build(spark, root, rows(E), now=DAY, index_json=True)
+    want = sorted((r.title, r.byte_offset, r.byte_length) for r in build.live_index(spark, root).collect())
+    assert sorted(tuple(r) for r in build.live_index_json(spark, root).collect()) == want
+    parts = sorted(glob.glob(f"{root}/dict/20240501/index.json/part_file=*/*.txt"))
+    data = b"".join(open(f, "rb").read() for f in parts)
+    assert made.index_json_bytes == len(data)
+    assert json.loads(data) == {t: {"offset": o, "length": n} for t, o, n in want}
+
+
 def test_index_mismatch_warns_or_raises(spark, root, rows):
     twice = [("a", "1"), ("a", "2")]
     with pytest.warns(UserWarning, match="difference 1"):
@@ -158,7 +217,7 @@ def test_hot_key_in_a_build(spark, root, rows):
     with pytest.warns(UserWarning):
         build.full_build(spark, root, rows(e), now=DAY, csv=False, num_parts=6)
         made = build.incremental_build(spark, root, changelog_path="changes.csv", now=DAY,
-                                       hot_rows=40, num_parts=6, part_rows=50)
+                                       num_parts=6, part_rows=50)
     want, counts = models.merge(models.stable_sorted(e), c)
     assert live(spark, root) == want and made.counters == counts
     assert file_bytes(root, manifest_of(root)) == models.csv_bytes(want)[0]
@@ -196,3 +255,18 @@ def test_streamed_changelogs(spark, root, rows):
     put_csv(incoming, "two.csv", [("Zoo", "again")])
     apply_changelogs(spark, root, incoming, csv=False).awaitTermination()
     assert live(spark, root) == models.merge(want, [("Zoo", "again")])[0]
+
+
+def test_waiting_changelogs_apply_one_by_one(spark, root, rows):
+    """Two files and a folder on the same keys, one of them with its columns the other way round."""
+    build.full_build(spark, root, rows([("a", "1"), ("b", "1")]), now=DAY, csv=False)
+    incoming = os.path.join(root, "incoming")
+    os.makedirs(os.path.join(incoming, "c3.d"))
+    put_csv(incoming, "c1.csv", [("a", "2")])
+    with open(os.path.join(incoming, "c2.csv"), "w") as f:
+        f.write("value,title\n3,a\n3,A\n")
+    put_csv(os.path.join(incoming, "c3.d"), "x.csv", [("b", "4")])
+    apply_changelogs(spark, root, incoming, csv=False).awaitTermination()
+    assert live(spark, root) == [("a", "3"), ("A", "3"), ("b", "4")]
+    versions = sorted(os.listdir(os.path.join(root, "dict")))
+    assert [v[8:] for v in versions if "-b" in v] == [f"-b000000-00{i}" for i in range(3)]

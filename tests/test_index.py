@@ -18,8 +18,8 @@ PAIRS = [("b,c", "x\ny"), ('a"b', ""), (" a", '"q"'), ("", "empty title"), ("é"
          ("Zebra", "last"), ("dup", "1"), ("dup", "2"), ("DUP", "3")]
 
 
-def table(df, parts=4, part_rows=3):
-    return index.data_table(ordering.stable_sort(df, parts), lambda d: materialise(d, "test"), part_rows)
+def table(df, parts=4):
+    return index.data_table(ordering.stable_sort(df, parts), lambda d: materialise(d, "test"))
 
 
 def part_bytes(path):
@@ -30,12 +30,13 @@ def part_bytes(path):
 def test_parts_and_offsets_equal_one_csv_file(spark, rows, parts, part_rows):
     rng = random.Random(3)
     pairs = [rng.choice(PAIRS) for _ in range(60)]
-    data = table(rows(pairs), parts, part_rows)
+    data = table(rows(pairs), parts)
     path = scratch_path(spark, "csv")
-    write_csv_parts(data, path)
+    write_csv_parts(data, path, part_rows)
     want, places = models.csv_bytes(models.stable_sorted(pairs))
     assert b"title,value\r\n" + part_bytes(path) == want
-    got = index.build_index(data).orderBy("byte_offset").collect()
+    got = index.build_index(data, "value", part_rows=part_rows).orderBy("byte_offset").collect()
+    assert [(r.title, r.value) for r in got] == models.stable_sorted(pairs)
     assert [(r.byte_offset, r.byte_length) for r in got] == places
     assert [r.title for r in got] == [t for t, _ in models.stable_sorted(pairs)]
 
@@ -43,20 +44,44 @@ def test_parts_and_offsets_equal_one_csv_file(spark, rows, parts, part_rows):
 def test_slices_decode_to_their_rows(spark, rows):
     data = table(rows(PAIRS))
     path = scratch_path(spark, "csv")
-    write_csv_parts(data, path)
-    got = lookup.fetch_slices(spark, index.build_index(data), path).orderBy("byte_offset").collect()
+    write_csv_parts(data, path, 3)
+    got = lookup.fetch_slices(spark, index.build_index(data, part_rows=3), path).orderBy("byte_offset").collect()
     assert [(r.slice_title, r.slice_value) for r in got] == models.stable_sorted(PAIRS)
     assert all(r.title == r.slice_title for r in got)
 
 
-def test_a_few_slices_read_only_their_parts(spark, rows):
-    data = table(rows(PAIRS), 4, 1)
+def test_no_content_is_in_an_exchange(spark, rows):
+    data = table(rows(PAIRS))
     path = scratch_path(spark, "csv")
-    write_csv_parts(data, path)
-    got = lookup.fetch_slices(spark, index.build_index(data).filter("title = 'é'"), path)
+    write_csv_parts(data, path, 1)
+    got = lookup.fetch_slices(spark, index.build_index(data, part_rows=1).filter("title = 'é'"), path)
     assert [(r.slice_title, r.slice_value) for r in got.collect()] == [("é", "日本, 😀")]
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*part_file", plan)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [" in line and "content" in line]
+    assert scans and plan.index("MapInArrow") < plan.index("RepartitionByExpression") and "content#" not in plan.split("Relation [")[0]
+
+
+def test_long_values_by_byte_range(spark, rows, monkeypatch):
+    """Rows of over 131 KB, parts that their bytes end, and reads shorter than a row."""
+    monkeypatch.setattr(index, "PART_BYTES", 300_000)
+    monkeypatch.setattr(lookup, "READ_BYTES", 100_000)
+    pairs = [(f"t{i:02}", f"{i}," * 70_000) for i in range(12)] + [("short", "x")]
+    data = table(rows(pairs), 2)
+    path = scratch_path(spark, "csv")
+    write_csv_parts(data, path)
+    sizes = [len(open(f, "rb").read()) for f in glob.glob(f"{path}/part_file=*/*.txt")]
+    assert len(sizes) > 3 and max(sizes) < 300_000 + 250_000
+    got = lookup.fetch_slices(spark, index.build_index(data), path).collect()
+    assert sorted((r.slice_title, r.slice_value) for r in got) == sorted(pairs)
+
+
+def test_many_parts_in_two_partitions(spark):
+    """One row per part, 250,000 rows: offsets are those of a plain running sum."""
+    many = spark.range(0, 250_000, 1, 2).selectExpr("lpad(id, 9, '0') as title", "'v' as value", "id as ord")
+    data = index.data_table(ordering.stable_sort(many, 2), lambda d: materialise(d, "many"))
+    got = index.build_index(data, part_rows=1)
+    wrong = got.filter("byte_offset <> 13 + cast(title as bigint) * 13 or part_offset <> 0")
+    assert wrong.count() == 0 and got.select("part_file").distinct().count() == 250_000
 
 
 def test_last_wins_and_validation(spark, rows):
@@ -158,7 +183,7 @@ def test_read_dictionary_by_name_with_gaps(spark, tmp_path):
 def test_lookup_and_misses(spark, rows):
     asked = spark.createDataFrame([(1, "dup"), (2, "nope"), (3, "dup"), (4, None)], "request_id long, key string")
     entries = spark.createDataFrame([("dup", "2"), ("DUP", "3")], "title string, value string")
-    got = {r.request_id: (r.found, r.value) for r in lookup.lookup(asked, entries, hot_rows=1).collect()}
+    got = {r.request_id: (r.found, r.value) for r in lookup.lookup(asked, entries).collect()}
     assert got == {1: (True, "2"), 2: (False, None), 3: (True, "2"), 4: (False, None)}
     assert {(r.key, r.requests) for r in lookup.misses(asked, entries).collect()} == {("nope", 1), (None, 1)}
 
@@ -175,6 +200,23 @@ def test_prefixes(spark, rows):
     assert [(r.request_id, r.title) for r in done] == [(1, "bee"), (2, None)]
 
 
+def test_prefixes_for_any_k(spark):
+    many = spark.range(6_000).selectExpr("concat('a', lpad(id, 5, '0')) as title", "'' as value", "id as ord")
+    ranks = lookup.prefix_index(many, 1, 5_000)
+    assert [(r.rank, r.title) for r in ranks.orderBy("rank").collect()] == [(i + 1, f"a{i:05}") for i in range(5_000)]
+    plan = lookup.prefix_index(many, 1, 5_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [row_number()") == 2
+
+
+def test_the_table_is_cut_before_values_move(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) title", "'v' value").write.parquet(str(tmp_path / "t"))
+    asked = spark.createDataFrame([(1, "5"), (2, "500")], "request_id long, key string")
+    got = lookup.lookup(asked, spark.read.parquet(str(tmp_path / "t")))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("LeftOuter")
+    assert {(r.request_id, r.found) for r in got.collect()} == {(1, True), (2, False)}
+
+
 def test_prefix_filter_reaches_the_scan(spark, rows):
     path = scratch_path(spark, "prefix")
     table(rows(PAIRS)).write.parquet(path)

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 import models
-from lexitab.operators import ordering, skew
+from lexitab.operators import ordering, sizing
 
 
 def test_sort_is_stable_and_positions_count_up(rows):
@@ -32,18 +32,19 @@ def test_first_n(spark):
         assert sorted(r.ord for r in ordering.first_n(ids, n).collect()) == want[:n]
 
 
-def test_salted_join_equals_plain_join(spark):
-    left = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot")
-                                    .otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"))
-    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3)], "key string, v int")
-    plain = sorted(map(tuple, left.join(right, "key", "left").collect()), key=str)
-    for hot_rows in (100_000, 20, 1):
-        salted = skew.salted_left_join(left, right, "key", F.col("id"), hot_rows)
-        assert sorted(map(tuple, salted.collect()), key=str) == plain
-
-
-def test_hot_key_table_is_bounded_and_repeatable(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
-    keys = spark.range(1000).select((F.col("id") % 10).cast("string").alias("key"))
-    got = skew.hot_keys(keys, "key", 50).collect()
-    assert [r.key for r in got] == ["0", "1", "2"]
+def test_partition_counts_follow_the_size(spark, tmp_path, monkeypatch):
+    """The session's own number of shuffle partitions stays as it is."""
+    sizes = []
+    for n in (1_000, 8_000):
+        path = str(tmp_path / str(n))
+        spark.range(n).selectExpr("id as ord", "sha2(cast(id as string), 512) as value").write.parquet(path)
+        sizes.append(sizing.moved_bytes(spark.read.parquet(path)))
+    assert 7 < sizes[1] / sizes[0] < 9
+    table = spark.read.parquet(path)
+    assert sizing.parts_for(table) is None
+    monkeypatch.setattr(sizing.parts_for, "__defaults__", (sizes[1] // 40,))
+    assert 40 <= sizing.parts_for(table) <= 42
+    assert sizing.parts_for(table.select("ord")) < 40
+    assert ordering.range_sort(table, ["ord"]).rdd.getNumPartitions() >= 40
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert sizing.moved_bytes(spark.createDataFrame([(1,)], "a int")) == 0
