@@ -127,8 +127,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     The filter is put together by Spark, one row per used slot, so at most SLOTS rows per 63 languages
     reach the driver.
     """
-    rows = bounded_sample(docs.select("doc_id", "text", "lang"), "lang", sample)
-    totals = {r.lang: r.n for r in docs.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows, totals = bounded_sample(docs, docs.select("doc_id", "lang"), "lang", sample)
     languages = sorted(totals)
     shares = [totals[lang] / sum(totals.values()) for lang in languages]
     words = np.zeros((max(1, -(-len(languages) // WORD)), SLOTS), dtype=np.uint64)

@@ -128,14 +128,14 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each quality.
 
-    Only their term counts, 4 KB each, reach the driver.  A vote counts as many documents as its text
+    Documents and labels meet by their ids alone.  Only term counts, 4 KB each, reach the driver.  A vote counts as many documents as its text
     stands for, so the bound does not shift the labels' shares.  Where rows of ``labels`` disagree on a
     document the lower quality holds.
     """
     marks = labels.filter("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
-    rows = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
-    totals = {r.quality: r.n for r in rows.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
-    found = bounded_sample(rows, "quality", sample).select("quality", "text").mapInArrow(
+    ids = docs.select("doc_id").join(marks, F.col("doc_id") == F.col("_id")).select("doc_id", "quality")
+    rows, totals = bounded_sample(docs, ids, "quality", sample)
+    found = rows.select("quality", "text").mapInArrow(
         _term_rows, "quality int, counts binary").toPandas().sort_values(["quality", "counts"])
     counts = np.frombuffer(b"".join(found["counts"]), dtype=np.int32).reshape(-1, TERMS).astype(np.int64)
     quality = found["quality"].to_numpy(dtype=np.int64)

@@ -20,11 +20,17 @@ def remainder(doc_id, folds):
 # --- samples ----------------------------------------------------------------------------------
 
 def test_samples_are_bounded_for_hot_ids_and_labels(spark):
-    rows = [(i, f"t{i}", "a") for i in range(50)] + [(7, f"u{i}", "b") for i in range(60)] + [(None, "n", "c"), (9, "x", None)]
-    found = samples.bounded_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), "lang", 10)
+    rows = [(i, f"t{i}", "a") for i in range(500)] + [(7000, f"u{i}", "b") for i in range(600)]
+    rows += [(8000, "same", "d")] * 300 + [(None, "n", "c"), (9, "x", None)]
+    schema = "doc_id bigint, text string, lang string"
+
+    def sample(docs):
+        return samples.bounded_sample(docs, docs.select("doc_id", "lang"), "lang", 10)
+    found, totals = sample(spark.createDataFrame(rows, schema))
     counts = {r.lang: r["count"] for r in found.groupBy("lang").count().collect()}
-    assert counts == {"a": 10, "b": 10, "c": 1}
-    again = samples.bounded_sample(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(7), "lang", 10)
+    assert counts == {"a": 10, "b": 10, "c": 1, "d": 1}
+    assert totals == {"a": 500, "b": 1, "c": 1, "d": 1}
+    again, _ = sample(spark.createDataFrame(rows, schema).repartition(7))
     assert sorted(map(str, found.collect())) == sorted(map(str, again.collect()))
 
 
