@@ -14,11 +14,13 @@ def read_dictionary(spark: SparkSession, path: str, multi_line: bool = True,
     """A dictionary or changelog CSV as ``(title, value, ord)``.
 
     Columns go by header name; missing fields are empty and extra ones dropped; a line end
-    inside quotes becomes ``\\n``.  ``ord`` is (file, split, row).  ``multi_line=False`` lets
-    Spark split large files whose values hold no line ends; ``header=False`` reads CSV parts.
+    inside quotes becomes ``\\n``.  All files of a folder need the same header: one that differs is an
+    error when it is read, as Spark would take its columns by their place.  ``ord`` is (file, split,
+    row).  ``multi_line=False`` lets Spark split large files whose values hold no line ends;
+    ``header=False`` reads CSV parts.
     """
-    reader = spark.read.options(escape='"', header=header, multiLine=multi_line)
-    raw = reader.csv(path) if header else reader.schema(DICT).csv(path)
+    reader = spark.read.options(escape='"', header=header, multiLine=multi_line, enforceSchema=False)
+    raw = reader.schema(reader.csv(path).schema).csv(path) if header else reader.schema(DICT).csv(path)
     return raw.select(
         *(F.regexp_replace(F.coalesce(name, F.lit("")), "\r\n?", "\n").alias(name) for name in DICT.names),
         F.struct(F.col("_metadata.file_path").alias("file"),

@@ -180,6 +180,23 @@ def test_read_dictionary_by_name_with_gaps(spark, tmp_path):
     assert (got.title, got.value) == ("a", "1")
 
 
+def test_a_folder_with_two_headers_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,value,more\nx,1,m\n")
+    (tmp_path / "b.csv").write_text("title,value,more\ny,2,m\n")
+    got = read_dictionary(spark, str(tmp_path)).collect()
+    assert sorted((r.title, r.value) for r in got) == [("x", "1"), ("y", "2")]
+    (tmp_path / "c.csv").write_text("value,title,more\n3,z,m\n")
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="header"):
+            read_dictionary(spark, str(tmp_path), multi_line).collect()
+
+
+def test_text_after_a_closing_quote(spark, tmp_path):
+    """Kept as it stands, quotes included: the reader takes such a field for an unquoted one."""
+    (tmp_path / "a.csv").write_text('title,value\n"q"r,2\n')
+    assert read_dictionary(spark, str(tmp_path)).first().title == '"q"r'
+
+
 def test_lookup_and_misses(spark, rows):
     asked = spark.createDataFrame([(1, "dup"), (2, "nope"), (3, "dup"), (4, None)], "request_id long, key string")
     entries = spark.createDataFrame([("dup", "2"), ("DUP", "3")], "title string, value string")
