@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from lexitab.llm.memory import Memory
 from lexitab.operators.ordering import bases, number_rows, range_sort
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise, scratch_path
@@ -24,8 +27,10 @@ from lexitab.session import materialise, scratch_path
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 ORC = {"orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(32 * 1024 ** 2),
        "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
-# Chunks of text whose ids a worker remembers before it starts anew, and chunks encoded at a time.
-REMEMBERED, BATCH = 400_000, 4_096
+# Chunks of text whose ids a worker remembers.
+REMEMBERED = 400_000
+# Marks that end a chunk and make up one word, if a letter or number is before them.
+ENDS = ".,;:!?"
 
 
 class ChunkEncoder:
@@ -33,28 +38,49 @@ class ChunkEncoder:
 
     The tokenizer drops white space and lets no word, normalisation or special token reach across it,
     so a text's ids are those of its chunks in turn.  Chunks are parted at blanks and line feeds only;
-    any other white space is left to the tokenizer.
+    any other white space is left to the tokenizer.  It also ends a word where letters or numbers meet
+    marks, so marks at a chunk's end are a chunk of their own.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        # Printable bytes stand for themselves, the others for characters from 256 on.
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.shown = [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+        self.known = Memory(self._ids, REMEMBERED)
+
+    @staticmethod
+    def _folded(text: str) -> str:
+        """The text in lower case where the tokenizer, which folds it in any case, gives the same ids.
+
+        It composes characters before it folds them and finds special tokens before either; it also
+        knows no final sigma.  Where one of these could matter the text stays as it is.
+        """
+        if text.isascii():
+            return text if "<|" in text else text.lower()
+        if "<|" in text or "Σ" in text or not is_normalized("NFC", text):
+            return text
+        lower = text.lower()
+        return lower if is_normalized("NFC", lower) else text
+
+    def _ids(self, chunk: str) -> bytes:
+        """The ids of one chunk."""
+        if chunk.isalpha() and chunk == chunk.lower() and (chunk.isascii() or is_normalized("NFC", chunk)):
+            # One word that nothing changes: it goes to the model as the characters that stand for its bytes.
+            word = chunk if chunk.isascii() else "".join(map(self.shown.__getitem__, chunk.encode("utf-8")))
+            return array("i", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+        body = chunk.rstrip(ENDS)
+        if body != chunk and body and body[-1].isalnum():
+            return self.known[body] + self.known[chunk[len(body):]]
+        return array("i", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-        new = list(set(chunks).difference(known))
-        for start in range(0, len(new), BATCH):
-            part = new[start:start + BATCH]
-            for chunk, made in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[chunk] = np.array(made.ids, dtype="<i4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+        """The ids as 32-bit integers in the machine's byte order."""
+        chunks = self._folded(text).replace("\n", " ").split(" ")
+        return b"".join(map(self.known.__getitem__, chunks))
 
 
 @lru_cache(maxsize=4)
@@ -64,14 +90,14 @@ def encoder(path: str) -> ChunkEncoder:
 
 
 def _encoded(path: str, end_id: int):
-    end = np.array([end_id], dtype="<i4").tobytes()
+    end = np.array([end_id], dtype="i4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
             rows = [coder.encode(text.as_py() or "") + end for text in batch.column("text")]
             offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), dtype="i4")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
     return work
 
