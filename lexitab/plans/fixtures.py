@@ -28,6 +28,11 @@ def dictionary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(dictionary(spark, sf_dir), "input")
 
 
+def title_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T with empty values as a written table, for jobs that need titles only."""
+    return materialise(dictionary(spark, sf_dir).withColumn("value", F.lit("")), "titles")
+
+
 def existing(t: DataFrame) -> DataFrame:
     return t.filter("ord % 4 <> 0")
 

@@ -18,9 +18,9 @@ from lexitab.streaming.changelog import apply_changelogs
 PREFIX, TOP_K, PREFIX_LEN, SHARDS = "th", 20, 4, 16
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _inputs(spark: SparkSession, sf_dir: str, titles_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Existing rows, changelog and requests, from one written dictionary table."""
-    t = fixtures.dictionary_table(spark, sf_dir)
+    t = fixtures.title_table(spark, sf_dir) if titles_only else fixtures.dictionary_table(spark, sf_dir)
     return (fixtures.existing(t), fixtures.changelog(t),
             fixtures.requests(t, fixtures.table(spark, sf_dir, "events")))
 
@@ -140,7 +140,8 @@ def index_last_wins(spark, sf_dir):
 
 
 def index_validation(spark, sf_dir):
-    return index.index_validation(_merged(spark, sf_dir))
+    existing, changelog, _ = _inputs(spark, sf_dir, titles_only=True)
+    return index.index_validation(merge.upsert(existing, changelog))
 
 
 def index_from_lines(spark, sf_dir):
@@ -175,7 +176,7 @@ def capacity_estimate(spark, sf_dir):
 
 
 def hot_keys(spark, sf_dir):
-    return reports.hot_keys(_inputs(spark, sf_dir)[2], TOP_K)
+    return reports.hot_keys(_inputs(spark, sf_dir, titles_only=True)[2], TOP_K)
 
 
 def batch_lookup(spark, sf_dir):
@@ -191,7 +192,7 @@ def index_lookup(spark, sf_dir):
 
 
 def lookup_misses(spark, sf_dir):
-    existing, changelog, requests = _inputs(spark, sf_dir)
+    existing, changelog, requests = _inputs(spark, sf_dir, titles_only=True)
     return lookup.misses(requests, merge.upsert(existing, changelog))
 
 
@@ -204,33 +205,34 @@ def prefix_index_topk(spark, sf_dir):
 
 
 def prefix_complete(spark, sf_dir):
-    t = fixtures.dictionary_table(spark, sf_dir)
+    t = fixtures.title_table(spark, sf_dir)
     requests = fixtures.requests(t, fixtures.table(spark, sf_dir, "events"))
     asked = requests.select("request_id", F.substring("key", 1, 3).alias("prefix"))
     return (lookup.complete(asked, lookup.prefix_index(t, PREFIX_LEN, 3))
             .select("request_id", "prefix", "rank", "title"))
 
 
-def _attempts(spark, sf_dir):
-    """Ten attempts for every document, and the number of documents.
+def _synthetic(spark, sf_dir, seed: int, templates: list[str]) -> DataFrame:
+    """A synthetic row for every document, in the most frequent words of all documents.
 
-    Making titles is heavy for such slim rows, so they are spread over all cores first.
+    A block has one attempt per document; making titles is heavy for such slim rows, so they are spread
+    over all cores first.
     """
-    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id")
-    docs = docs.repartition(spark.sparkContext.defaultParallelism, "doc_id")
-    first = F.col("doc_id") * synthetic.ATTEMPTS_PER_ROW
-    each = F.sequence(first, first + synthetic.ATTEMPTS_PER_ROW - 1)
-    return docs.select(F.explode(each).alias("attempt")), docs.count()
+    docs = fixtures.table(spark, sf_dir, "documents")
+    ids, n = docs.select("doc_id").repartition(spark.sparkContext.defaultParallelism, "doc_id"), docs.count()
+
+    def block(i: int) -> DataFrame:
+        return ids.select((F.col("doc_id") + i * n).alias("attempt"))
+    return synthetic.from_attempts(block, n, seed, templates, synthetic.frequent_words(docs))
 
 
 def synth_dictionary(spark, sf_dir):
-    """One synthetic row for every document, from ten attempts each."""
-    return synthetic.from_attempts(*_attempts(spark, sf_dir), seed=7)
+    return _synthetic(spark, sf_dir, 7, synthetic.FULL_TEMPLATES)
 
 
 def synth_checks(spark, sf_dir):
     """Counts that must hold for any seed: all rows made, none a copy, short or split."""
-    rows = synthetic.from_attempts(*_attempts(spark, sf_dir), seed=11, templates=synthetic.SMALL_TEMPLATES)
+    rows = _synthetic(spark, sf_dir, 11, synthetic.SMALL_TEMPLATES)
     target = synthetic.target_bytes(F.col("ord"), 11)
     short = F.count_if(text.utf8_bytes("value") < target)
     per_title = rows.groupBy("title").agg(

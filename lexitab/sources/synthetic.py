@@ -10,115 +10,70 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import capitalize, normalize, utf8_bytes
 from lexitab.operators.ordering import distinct_first, first_n, stable_sort
+from lexitab.session import materialise
 
 ATTEMPTS_PER_ROW = 10
 MIN_VALUE_BYTES, MAX_VALUE_BYTES = 5000, 12000
-SHORTEST_PIECE = 20
 MEAN_ROW_BYTES = 8_500
 PARTITION_BYTES = 128 * 1024 ** 2
 
-# Title templates.  {Word}, {WORD} change the case of {word}; {a|b} is a choice;
-# {words:2-4} repeats; the choice between templates is uniform.
+# Title templates.  {Word}, {WORD} change the case of {word}; {a|b} is a choice; {words:1-3} repeats;
+# the choice between templates is uniform.
 SMALL_TEMPLATES = """
-{Word}
 {word}
-{Word} {word}
-{word}{Word}
+{Word}
+{WORD}
+{Word}-{Word}
+{word} {word} {word}
+{Word} {last}
 {first} {last}
-{first}
-{last}
+{last} & {last}
 {city}
-{country}
+{street}
 {company}
-{phrase}
-{words:2-4}
-{sentence:2-5}
-{word}-{word}
-{Word}{word}tion
-{Word}{word}ism
-un{word}
-pre{word}
-anti{word}
-{word}ology
-{acronym:2-4}
-{cut:3-6}
-{color}
 {job}
-{Mount|Lake|River|Cape} {last}
+{color} {word}
+{phrase}
+{words:1-3}
+{sentence:3-6}
+{acronym:3-5}
+mis{word}
+{word}ful
 """.strip().splitlines()
 
-FULL_TEMPLATES = """
-{Word}
-{word}
-{Word} {word}
-{word}{Word}
-{WORD}
-{Word}s
-{word}ing
-{word}ed
-{word}ly
-{word}er
-{first} {last}
-{first}
-{last}
-{city}
+FULL_TEMPLATES = SMALL_TEMPLATES + """
+{word}/{word}
+{Word} ({word})
+{Word}, {word}
+{Word}'s {word}
+{word}{word}
 {country}
-{company}
 {state}
-{street}
-{first} {last} {last}
-The {company}
-{city} {city}
-{company} {Corporation|Inc|LLC|Ltd}
-{phrase}
-{words:2-4}
-{sentence:2-5}
-{Word} of {word}
-{Word} and {word}
-The {Word}
-{Old|New|Great|Little} {Word}
-{word}-{word}
-{Word}{word}tion
-{Word}{word}ism
-un{word}
-pre{word}
-anti{word}
-{word}ology
-post{word}
-re{word}
-over{word}
-{word}ness
-{word}ment
-{word}able
-{word}ive
-non{word}
-{word} {word}sis
-{Word}ology
-{word}graphy
-{word}metry
-{word}scopy
-{word} theory
-{word} effect
-{last}'s law
-{last}'s theorem
-{Alpha|Beta|Gamma|Delta} {word}
-{acronym:2-4}
-{cut:3-6}
-Dr. {last}
-Mr. {last}
-Ms. {last}
-{color}
-{job}
-{Mount|Lake|River|Cape} {last}
-{Mount|Lake|River|Bay|Gulf} {Word}
-{country} {Mountains|Valley|Desert|Plains}
-{North|South|East|West} {city}
-{Upper|Lower|Middle} {Word}
-{Ancient|Medieval|Modern} {word}
-{Classical|Renaissance|Victorian} {word}
-{word} {Age|Era|Period}
-{Battle of|War of|Treaty of} {city}
-{King|Queen|Emperor|Prince} {first}
+{cut:2-4}-{cut:2-4}
+St. {first}
+Prof. {last}
+{first} of {city}
+{last} {constant|equation|number}
+{street}, {city}
+{city} {Airport|Harbour|Library|Station}
+{East|West} {city}
+{country} {Archive|Cup|Institute}
+{company} {Group|Partners|Works}
+{Early|Late} {word}
+{Copper|Iron|Silver} {Word}
+{word} {model|paradox|principle}
+{Bridge|Museum|Theatre} of {Word}
+{Captain|Duke|Sister} {last}
+{word} ({first|second|third} edition)
+inter{word}
+sub{word}
+{word}dom
+{word}less
+{word}like
+{word}ship
+{word}ward
+How to {word}
+List of {word}s
 """.strip().splitlines()
 
 # Word material of our own.
@@ -149,7 +104,12 @@ def _vocabulary(size: int = 2048) -> str:
 
 
 WORDS = _vocabulary()
-CAPITAL_WORDS = " ".join(word.capitalize() for word in WORDS.split(" "))
+
+
+def shortest_piece(words: str) -> int:
+    """Bytes that no piece of a value falls short of: a sentence has four words at least, the blanks
+    between them and a full stop."""
+    return 4 * min(len(word.encode()) for word in words.split(" ")) + 3 + 1
 
 
 class _Draw:
@@ -159,17 +119,22 @@ class _Draw:
     its own, made once per element.
     """
 
-    def __init__(self, key: Column):
+    def __init__(self, key: Column, vocabulary: str = WORDS):
         self.key = key
+        self.vocabulary = vocabulary
 
     @classmethod
-    def of(cls, seed: int, *path: Column) -> "_Draw":
-        return cls(F.xxhash64(F.lit(seed), *path))
+    def of(cls, seed: int, *path: Column, vocabulary: str = WORDS) -> "_Draw":
+        return cls(F.xxhash64(F.lit(seed), *path), vocabulary)
+
+    def at(self, key: Column) -> "_Draw":
+        """Draws from the same vocabulary under another key."""
+        return _Draw(key, self.vocabulary)
 
     def each(self, low: int, high: Column, text: Callable[["_Draw"], Column]) -> Column:
         """An array of ``text`` for ``low..high``."""
         keys = F.transform(F.sequence(F.lit(low), high), lambda i: F.xxhash64(self.key, i))
-        return F.transform(keys, lambda key: text(_Draw(key)))
+        return F.transform(keys, lambda key: text(self.at(key)))
 
     def number(self, tag: int, low: int | Column, high: int | Column) -> Column:
         """Uniform in ``low..high``."""
@@ -184,12 +149,15 @@ class _Draw:
         return F.element_at(options, self.number(tag, 1, size))
 
     def word(self, tag: int = 0) -> Column:
-        return self.pick(tag, WORDS)
+        return self.pick(tag, self.vocabulary)
+
+    def capital(self, tag: int = 0) -> Column:
+        return capitalize(self.word(tag))
 
     def words(self, tag: int, low: int, high: Column) -> Column:
         """Words number ``low`` to ``high``: one hash each."""
-        size = WORDS.count(" ") + 1
-        options = F.split(F.lit(WORDS), " ")
+        size = self.vocabulary.count(" ") + 1
+        options = F.split(F.lit(self.vocabulary), " ")
         drawn = F.transform(F.sequence(F.lit(low), high), lambda j: F.element_at(
             options, (F.pmod(F.xxhash64(self.key, F.lit(tag), j), F.lit(size)) + 1).cast("int")))
         return F.concat_ws(" ", drawn)
@@ -199,7 +167,7 @@ class _Draw:
         words = F.lit(words) if isinstance(words, int) else words
         low = F.greatest(F.lit(4), F.floor(words * 0.6).cast("int"))
         high = F.greatest(low, F.floor(words * 1.4).cast("int"))
-        return F.concat(self.pick(tag, CAPITAL_WORDS), F.lit(" "),
+        return F.concat(self.capital(tag), F.lit(" "),
                         self.words(tag, 2, self.number(tag + 1, low, high)), F.lit("."))
 
     def sentences(self, tag: int, count: Column, words: int) -> Column:
@@ -208,8 +176,8 @@ class _Draw:
 
 def _token(token: Column, draw: _Draw) -> Column:
     """The text of one template token."""
-    last = F.concat(draw.pick(10, CAPITAL_WORDS), draw.pick(11, LAST_END))
-    other_last = F.concat(draw.pick(12, CAPITAL_WORDS), draw.pick(13, LAST_END))
+    last = F.concat(draw.capital(10), draw.pick(11, LAST_END))
+    other_last = F.concat(draw.capital(12), draw.pick(13, LAST_END))
     repeats = F.split(F.regexp_extract(token, r":(\d+-\d+)", 1), "-")
     count = draw.number(20, repeats[0].cast("int"), repeats[1].cast("int"))
     initials = draw.each(1, count, lambda each: F.upper(F.substring(each.word(), 1, 1)))
@@ -218,14 +186,14 @@ def _token(token: Column, draw: _Draw) -> Column:
     plain = draw.words(0, 1, count)
     texts = {
         "{word}": draw.word(),
-        "{Word}": draw.pick(0, CAPITAL_WORDS),
+        "{Word}": draw.capital(),
         "{WORD}": F.upper(draw.word()),
         "{first}": draw.pick(1, FIRST),
         "{last}": last,
-        "{city}": F.concat(draw.pick(0, CAPITAL_WORDS), draw.pick(1, CITY_END)),
+        "{city}": F.concat(draw.capital(), draw.pick(1, CITY_END)),
         "{country}": draw.pick(1, COUNTRY, "|"),
-        "{company}": F.when(draw.number(2, 0, 1) == 0, F.concat(last, F.lit(", "), other_last, F.lit(" and "), F.lit("Sons")))
-                      .otherwise(F.concat(last, F.lit("-"), other_last)),
+        "{company}": F.when(draw.number(2, 0, 1) == 0, F.concat(last, F.lit(" Brothers")))
+                      .otherwise(F.concat_ws(" & ", last, other_last)),
         "{state}": draw.pick(1, STATE),
         "{street}": F.concat_ws(" ", last, draw.pick(1, STREET_END)),
         "{phrase}": F.concat_ws(" ", draw.pick(1, ADJECTIVE), draw.word(), draw.pick(2, NOUN)),
@@ -242,18 +210,19 @@ def _token(token: Column, draw: _Draw) -> Column:
             .otherwise(choice))
 
 
-def title(attempt: Column, seed: int, templates: list[str] = FULL_TEMPLATES) -> Column:
+def title(attempt: Column, seed: int, templates: list[str] = FULL_TEMPLATES, vocabulary: str = WORDS) -> Column:
     """One of the templates, each equally likely, filled in."""
-    draw = _Draw.of(seed, attempt)
+    draw = _Draw.of(seed, attempt, vocabulary=vocabulary)
     tokens = "\n".join("\t".join(t for t in re.split(r"(\{[^}]*\})", line) if t) for line in templates)
     template = F.split(F.element_at(F.split(F.lit(tokens), "\n"), draw.number(100, 1, len(templates))), "\t")
-    return F.concat_ws("", F.transform(template, lambda token, i: _token(token, _Draw(F.xxhash64(draw.key, i)))))
+    return F.concat_ws("", F.transform(template, lambda token, i: _token(token, draw.at(F.xxhash64(draw.key, i)))))
 
 
-def value(attempt: Column, seed: int, target: Column) -> Column:
+def value(attempt: Column, seed: int, target: Column, vocabulary: str = WORDS) -> Column:
     """Pieces of four kinds, equally likely, until their bytes reach ``target``.
 
-    The blanks that join the pieces are not counted.
+    The blanks that join the pieces are not counted.  No piece is shorter than ``shortest_piece``, so
+    there are steps enough for any vocabulary.
     """
     def piece(draw: _Draw) -> Column:
         kind = draw.number(201, 0, 3)
@@ -263,16 +232,19 @@ def value(attempt: Column, seed: int, target: Column) -> Column:
                 .otherwise(F.concat(draw.word(240), F.lit(": "), draw.sentence(241, 6))))
         return normalize(text)
 
-    def add(state: Column, key: Column) -> Column:
-        grown = F.transform(F.array(piece(_Draw(key))), lambda p: F.struct(
-            F.concat(state["parts"], F.array(p)).alias("parts"),
-            (state["bytes"] + utf8_bytes(p)).alias("bytes")))[0]
+    def key(i: Column) -> Column:
+        return F.xxhash64(F.lit(seed), attempt, i)
+
+    def add(state: Column, i: Column) -> Column:
+        grown = F.struct((state["bytes"] + utf8_bytes(piece(_Draw(key(i), vocabulary)))).alias("bytes"),
+                         (state["n"] + 1).alias("n"))
         return F.when(state["bytes"] >= target, state).otherwise(grown)
 
-    empty = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("bytes"))
-    most = F.ceil(target / SHORTEST_PIECE).cast("int")
-    steps = F.transform(F.sequence(F.lit(1), most), lambda i: F.xxhash64(F.lit(seed), attempt, i))
-    return F.aggregate(steps, empty, add, lambda state: F.concat_ws(" ", state["parts"]))
+    # Spark copies the state at every step, so it holds two numbers, and the pieces are drawn again.
+    most = F.ceil(target / shortest_piece(vocabulary)).cast("int")
+    none = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("n"))
+    n = F.aggregate(F.sequence(F.lit(1), most), none, add, lambda state: state["n"])
+    return F.concat_ws(" ", F.transform(F.sequence(F.lit(1), n), lambda i: piece(_Draw(key(i), vocabulary))))
 
 
 def target_bytes(attempt: Column, seed: int) -> Column:
@@ -284,20 +256,45 @@ def rows_for_size(target_gb: float, avg_value_bytes: int = 8000) -> int:
     return int(target_gb * 1024 ** 3 / (20 + avg_value_bytes + 10))
 
 
-def from_attempts(attempts: DataFrame, num_rows: int, seed: int = 0,
-                  templates: list[str] = FULL_TEMPLATES) -> DataFrame:
-    """The first ``num_rows`` unique titles of a table of ``attempt`` numbers, with values.
+def unique_titles(block: Callable[[int], DataFrame], num_rows: int, seed: int,
+                  templates: list[str] = FULL_TEMPLATES, vocabulary: str = WORDS) -> DataFrame:
+    """The first ``num_rows`` attempts with a new title: ``(attempt, title)``, slim rows.
+
+    ``block(i)`` gives the i-th block of attempts, in ascending order.  A block is only drawn while
+    titles are missing; ATTEMPTS_PER_ROW of them at most.
+    """
+    drawn = None
+    for i in range(ATTEMPTS_PER_ROW):
+        titles = materialise(block(i).select("attempt", title(F.col("attempt"), seed, templates, vocabulary).alias("title")), "titles")
+        drawn = titles if drawn is None else drawn.unionByName(titles)
+        unique = distinct_first(drawn, "attempt")
+        if unique.count() >= num_rows:
+            break
+    return first_n(unique, num_rows, "attempt")
+
+
+def from_attempts(block: Callable[[int], DataFrame], num_rows: int, seed: int = 0,
+                  templates: list[str] = FULL_TEMPLATES, vocabulary: str = WORDS) -> DataFrame:
+    """The first ``num_rows`` unique titles of blocks of ``attempt`` numbers, with values.
 
     Titles are drawn, made unique and limited as slim rows; values are made for winners only.
     """
-    titles = attempts.select("attempt", title(F.col("attempt"), seed, templates).alias("title"))
-    winners = first_n(distinct_first(titles, "attempt"), num_rows, "attempt")
+    winners = unique_titles(block, num_rows, seed, templates, vocabulary)
     # Slim rows grow to full ones: spread them by the size they will have.
-    spark = attempts.sparkSession
+    spark = winners.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, num_rows * MEAN_ROW_BYTES // PARTITION_BYTES)
     attempt = F.col("attempt")
     return winners.repartition(parts, "attempt").select(
-        "title", value(attempt, seed, target_bytes(attempt, seed)).alias("value"), attempt.alias("ord"))
+        "title", value(attempt, seed, target_bytes(attempt, seed), vocabulary).alias("value"), attempt.alias("ord"))
+
+
+def frequent_words(texts: DataFrame, size: int = 2048) -> str:
+    """A vocabulary from a ``text`` column: its ``size`` most frequent words of three letters and more,
+    ties in their order.  The words of all texts are counted; the result is bounded by ``size``."""
+    words = texts.select(F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+")).alias("w"))
+    top = (words.filter(F.length("w") >= 3).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "w").limit(size).collect())
+    return " ".join(r.w for r in top) or WORDS
 
 
 def generate(spark: SparkSession, *, num_rows: int | None = None, target_gb: float | None = None,
@@ -307,8 +304,11 @@ def generate(spark: SparkSession, *, num_rows: int | None = None, target_gb: flo
         raise ValueError("give exactly one of num_rows and target_gb")
     if num_rows is None:
         num_rows = rows_for_size(target_gb)
-    attempts = spark.range(num_rows * ATTEMPTS_PER_ROW).select(F.col("id").alias("attempt"))
-    rows = from_attempts(attempts, num_rows, seed, templates)
+
+    def block(i: int) -> DataFrame:
+        return spark.range(i * num_rows, (i + 1) * num_rows).select(F.col("id").alias("attempt"))
+
+    rows = from_attempts(block, num_rows, seed, templates)
     made = rows.select("ord").count()
     if made < num_rows:
         warnings.warn(f"only {made} unique titles of {num_rows} requested", stacklevel=2)

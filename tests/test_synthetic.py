@@ -48,15 +48,34 @@ def test_limit_keeps_the_first_attempts(spark):
         if title[attempt] not in seen and len(want) < 12:
             seen.add(title[attempt])
             want.append(attempt)
-    got = synthetic.from_attempts(attempts, 12, 3, ["{first}"])
+    asked = []
+
+    def block(i):
+        asked.append(i)
+        return spark.range(i * 20, (i + 1) * 20).select(F.col("id").alias("attempt"))
+    got = synthetic.from_attempts(block, 12, 3, ["{first}"])
     assert sorted(r.ord for r in got.select("ord").collect()) == want
+    assert asked == list(range(want[-1] // 20 + 1))
 
 
 def test_all_templates_are_drawn_evenly(spark):
-    assert (len(synthetic.FULL_TEMPLATES), len(synthetic.SMALL_TEMPLATES)) == (71, 25)
-    draws = spark.range(20_000).select(synthetic._Draw.of(0, F.col("id")).number(100, 1, 71).alias("n"))
+    n = len(synthetic.FULL_TEMPLATES)
+    assert len(set(synthetic.FULL_TEMPLATES)) == n
+    draws = spark.range(20_000).select(synthetic._Draw.of(0, F.col("id")).number(100, 1, n).alias("n"))
     counts = [r["count"] for r in draws.groupBy("n").count().collect()]
-    assert len(counts) == 71 and min(counts) > 200 and max(counts) < 370
+    assert len(counts) == n and min(counts) > 0.7 * 20_000 / n and max(counts) < 1.35 * 20_000 / n
+
+
+def test_short_words_still_fill_a_value(spark):
+    ids = spark.range(20).select(synthetic.value(F.col("id"), 1, F.lit(900), "a b c").alias("v"))
+    assert all(900 <= len(r.v) < 2500 for r in ids.collect())
+    assert synthetic.shortest_piece("a b c") == 8
+
+
+def test_frequent_words(spark):
+    texts = spark.createDataFrame([("The the cat, the É",), ("cat dogs at été",), (None,)], "text string")
+    assert synthetic.frequent_words(texts, 3) == "the cat dogs"
+    assert synthetic.frequent_words(texts.filter("text is null")) == synthetic.WORDS
 
 
 def test_no_template_leaves_a_token(spark):
