@@ -77,6 +77,7 @@ ORACLES = {
     "upsert_index": f"WITH {_MERGE_INDEX} SELECT title, status, byte_offset, byte_length FROM mi",
     "dict_scan": f"WITH {_T} SELECT ord, title, value FROM t",
     "csv_round_trip": f"WITH {_T} SELECT title, value FROM t",
+    "csv_multiline_scan": r"""SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS value FROM documents""",
     "title_fold": f"WITH {_T} SELECT ord, title, lower(title) AS k FROM t",
     "title_case": """SELECT p_partkey, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS capital,
   upper(left(p_name, 1)) || lower(substr(p_name, 2)) AS name, lower(p_type) AS lower, upper(p_name) AS upper FROM part""",

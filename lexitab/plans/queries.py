@@ -13,6 +13,7 @@ from lexitab.session import materialise, scratch_path
 from lexitab.sinks.files import write_csv_parts
 from lexitab.sources import synthetic
 from lexitab.sources.files import read_dictionary, read_lines
+from lexitab.sources.records import read_split_dictionary
 from lexitab.streaming.changelog import apply_changelogs
 
 PREFIX, TOP_K, PREFIX_LEN, SHARDS = "th", 20, 4, 16
@@ -68,6 +69,14 @@ def csv_round_trip(spark, sf_dir):
     return read_dictionary(spark, path, header=False).select("title", "value")
 
 
+def csv_multiline_scan(spark, sf_dir):
+    """Raw texts, line ends and all, written as CSV and read back in splits; each file has its header."""
+    docs, path = fixtures.table(spark, sf_dir, "documents"), scratch_path(spark, "raw")
+    docs.select(F.col("text").alias("value"), F.col("doc_id").cast("string").alias("title")).write.options(
+        header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_split_dictionary(spark, path).select(F.col("title").cast("bigint").alias("doc_id"), "value")
+
+
 def title_fold(spark, sf_dir):
     return fixtures.dictionary(spark, sf_dir).select("ord", "title", text.fold("title").alias("k"))
 
@@ -308,7 +317,7 @@ def _as_csv_order(rows: DataFrame) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    upsert_index, dict_scan, csv_round_trip, title_fold, title_case, normalize_text, row_bytes,
+    upsert_index, dict_scan, csv_round_trip, csv_multiline_scan, title_fold, title_case, normalize_text, row_bytes,
     version_stamp, upsert_merge, changelog_new_rows, changelog_updates, existing_untouched_rows,
     merge_stats, sorted_dictionary, dedupe_first, unique_limit, build_index, index_last_wins,
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,

@@ -13,6 +13,7 @@ from lexitab.session import materialise, scratch_path
 from lexitab.sinks import files
 from lexitab.sinks.files import write_csv_parts
 from lexitab.sources.files import read_dictionary, read_lines
+from lexitab.sources.records import read_split_dictionary
 
 PAIRS = [("b,c", "x\ny"), ('a"b', ""), (" a", '"q"'), ("", "empty title"), ("é", "日本, 😀"), ("É", "two\r\nlines"),
          ("Zebra", "last"), ("dup", "1"), ("dup", "2"), ("DUP", "3")]
@@ -191,6 +192,28 @@ def test_a_folder_with_two_headers_is_refused(spark, tmp_path):
             read_dictionary(spark, str(tmp_path), multi_line).collect()
 
 
+@pytest.mark.parametrize("split", ["100", "4000", "128m"])
+def test_quoted_line_ends_in_splits(spark, tmp_path, split):
+    """Also with a line end, an escaped quote or a whole record at a split's edge, and two headers."""
+    rng = random.Random(6)
+    pairs = [(f"t{i},", "".join(rng.choice(['a', '"', "\n", ",", "\r\n", "é"]) for _ in range(rng.randint(0, 40)))) for i in range(300)]
+    for name, flip, some in (("a.csv", False, pairs[:200]), ("b.csv", True, pairs[200:])):
+        with open(tmp_path / name, "w", newline="") as f:
+            writer = csv.writer(f)
+            writer.writerows([p[::-1] if flip else p for p in [("title", "value"), *some]])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        lines = read_lines(spark, str(tmp_path))
+        tasks = lines.select("block_start").distinct().count()
+        got = read_split_dictionary(spark, str(tmp_path)).orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert tasks > (1 if split != "128m" else 0)
+    assert [(r.title, r.value) for r in got] == [(t, v.replace("\r\n", "\n")) for t, v in pairs]
+
+
 def test_text_after_a_closing_quote(spark, tmp_path):
     """Kept as it stands, quotes included: the reader takes such a field for an unquoted one."""
     (tmp_path / "a.csv").write_text('title,value\n"q"r,2\n')
