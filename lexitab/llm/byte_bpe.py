@@ -12,6 +12,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -20,10 +21,11 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from lexitab.llm.memory import Memory
 from lexitab.plans.fixtures import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Pre-tokens whose ids a worker remembers before it starts anew.
+# Pre-tokens whose ids a worker remembers.
 REMEMBERED = 400_000
 # Keys of a bucket of the perfect hash, on average.
 BUCKET = 4
@@ -147,19 +149,10 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.pretokens = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self.known = Memory(lambda pretoken: vocabulary.encode_piece(pretoken.encode("utf-8")), REMEMBERED)
 
     def encode(self, text: str) -> list[int]:
-        pretokens = self.pretokens(text)
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for pretoken in set(pretokens).difference(known):
-            known[pretoken] = self.vocabulary.encode_piece(pretoken.encode("utf-8"))
-        ids: list[int] = []
-        for pretoken in pretokens:
-            ids += known[pretoken]
-        return ids
+        return list(chain.from_iterable(map(self.known.__getitem__, self.pretokens(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.by_id.__getitem__, ids))

@@ -17,14 +17,15 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from lexitab.llm.memory import Memory
 from lexitab.plans.fixtures import table
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 # Fixed value: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Segments whose counts a worker remembers before it starts anew.
-REMEMBERED = 400_000
+# Segments whose counts a worker remembers.
+REMEMBERED = 300_000
 
 
 class UnigramCounter:
@@ -45,8 +46,7 @@ class UnigramCounter:
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self.byte_pieces = byte_pieces
-        self.counts: dict[str, int] = {}
-        self.scores: dict[str, float] = {}
+        self.known = Memory(lambda part: self.segment(MARK + part), REMEMBERED)
 
     def segment(self, text: str) -> tuple[int, float]:
         """``(pieces, score)`` of the best path over one segment."""
@@ -83,13 +83,8 @@ class UnigramCounter:
         # A mark is put before the text unless it starts with one; an empty text has no segment.
         if not parts[0]:
             del parts[0]
-        counts, scores = self.counts, self.scores
-        if len(counts) > REMEMBERED:
-            counts.clear()
-            scores.clear()
-        for part in set(parts).difference(counts):
-            counts[part], scores[part] = self.segment(MARK + part)
-        return sum(map(counts.__getitem__, parts)), float(sum(map(scores.__getitem__, parts)))
+        pairs = [*map(self.known.__getitem__, parts)]
+        return sum(n for n, _ in pairs), float(sum(worth for _, worth in pairs))
 
 
 def vocabulary(path: str) -> tuple[list[tuple[str, float]], bool]:
