@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from lexitab.llm.columns import unused
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
 
@@ -103,8 +104,9 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that contain no item, with all their columns."""
-    bad = contained(docs, items, threshold).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_anti")
+    name = unused(docs, "_doc")
+    bad = contained(docs, items, threshold).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def op9_decontamination(spark, sf_dir):

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexitab.llm.columns import unused
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
@@ -45,11 +46,12 @@ def rendezvous(df: DataFrame, key: str, weights: Sequence[float], added: Sequenc
     if not weights or min([*weights, *added]) <= 0:
         raise ValueError("every shard needs a positive weight")
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    df = df.withColumn("_old", _best(text, weights))
-    grown = F.greatest("_old", _best(text, added, len(weights))) if added else F.col("_old")
-    return (df.withColumn("_new", grown)
-            .withColumn("shard", -F.col("_old.shard")).withColumn("grown_shard", -F.col("_new.shard"))
-            .drop("_old", "_new"))
+    old, new = unused(df, "_old"), unused(df, "_new")
+    df = df.withColumn(old, _best(text, weights))
+    grown = F.greatest(old, _best(text, added, len(weights))) if added else F.col(old)
+    df = df.withColumn(new, grown)
+    return (df.withColumns({"shard": -F.col(f"{old}.shard"), "grown_shard": -F.col(f"{new}.shard")})
+            .drop(old, new))
 
 
 def with_slots(sharded: DataFrame, order: Sequence[str]) -> DataFrame:

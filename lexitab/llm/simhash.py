@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexitab.llm.columns import unused
 from lexitab.llm.components import components, forest
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
@@ -195,13 +196,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")
     classes = materialise(prints.groupBy("fp").agg(first), "classes")
     best = _rooted(classes).groupBy("root").agg(F.min("first").alias("first"))
-    chosen = best.select(F.col("first.doc_id").alias("_doc"), F.col("first.h").alias("_h"))
-    copies = (F.col("doc_id").eqNullSafe(F.col("_doc"))) & (F.col("h") == F.col("_h"))
-    kept = prints.join(chosen, copies).groupBy("_doc", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    names = [unused(docs, name) for name in ("_doc", "_h", "_n")]
+    doc, h, n = map(F.col, names)
+    chosen = best.select(F.col("first.doc_id").alias(names[0]), F.col("first.h").alias(names[1]))
+    copies = F.col("doc_id").eqNullSafe(doc) & (F.col("h") == h)
+    kept = prints.join(chosen, copies).groupBy(*names[:2]).agg(F.count(F.lit(1)).alias(names[2]))
     kept = materialise(kept, "kept")
-    is_kept = F.col("doc_id").eqNullSafe(F.col("_doc")) & (text == F.col("_h"))
-    single = docs.join(kept.filter("_n = 1"), is_kept, "left_semi")
-    repeated = docs.join(kept.filter("_n > 1"), is_kept).dropDuplicates(["_doc", "_h"])
+    is_kept = F.col("doc_id").eqNullSafe(doc) & (text == h)
+    single = docs.join(kept.filter(n == 1), is_kept, "left_semi")
+    repeated = docs.join(kept.filter(n > 1), is_kept).dropDuplicates(names[:2])
     return single.unionByName(repeated.select(*docs.columns))
 
 

@@ -10,7 +10,7 @@ from lexitab.llm import decontamination, licenses, sharding
 from lexitab.llm.license_texts import MIT, known
 from lexitab.llm.queries import ORACLES, QUERIES
 
-DOCS = "doc_id bigint, text string, shard string, h int, item_id string"
+DOCS = "doc_id bigint, text string, shard string, _doc int, item_id string"
 ITEMS = "item_id bigint, text string, doc_id string"
 
 

@@ -10,7 +10,7 @@ from lexitab.llm.components import components, forest
 from lexitab.plans.fixtures import table
 
 SF = "/root/testdata/sf0.001"
-DOCS = "doc_id bigint, text string, fp string, key int"
+DOCS = "doc_id bigint, text string, _doc string, _H int"
 VECS = "vec_id bigint, embedding array<float>, label int, c string"
 
 
@@ -145,9 +145,10 @@ def test_vectors_of_the_table(spark):
     assert got == vectors_by_pairs(rows)
 
 
-@pytest.mark.parametrize("tile", [8, 4_096])
-def test_vectors_around_the_threshold(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, components", [(8, 1 << 20), (4_096, 1 << 20), (4_096, 200)])
+def test_vectors_around_the_threshold(spark, monkeypatch, tile, components):
     monkeypatch.setattr(embeddings, "TILE", tile)
+    monkeypatch.setattr(embeddings, "COMPONENTS", components)
     draw = np.random.default_rng(7)
     rows = []
     for label in (0, 1, None):
