@@ -16,8 +16,8 @@ from lexitab.plans.fixtures import table
 from lexitab.session import materialise
 
 THRESHOLD = 0.93
-# Vectors of one label that meet in a task, and rows of the product that are held at a time.
-TILE, ROWS = 4_096, 256
+# Bounds of a tile: vectors, and components in all of them; and rows of the product held at a time.
+TILE, COMPONENTS, ROWS = 4_096, 1 << 20, 256
 LEVELS = 127
 # Room for the rounding of double sums, far below what quantising loses.
 SLACK = 1e-9
@@ -109,8 +109,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     """
     slim = vectors.select("vec_id", "embedding", "label")
     found = materialise(classes(slim), "classes")
-    sizes = found.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    # A label of n vectors has n / TILE tiles, and each of its vectors meets all of them.
+    rows = F.least(F.lit(TILE), F.ceil(F.lit(COMPONENTS) / F.col("dim")))
+    sizes = found.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).select(
+        "label", "dim", F.ceil(F.col("n") / rows).cast("int").alias("tiles"))
+    # Each vector of a label meets all of its tiles.
     tiled = (found.join(sizes, ["label", "dim"])
              .withColumn("tile", F.pmod(F.xxhash64("c"), "tiles").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
