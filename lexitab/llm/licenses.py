@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexitab.llm.license_texts import known
 from lexitab.plans.fixtures import table
+from lexitab.session import materialise
 
 # A line that only says who holds the rights: "Copyright (c) 2020 A", "(c) B", "All rights reserved."
 COPYRIGHT_LINE = (r"^[^\p{L}\p{N}©(]*(copyright[^\p{L}\p{N}]*(c[^\p{L}]|[0-9]|by )|©|\(c\)|all rights reserved)")
@@ -64,9 +65,11 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
     ``line`` for every line (from 1) that is a known notice.
 
     Null and empty texts give the digest of the empty string and no licence.  Repeated rows give
-    repeated results.  Whether the digests are broadcast is left to Spark, which knows their size;
-    in an exchange a hot digest is a skewed left side of rows with no text, which Spark can split.
+    repeated results.  The digests are a written table, so Spark knows their size and broadcasts them only
+    if they are small; in an exchange a hot digest is a skewed left side of rows with no text, which
+    Spark can split.
     """
+    known_digests = materialise(digests(licenses), "licenses")
     lines = docs.select("doc_id", _clean_lines(F.col("text")).alias("lines"))
     units = F.concat(
         F.array(F.struct(F.lit("text").alias("scope"), F.lit(0).alias("line_no"), _whole(F.col("lines")).alias("words"))),
@@ -74,7 +77,7 @@ def scan(docs: DataFrame, licenses: DataFrame) -> DataFrame:
                                                       _spelled(line).alias("words"))))
     each = lines.select("doc_id", F.inline(units)).filter("scope = 'text' or words <> ''")
     each = each.select("doc_id", "scope", "line_no", _digest(F.col("words")).alias("digest"))
-    return (each.join(digests(licenses), "digest", "left").filter("scope = 'text' or license_id is not null")
+    return (each.join(known_digests, "digest", "left").filter("scope = 'text' or license_id is not null")
             .select("doc_id", "scope", "line_no", "digest", "license_id"))
 
 
