@@ -43,7 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexitab-"))
     return scratch_root(spark)
