@@ -26,7 +26,7 @@ from lexitab.plans.fixtures import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Pre-tokens whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # Keys of a bucket of the perfect hash, on average.
 BUCKET = 4
 

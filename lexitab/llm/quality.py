@@ -23,7 +23,7 @@ TERMS, DIMENSIONS, NEIGHBOURS = 1_024, 32, 15
 # Bound of the training sample: texts of each label.
 SAMPLE = 1_500
 # Documents that are compared at a time, and word shapes a worker remembers before it starts anew.
-BLOCK, REMEMBERED = 512, 400_000
+BLOCK, REMEMBERED = 512, 150_000
 FOLDS, HELD_OUT = 3, 1
 GOOD = 0.5
 
