@@ -3,7 +3,8 @@
 A Bloom filter is kept for every language, all of them bit-sliced into one array: bit ``l`` of a slot
 says whether the filter of language ``l`` has it set.  One lookup ANDs the slots of an n-gram and gives
 all languages that contain it.  A text's hits per language are counted, corrected for the filters' false
-positives, and the language with most of them is predicted.
+positives, and the language with most of them is predicted.  The part of a text's n-grams that this
+language contains is the evidence that the text is in a learnt language at all.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lexitab.llm.samples import bounded_sample, fold_of
 from lexitab.plans.fixtures import table
+from lexitab.session import materialise
 
 N = 4
 HASHES, SLOTS = 3, 1 << 20
@@ -31,6 +33,8 @@ FOLDS, HELD_OUT = 4, 2
 UNDECIDED = "und"
 # A prediction below this score is rejected in the pipeline.
 CERTAIN = 0.35
+# So is one with less than this part of the evidence that half of the language's own unseen texts reach.
+EVIDENCE = 0.5
 
 
 @lru_cache(maxsize=1)
@@ -91,9 +95,17 @@ class Model:
         N-grams that all languages contain decide nothing and are left out.  Without a hit the language
         most frequent in training is taken, with its share there; ties go to the first language.
         """
+        return self.judge(text, false_rates)[:2]
+
+    def judge(self, text: str | None, false_rates: np.ndarray) -> tuple[str, float, float]:
+        """The language, its share and the evidence: its corrected hits against all n-grams of the text.
+
+        For the evidence, n-grams that all languages contain count too.  It is 0 where the hits decide
+        nothing, so that the language is that of ``shares`` or none.
+        """
         grams, letters = ngrams(text)
         if not letters or not self.languages:
-            return UNDECIDED, 0.0
+            return UNDECIDED, 0.0, 0.0
         at = slots(grams)
         masks = self.words[:, at[0]]
         for more in at[1:]:
@@ -103,9 +115,11 @@ class Model:
         hits = np.maximum(0.0, (some.sum(axis=1) - some.shape[1] * false_rates) / (1 - false_rates))
         if not hits.sum() > 0:
             best = int(np.argmax(self.shares))
-            return self.languages[best], self.shares[best]
+            return self.languages[best], self.shares[best], 0.0
         best = int(np.argmax(hits))
-        return self.languages[best], float(hits[best] / hits.sum())
+        rate = false_rates[best]
+        evidence = max(0.0, float((bits[best].mean() - rate) / (1 - rate)))
+        return self.languages[best], float(hits[best] / hits.sum()), evidence
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +141,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     The filter is put together by Spark, one row per used slot, so at most SLOTS rows per 63 languages
     reach the driver.
     """
-    rows, totals = bounded_sample(docs, docs.select("doc_id", "lang"), "lang", sample)
+    return _fit_rows(*bounded_sample(docs, docs.select("doc_id", "lang"), "lang", sample))
+
+
+def _fit_rows(rows: DataFrame, totals: dict) -> Model:
     languages = sorted(totals)
     shares = [totals[lang] / sum(totals.values()) for lang in languages]
     words = np.zeros((max(1, -(-len(languages) // WORD)), SLOTS), dtype=np.uint64)
@@ -148,6 +165,30 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, shares, words)
 
 
+def fit_with_bounds(docs: DataFrame, sample: int = SAMPLE) -> tuple[Model, dict[str, float]]:
+    """What ``fit`` learns, and the least evidence that a text of each language has to show.
+
+    The bounds come from texts that a filter has not seen: one half of the sample is judged by a model of
+    the other, and a language's bound is EVIDENCE times the median of its texts.  A language whose sample
+    is too small to tell has the bound 0.
+    """
+    rows, totals = bounded_sample(docs, docs.select("doc_id", "lang"), "lang", sample)
+    rows = materialise(rows, "language_sample")
+    model = _fit_rows(rows, totals)
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id", "text"), F.lit(2))
+    shared = docs.sparkSession.sparkContext.broadcast(_fit_rows(rows.filter(half == 0), totals))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rates = shared.value.false_rates()
+        for batch in batches:
+            made = [shared.value.judge(text.as_py(), rates)[2] for text in batch.column("text")]
+            yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "evidence": pa.array(made, pa.float64())})
+
+    unseen = rows.filter(half == 1).select("lang", "text").mapInArrow(work, "lang string, evidence double")
+    medians = {r.lang: r.median for r in unseen.groupBy("lang").agg(F.median("evidence").alias("median")).collect()}
+    return model, {lang: EVIDENCE * medians.get(lang, 0.0) for lang in model.languages}
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` needed and given: ``(doc_id, text) -> (doc_id, lang_pred, score)``.
 
@@ -180,15 +221,22 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def keep_certain(docs: DataFrame, least: float = CERTAIN) -> DataFrame:
-    """Rows, with all their columns, whose language is decided with a score of at least ``least``."""
-    model = fit(training_rows(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """Rows, with all their columns, whose language is decided with a score of at least ``least``.
+
+    The score says how far the language stands out among the learnt ones.  Rows also have to show evidence
+    of it, at least the language's bound: texts in scripts or languages that were not learnt, gibberish and
+    texts without an n-gram that decides are left out, whatever the mix of the corpus.
+    """
+    model, bounds = fit_with_bounds(training_rows(docs))
+    shared = docs.sparkSession.sparkContext.broadcast((model, bounds))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rates = shared.value.false_rates()
+        model, bounds = shared.value
+        rates = model.false_rates()
         for batch in batches:
-            made = [shared.value.predict(text.as_py(), rates) for text in batch.column(batch.schema.get_field_index("text"))]
-            yield batch.filter(pa.array([lang != UNDECIDED and score >= least for lang, score in made], pa.bool_()))
+            made = [model.judge(text.as_py(), rates) for text in batch.column(batch.schema.get_field_index("text"))]
+            yield batch.filter(pa.array([evidence > 0 and score >= least and evidence >= bounds[lang]
+                                         for lang, score, evidence in made], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
 

@@ -103,6 +103,36 @@ def test_more_languages_than_a_word_has_bits(spark):
     assert sum(r.lang_pred == f"l{r.doc_id // 100:02}" for r in found) >= 0.95 * len(found)
 
 
+STRANGE = [(900, "Это русский текст о погоде, о людях и о городе"), (901, "这是一个关于天气和人们的中文句子"), (902, "xqzt wvkj qqpl zzxk brfg vvtq"),
+           (903, "Kissa nukkuu tuolilla ikkunan vieressä ja näkee unta hiiristä"), (904, "ж"), (905, "a")]
+
+
+@pytest.mark.parametrize("mix", [(40, 40, 40, 40), (400, 40, 40, 40)])
+def test_texts_in_no_learnt_language_are_left_out(spark, mix):
+    """Whatever the mix: with equal shares no language has 0.35 of the training ids, with the other one has."""
+    draw = random.Random(5)
+    words = {"en": "the quick brown fox and other foxes were walking through green woods with their friends",
+             "de": "der schnelle braune fuchs und die anderen gingen durch den dunklen wald mit ihren freunden",
+             "fr": "le renard brun et les autres marchaient dans la grande forêt avec leurs amis pendant une semaine",
+             "es": "el zorro rápido y los otros caminaban por el bosque verde con sus amigos durante muchos días"}
+    rows = [(1000 * k + i, " ".join(draw.choices(words[lang].split(), k=12)), lang, "s", "x")
+            for k, lang in enumerate(words, 1) for i in range(mix[k - 1])]
+    rows += [(i, text, None, "s", "x") for i, text in STRANGE]
+    rows += [(950, "the fox", None, "s", "x"), (951, "der fuchs und die freunde", None, "s", "x"), (952, "12 !?", None, "s", "x")]
+    kept = {r.doc_id for r in language.keep_certain(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == {r[0] for r in rows} - {i for i, _ in STRANGE} - {952}
+
+
+@pytest.mark.parametrize("out", ["de", "es"])
+def test_a_language_left_out_of_training_is_left_out(spark, out):
+    docs = table(spark, SF, "documents")
+    lang = F.when(F.col("lang") != out, F.col("lang"))
+    want = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    kept = [want[r.doc_id] for r in language.keep_certain(docs.withColumn("lang", lang)).collect()]
+    assert kept.count(out) <= 0.05 * list(want.values()).count(out)
+    assert len(kept) - kept.count(out) >= 0.99 * sum(x != out for x in want.values())
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 def test_held_out_quality_is_told(spark):
