@@ -1,7 +1,7 @@
 """License scan by canonical digest (DataFrame functions only).
 
 A text is reduced to what a licence's identity rests on: no case, punctuation, line ends or copyright
-lines, one spelling for words that have several.  The SHA-256 of that form is looked up in the digests
+statements, one spelling for words that have several.  The SHA-256 of that form is looked up in the digests
 of known licences, for the entire text and for every single line (notices).
 """
 
@@ -13,7 +13,21 @@ from lexitab.llm.license_texts import known
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
 
-# A line that only says who holds the rights: "Copyright (c) 2020 A", "(c) B", "All rights reserved."
+# Statements at the start of a line of who holds the rights: "Copyright (c) 2020 A.", "© B", "All rights reserved."
+# A bare "(c)" may also number a clause: it needs "copyright", a year, or a name with a year or mail address.
+_NAMED = r"(?-i:(?:\p{Lu}[^\s]*[\s,]+){1,5}(?:[12][0-9]{3}|<[^\s>]+@))"
+_MARKER = (r"(?:copyright[^\p{L}\p{N}]*(?:c[^\p{L}]|©|[0-9]|by )|©|"
+           r"\(c\)(?=[^\p{L}\p{N}]*(?:copyright|[12][0-9]{3})|\s*" + _NAMED + "))")
+# A holder ends at the end of a sentence, which is not that of an initial or of "Inc." before more of the name, or
+# where a licence begins without one.
+_ABBREVIATED = r"(?<=\b(?:inc|ltd|corp|co|llc|gmbh|jr|sr)\.)(?=\s+(?-i:[^\p{Lu}\s]))"
+_SENTENCE_END = r"(?<!(?<!\p{L})\p{L})\.(?=\s|\z)(?!" + _ABBREVIATED + ")"
+_LICENCE_START = (r"(?=[\s,;:(-]+(?:permission (?:is|to)|everyone is permitted|redistribution and use|all rights reserved|"
+                  r"(?:is )?(?:licensed|released|distributed|published) under|this (?:software|program|library|work|file|"
+                  r"code|project|source|product|package) |spdx-license-identifier|(?:copyright|©)[^\p{L}\p{N}]*(?:\(c\)|©|[0-9]))|\s+\(c\)\s*[12][0-9]{3})")
+COPYRIGHT_STATEMENT = (r"(?is)^(?:[^\p{L}\p{N}©(]*(?:all rights reserved|" + _MARKER
+                       + ".*?(?:" + _SENTENCE_END + "|" + _LICENCE_START + r"|\z)))++")
+# What the SQL twin drops: whole lines that start so.  The given tables have no other words on them.
 COPYRIGHT_LINE = (r"^[^\p{L}\p{N}©(]*(copyright[^\p{L}\p{N}]*(c[^\p{L}]|[0-9]|by )|©|\(c\)|all rights reserved)")
 NOT_WORD = r"[^\p{L}\p{N}]+"
 # Spellings that count as one, applied in this order to words with single blanks between.
@@ -32,10 +46,10 @@ def _spelled(text: Column) -> Column:
 
 
 def _clean_lines(text: Column) -> Column:
-    """Words of every line with single blanks between; empty for a copyright line."""
-    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
-    return F.transform(lines, lambda line: F.when(line.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(
-        F.trim(F.regexp_replace(line, NOT_WORD, " "))))
+    """Words of every line with single blanks between, without copyright statements at its start."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    return F.transform(lines, lambda line: F.trim(F.regexp_replace(
+        F.lower(F.regexp_replace(line, COPYRIGHT_STATEMENT, "")), NOT_WORD, " ")))
 
 
 def _digest(canonical: Column) -> Column:

@@ -55,6 +55,29 @@ def test_a_licence_is_known_in_any_dress(spark):
     assert len(found) == 4
 
 
+def test_only_the_copyright_statement_is_cut(spark):
+    one_line = " ".join(MIT.split())
+    heads = ["Copyright (c) 2024 X. ", "Copyright (c) 2024 X ", "// Copyright 2020-2024 John D. Roe, Foo Inc. and others. All rights reserved. ",
+             "(c) 2020 A. Copyright (C) 2021 B <b@c.de>. ", "© Some One. ", "Copyright (c) 2024 Foo, Inc. ", "(c) Some One, 2020. "]
+    rows = [doc(i, head + one_line) for i, head in enumerate(heads)]
+    rows += [doc(20, "Copyright (c) 2020 X. Licensed under the MIT License."), doc(21, "Copyright (c) 2020 X, licensed under the MIT License"),
+             doc(22, "(c) 2020 A\n(C) Copyright B\n© C\n(c) Some One <a@b.c>\r\n# Copyright by D.\nAll rights reserved.\n" + MIT),
+             doc(23, "All rights reserved. " * 20_000 + one_line)]
+    found = scanned(spark, rows)
+    assert [f for f in found if f[1] == "text"] == sorted([(r[0], "text", 0, "MIT") for r in rows], key=str)
+    assert (20, "line", 1, "MIT") in found and (21, "line", 1, "MIT") in found
+
+
+def test_a_clause_with_the_number_c_is_no_copyright_line(spark):
+    clauses = "You may copy it, if\n(a) you keep this notice;\n(b) you mark changes;\n{}\n(d) you pay nothing."
+    forms = ["(c) You must retain all notices.", "(c) You must not retain them.", "(C) YOU MUST RETAIN IT", "(c) in 2020 you pay 5."]
+    docs = spark.createDataFrame([doc(i, clauses.format(c)) for i, c in enumerate(forms)], DOCS)
+    made = [r.words for r in docs.orderBy("doc_id").select(licenses.canonical(docs.text).alias("words")).collect()]
+    assert [" c " in w for w in made] == [True] * 4 and len(set(made)) == 4
+    found = scanned(spark, [doc(1, clauses.format(forms[0])), doc(2, clauses.format(forms[1]))], [("L", clauses.format(forms[0]))])
+    assert found == [(1, "text", 0, "L"), (2, "text", 0, None)]
+
+
 def test_odd_licence_rows(spark):
     rows = [doc(1, None), doc(2, ""), doc(3, "...\n\n"), doc(None, "MIT License"), doc(4, "MIT License"), doc(4, "MIT License"),
             doc(5, "word " * 70_000)]
