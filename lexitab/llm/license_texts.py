@@ -1,9 +1,20 @@
 """Texts of common licences and one-line notices, as pairs of an SPDX identifier and a text.
 
 Fixed values: the wording of the licences is their authors'.  Copyright lines, punctuation, case and
-line ends do not matter to the scan, so they are left out or kept plain.
+line ends do not matter to the scan, so they are left out or kept plain.  Long texts are the files of
+``license_files``, named by identifier; the driver reads them.  Of AGPL-3.0-only, CC-BY-4.0, CC-BY-SA-4.0
+and CC-BY-NC-4.0 there are notices only.
 """
 
+from pathlib import Path
+
+FILES = Path(__file__).parent / "license_files"
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+# Copies of the Unlicense have it or not.
+UNLICENSE_LINK = "For more information, please refer to <http://unlicense.org/>"
+# Where the Apache licence's appendix leaves room for a copyright line.
+APACHE_BLANK = "Copyright [yyyy] [name of copyright owner]"
+
 _AS_IS = """IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
 WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE
 USE OR OTHER DEALINGS IN THE SOFTWARE."""
@@ -93,8 +104,30 @@ PHRASES = ["{}", "Licensed under {}", "Licensed under the {}", "Released under {
            "This work is licensed under {}", "This work is licensed under the {}"]
 
 
-def known() -> list[tuple[str, str]]:
-    """All pairs: whole texts, notices of a name in a phrase, and identifier lines."""
+def listed() -> list[tuple[str, str]]:
+    """Short texts, notices of a name in a phrase, and identifier lines."""
     notices = [(i, p.format(name)) for i, name in NAMES for p in PHRASES]
     tags = [(i, f"SPDX-License-Identifier: {i}") for i, _ in NAMES]
     return TEXTS + notices + tags
+
+
+def long_texts() -> list[tuple[str, str]]:
+    """Whole texts from files: as they are, without what follows the terms, with the copyright line of the
+    appendix filled in or the link added, and each of these with links by https."""
+    made = []
+    for path in sorted(FILES.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        forms = [text, text.replace(APACHE_BLANK, "Copyright 2004 X")]
+        if END_OF_TERMS in text:
+            terms = text[:text.index(END_OF_TERMS)]
+            forms += [terms, terms + END_OF_TERMS]
+        if path.stem == "Unlicense":
+            forms.append(text + UNLICENSE_LINK)
+        forms += [form.replace("http://", "https://") for form in forms]
+        made += [(path.stem, form) for form in dict.fromkeys(forms)]
+    return made
+
+
+def known() -> list[tuple[str, str]]:
+    """All pairs."""
+    return listed() + long_texts()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexitab.llm.license_texts import known
+from lexitab.llm.license_texts import known, listed
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
 
@@ -27,7 +27,8 @@ _LICENCE_START = (r"(?=[\s,;:(-]+(?:permission (?:is|to)|everyone is permitted|r
                   r"code|project|source|product|package) |spdx-license-identifier|(?:copyright|©)[^\p{L}\p{N}]*(?:\(c\)|©|[0-9]))|\s+\(c\)\s*[12][0-9]{3})")
 COPYRIGHT_STATEMENT = (r"(?is)^(?:[^\p{L}\p{N}©(]*(?:all rights reserved|" + _MARKER
                        + ".*?(?:" + _SENTENCE_END + "|" + _LICENCE_START + r"|\z)))++")
-# What the SQL twin drops: whole lines that start so.  The given tables have no other words on them.
+# What the SQL twin drops: whole lines that start so.  The given tables have no other words on them.  The twin
+# knows ``listed`` licences only.
 COPYRIGHT_LINE = (r"^[^\p{L}\p{N}©(]*(copyright[^\p{L}\p{N}]*(c[^\p{L}]|[0-9]|by )|©|\(c\)|all rights reserved)")
 NOT_WORD = r"[^\p{L}\p{N}]+"
 # Spellings that count as one, applied in this order to words with single blanks between.
@@ -126,7 +127,7 @@ WITH lined AS (SELECT doc_id, {_sql_lines('text')} AS lines FROM documents),
 known AS (
     SELECT sha256({_SQL_WHOLE}) AS digest, min(license_id) AS license_id
     FROM (SELECT license_id, {_sql_lines('text')} AS lines
-          FROM (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in known())}) k(license_id, text))
+          FROM (VALUES {', '.join(f'({_sql_text(i)}, {_sql_text(t)})' for i, t in listed())}) k(license_id, text))
     WHERE {_SQL_WHOLE} <> '' GROUP BY 1),
 units AS (
     SELECT doc_id, 'text' AS scope, 0 AS line_no, {_SQL_WHOLE} AS words FROM lined

@@ -6,7 +6,7 @@ import zlib
 import pytest
 
 import oracle_check
-from lexitab.llm import decontamination, licenses, sharding
+from lexitab.llm import decontamination, license_texts, licenses, sharding
 from lexitab.llm.license_texts import MIT, known
 from lexitab.llm.queries import ORACLES, QUERIES
 
@@ -78,6 +78,21 @@ def test_a_clause_with_the_number_c_is_no_copyright_line(spark):
     assert found == [(1, "text", 0, "L"), (2, "text", 0, None)]
 
 
+def test_long_licences_are_known_whole(spark):
+    texts = {path.stem: path.read_text() for path in license_texts.FILES.glob("*.txt")}
+    assert set(texts) == {"Apache-2.0", "MPL-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "CC0-1.0", "Unlicense"}
+    rows, want = [], []
+    for i, (name, text) in enumerate(sorted(texts.items())):
+        forms = [text, " * " + text.upper().replace("\n", "\n * "), text.replace("http://", "https://"),
+                 text.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020-2024 Some One"),
+                 text.split("END OF TERMS")[0], text + "\nAnd more."]
+        rows += [doc(10 * i + j, form) for j, form in enumerate(forms)]
+        want += [(10 * i + j, name if j < 5 else None) for j in range(6)]
+    rows.append(doc(100, texts["Unlicense"] + "\nFor more information, please refer to <https://unlicense.org>\n"))
+    found = [(f[0], f[3]) for f in scanned(spark, rows) if f[1] == "text"]
+    assert sorted(found) == want + [(100, "Unlicense")]
+
+
 def test_odd_licence_rows(spark):
     rows = [doc(1, None), doc(2, ""), doc(3, "...\n\n"), doc(None, "MIT License"), doc(4, "MIT License"), doc(4, "MIT License"),
             doc(5, "word " * 70_000)]
