@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -214,6 +215,13 @@ def test_the_pipeline_by_its_stages(spark):
     assert {r.doc_id for r in result} == first - hit and len(result) == len(first - hit)
 
 
+def test_the_last_stage_keeps_the_ids(spark):
+    docs = spark.createDataFrame([(1, "Some words here.", "en", "s", "x"), (2, None, None, None, None)], DOCS)
+    made = {r.doc_id: r for r in corpus_pipeline.tokens(spark, docs, SF).collect()}
+    assert len(made[1].ids) == made[1].n_tokens > 0 and made[2].ids == []
+    assert hashlib.sha256(",".join(map(str, made[1].ids)).encode()).hexdigest() == made[1].ids_sha256
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, "en", "s", "x"), (2, "", None, None, None), (None, "Some words here.", "en", "s", "x"),
                                        (3, "Some other words.", "en", "s", "x"), (3, "Some other words.", "en", "s", "x")]])
 def test_stages_take_odd_rows(spark, rows):
