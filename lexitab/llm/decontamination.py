@@ -103,12 +103,26 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns."""
+    """The rows of ``docs`` that contain no item, with all their columns; rows that share a doc_id are one document."""
     name = unused(docs, "_doc")
     bad = contained(docs, items, threshold).select(F.col("doc_id").alias(name)).distinct()
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
+def decontaminate_rows(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose own text contains no item, with all their columns.
+
+    Rows that share a doc_id, null among them, are told apart by their texts: a row goes only for what
+    it contains itself.
+    """
+    name = unused(docs, "_doc")
+    row = F.concat_ws(":", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")), F.col("doc_id").cast("string"))
+    named = docs.withColumn(name, row)
+    bad = contained(named.select(F.col(name).alias("doc_id"), "text"), items, threshold)
+    return named.join(bad.select(F.col("doc_id").alias(name)).distinct(), name, "left_anti").select(
+        *(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op9_decontamination(spark, sf_dir):
     """All documents against all benchmark items."""
     return contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -223,3 +223,14 @@ def test_sketches_and_items_that_are_not_broadcast(spark, monkeypatch):
     got = decontamination.contained(spark.createDataFrame([doc(*d) for d in docs], DOCS),
                                     spark.createDataFrame([(*i, "x") for i in items], ITEMS))
     assert [(r.doc_id, r.item_id) for r in got.collect()] == [(1, 1)]
+
+
+def test_rows_are_cleaned_by_their_own_text_whatever_their_ids(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    half, rest = " ".join(item.split()[:12]), " ".join(item.split()[8:])
+    rows = [doc(None, "clean words"), doc(None, None), doc(None, half), doc(None, rest), doc(None, "So " + item), doc(7, half), doc(7, rest),
+            doc(7, item + " it is"), doc(7, "clean words"), doc(7, "clean words"), doc(8, item), doc(9, "more clean words")]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = decontamination.decontaminate_rows(docs, spark.createDataFrame([("a", item, "x")], "item_id string, text string, doc_id string"))
+    assert kept.schema == docs.schema
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in docs.collect() if item not in (r.text or ""))
