@@ -12,9 +12,11 @@ from lexitab.llm.sharding import OP2_SQL, op2_sharding
 from lexitab.llm.simhash import op6_simhash
 from lexitab.llm.token_counts import op5_token_counts
 from lexitab.llm.token_files import op4_token_files
+from lexitab.llm.vector_codes import OP13_SQL, op13_vector_codes
 
 QUERIES = {f.__name__: f for f in (
     op1_licenses, op2_sharding, op3_embeddings, op4_token_files, op5_token_counts, op6_simhash, op7_byte_bpe,
-    op8_language, op9_decontamination, op10_quality)}
+    op8_language, op9_decontamination, op10_quality, op13_vector_codes)}
 
-ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op9_decontamination": OP9_SQL,
+           "op13_vector_codes": OP13_SQL}
