@@ -25,8 +25,8 @@ from lexitab.llm.memory import Memory
 from lexitab.plans.fixtures import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Pre-tokens whose ids a worker remembers.
-REMEMBERED = 150_000
+# Bytes of pre-tokens and their ids that a worker remembers.
+REMEMBERED = 96 * 1024 ** 2
 # Keys of a bucket of the perfect hash, on average.
 BUCKET = 4
 

@@ -3,26 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from sys import getsizeof
+
+# Bytes of an entry beside its key and value: its share of two tables that are never full.
+ENTRY = 80
+# Keys of more characters are not remembered: they are hardly met again.
+LONGEST = 48
 
 
 class Memory(dict):
-    """Results by key, made when they are first asked for; at most twice ``limit`` are held.
+    """Results by key (text), made when they are first asked for; about ``limit`` bytes are held.
 
-    When ``limit`` is reached the entries become old, and an old one that is asked for again becomes
-    young again; so what is common stays and what is rare goes.
+    Keys, values and entries are counted.  At half the limit the entries become old, and an old one that
+    is asked for again becomes young again; so what is common stays and what is rare goes.
     """
 
     def __init__(self, make: Callable, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.size = make, limit, 0
         self.old: dict = {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
+        if len(key) > LONGEST:
+            return value
+        size = getsizeof(key) + getsizeof(value) + ENTRY
+        if self.size + size > self.limit // 2:
             self.old = dict(self)
             self.clear()
+            self.size = 0
         self[key] = value
+        self.size += size
         return value

@@ -24,56 +24,71 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 # Fixed value: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
-# Segments whose counts a worker remembers.
-REMEMBERED = 300_000
+# Bytes of segments and their counts that a worker remembers.
+REMEMBERED = 128 * 1024 ** 2
 
 
 class UnigramCounter:
-    """Counts the pieces of the best path under ``(piece, score)`` pairs.
+    """Counts the pieces of the best path under ``(piece, score)`` pairs, the unknown piece first.
 
     Ties go as in the tokenizer: a path must be better, not equal, to replace one that was found from
     an earlier start, so of equal paths to a character the one with the longer last piece stays.  A
-    character that is no piece may stand alone at the worst score less the penalty.  With ``byte_pieces``
-    it counts as its UTF-8 bytes, else as one unknown piece with the unknown characters beside it.
+    character that is no piece may stand alone at the worst score less the penalty.  Unknown characters
+    beside each other are one unknown piece; with ``byte_pieces`` they count as their UTF-8 bytes.  The
+    unknown piece written out in a text (``<unk>``) is one piece by itself and unknown characters beside
+    others; all other special pieces written out (``<s>``, ``<0x0A>``) count as any piece.
     """
 
     def __init__(self, vocabulary: list[tuple[str, float]], byte_pieces: bool):
         self.automaton = ahocorasick.Automaton()
-        for piece, score in vocabulary:
+        for i, (piece, score) in enumerate(vocabulary):
             if piece:
-                self.automaton.add_word(piece, (len(piece), score))
+                self.automaton.add_word(piece, (len(piece), score, i == 0))
         self.automaton.make_automaton()
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self.byte_pieces = byte_pieces
+        # What the unknown piece counts as among unknown characters.
+        self.spelt = len(vocabulary[0][0].encode("utf-8"))
         self.known = Memory(lambda part: self.segment(MARK + part), REMEMBERED)
 
+    def _unknown(self, count: int, run: int, size: int, written: bool) -> tuple[int, int]:
+        """``(pieces, run)`` after unknown characters of ``size`` bytes; ``run`` tells what was before:
+        0 a known piece, 1 unknown characters, 2 the unknown piece, written out, alone."""
+        if written and run == 0:
+            return count + 1, 2
+        if self.byte_pieces:
+            return count + size + (self.spelt - 1 if run == 2 else 0), 1
+        return count + (run == 0), 1
+
     def segment(self, text: str) -> tuple[int, float]:
         """``(pieces, score)`` of the best path over one segment."""
         n = len(text)
         score: list[float] = [0.0] + [float("-inf")] * n
         count = [0] * (n + 1)
-        lone = [False] * (n + 1)
+        run = [0] * (n + 1)
         matches = self.automaton.iter(text)
         match = next(matches, None)
         for end in range(1, n + 1):
             best = float("-inf")
             # Matches of one end come with the longest first, which is the earliest start.
             while match is not None and match[0] < end:
-                length, worth = match[1]
-                reached = score[end - length] + worth
+                length, worth, written = match[1]
+                start = end - length
+                reached = score[start] + worth
                 if reached > best:
-                    best, count[end] = reached, count[end - length] + 1
+                    best = reached
+                    if written:
+                        count[end], run[end] = self._unknown(count[start], run[start], self.spelt, True)
+                    else:
+                        count[end], run[end] = count[start] + 1, 0
                 match = next(matches, None)
             char = text[end - 1]
             if char not in self.single:
                 reached = score[end - 1] + self.unknown
                 if reached > best:
-                    best, lone[end] = reached, True
-                    if self.byte_pieces:
-                        count[end] = count[end - 1] + len(char.encode("utf-8"))
-                    else:
-                        count[end] = count[end - 1] + (not lone[end - 1])
+                    best = reached
+                    count[end], run[end] = self._unknown(count[end - 1], run[end - 1], len(char.encode("utf-8")), False)
             score[end] = best
         return count[n], score[n]
 

@@ -7,6 +7,7 @@ Files hold the documents in ascending order, each file one range of them.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -17,6 +18,7 @@ from unicodedata import is_normalized
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexitab.llm.memory import Memory
@@ -27,10 +29,11 @@ from lexitab.session import materialise, scratch_path
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 ORC = {"orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(32 * 1024 ** 2),
        "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "compression": "zstd"}
-# Chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
+# Bytes of chunks and their ids that a worker remembers.
+REMEMBERED = 224 * 1024 ** 2
 # Marks that end a chunk and make up one word, if a letter or number is before them.
 ENDS = ".,;:!?"
+PRINTABLE = regex.compile(r"[!-~]+")
 
 
 class ChunkEncoder:
@@ -38,8 +41,8 @@ class ChunkEncoder:
 
     The tokenizer drops white space and lets no word, normalisation or special token reach across it,
     so a text's ids are those of its chunks in turn.  Chunks are parted at blanks and line feeds only;
-    any other white space is left to the tokenizer.  It also ends a word where letters or numbers meet
-    marks, so marks at a chunk's end are a chunk of their own.
+    any other white space is left to the tokenizer.  A chunk that its normaliser does not change is
+    parted into words where the tokenizer does it, and each word goes to its model.
     """
 
     def __init__(self, path: str):
@@ -50,6 +53,11 @@ class ChunkEncoder:
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = iter(range(256, 512))
         self.shown = [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+        with open(path, encoding="utf-8") as file:
+            splitter = json.load(file)["pre_tokenizer"]["pretokenizers"][0]
+        self.words = regex.compile(splitter["pattern"]["Regex"]).findall
+        # Ids are held in 16 bits where all of them fit.
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.known = Memory(self._ids, REMEMBERED)
 
     @staticmethod
@@ -66,21 +74,30 @@ class ChunkEncoder:
         lower = text.lower()
         return lower if is_normalized("NFC", lower) else text
 
+    def _word(self, word: str) -> bytes:
+        """The ids of a word as the tokenizer's model gets it: the characters that stand for its bytes."""
+        if not word.isascii():
+            word = "".join(map(self.shown.__getitem__, word.encode("utf-8")))
+        return array(self.kind, [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+
     def _ids(self, chunk: str) -> bytes:
         """The ids of one chunk."""
-        if chunk.isalpha() and chunk == chunk.lower() and (chunk.isascii() or is_normalized("NFC", chunk)):
-            # One word that nothing changes: it goes to the model as the characters that stand for its bytes.
-            word = chunk if chunk.isascii() else "".join(map(self.shown.__getitem__, chunk.encode("utf-8")))
-            return array("i", [token.id for token in self.tokenizer.model.tokenize(word)]).tobytes()
+        plain = chunk.isascii()
+        if chunk.isalpha() and chunk.islower() and (plain or chunk == chunk.lower() and is_normalized("NFC", chunk)):
+            return self._word(chunk)
         body = chunk.rstrip(ENDS)
-        if body != chunk and body and body[-1].isalnum():
-            return self.known[body] + self.known[chunk[len(body):]]
-        return array("i", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The ids as 32-bit integers in the machine's byte order."""
+        if chunk == chunk.lower() and (plain or is_normalized("NFC", chunk)):
+            if body != chunk and body and body[-1].isalnum():
+                return self.known[body] + self.known[chunk[len(body):]]
+            if plain and "<|" not in chunk and PRINTABLE.fullmatch(chunk):
+                words = self.words(chunk)
+                return self._word(chunk) if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
+        return array(self.kind, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
         chunks = self._folded(text).replace("\n", " ").split(" ")
-        return b"".join(map(self.known.__getitem__, chunks))
+        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), self.kind)
 
 
 @lru_cache(maxsize=4)
@@ -89,19 +106,30 @@ def encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def _encoded(path: str, end_id: int):
-    end = np.array([end_id], dtype="i4").tobytes()
+def id_lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of ids as one Arrow column of lists."""
+    offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    values = np.concatenate(rows).astype(np.int32) if rows else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
 
+def _encoded(path: str, end_id: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            rows = [coder.encode(text.as_py() or "") + end for text in batch.column("text")]
-            offsets = np.cumsum([0, *(len(r) // 4 for r in rows)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(rows), dtype="i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
+            rows = [np.append(coder.encode(text.as_py() or "").astype(np.int32), np.int32(end_id)) for text in batch.column("text")]
+            others = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), id_lists(rows)], [*others, "ids"])
     return work
 
 
+def encode_texts(docs: DataFrame, tokenizer: str, end_id: int, *kept: str) -> DataFrame:
+    """``(*kept, ids)`` of every row: the ids of its text, then ``end_id``.  Null texts count as empty."""
+    slim = docs.select(*kept, "text")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]]
+    return slim.mapInArrow(_encoded(tokenizer, end_id), ", ".join([*fields, "ids array<int>"]))
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode every text, append ``end_id`` and write ``(doc_id, pid, row, ids)`` in doc_id order.
 
@@ -110,9 +138,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     crosses one range exchange and is encoded behind it, so sampling the range never encodes.
     """
     slim = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_row"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered = range_sort(slim, ["doc_id", "_h", "_row"]).select("doc_id", "text")
-    encoded = ordered.mapInArrow(_encoded(tokenizer, end_id), f"doc_id {kind}, ids array<int>")
+    ordered = range_sort(slim, ["doc_id", "_h", "_row"])
+    encoded = encode_texts(ordered, tokenizer, end_id, "doc_id")
     number_rows(encoded).write.mode("errorifexists").options(**ORC).orc(path)
 
 

@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import random
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -9,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from lexitab.llm import byte_bpe, token_counts, token_files
+from lexitab.llm import byte_bpe, memory, token_counts, token_files
 from lexitab.plans.fixtures import table
 
 SF = "/root/testdata/sf0.001"
@@ -69,7 +71,7 @@ def test_random_bytes_merge_like_the_library(library):
 
 
 def test_memory_of_pretokens_is_bounded(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 4_000)
     coder = byte_bpe.Encoder(byte_bpe.load(public_tokenizers.path(byte_bpe.VOCABULARY)), public_tokenizers.PATTERN)
     for text in ("one two three four five six seven", "eight nine ten one two", "one two"):
         assert coder.encode(text) == library.encode_ordinary(text)
@@ -83,6 +85,37 @@ def test_the_perfect_hash_is_minimal_and_perfect():
         assert len(made.key_at) == max(1, n) and sorted(x for x in made.key_at if x >= 0) == list(range(n))
 
 
+def test_words_between_any_white_space(library):
+    coder = byte_bpe.encoder(public_tokenizers.path(byte_bpe.VOCABULARY), public_tokenizers.PATTERN)
+    draw = random.Random(5)
+    some = ["a", "bc", " ", " ", "  ", "\n", "\t", "é", "'s", "1", ".", "!\n", "\u3000", "\x1c", "\x85", "日本", " the"]
+    for _ in range(20_000):
+        text = "".join(draw.choice(some) for _ in range(draw.randint(0, 14)))
+        assert coder.encode(text) == library.encode_ordinary(text), text
+
+
+def test_long_distinct_chunks_are_not_remembered():
+    paths = [public_tokenizers.path(m.VOCABULARY) for m in (byte_bpe, token_files, token_counts)]
+    remember = byte_bpe.encoder(paths[0], public_tokenizers.PATTERN), token_files.encoder(paths[1]), token_counts.counter(paths[2])
+    before = [m.known.size for m in remember]
+    for i in range(10_000):
+        text = f"{i}" + "日本" * 40
+        remember[0].encode("x " + text)
+        remember[2].known[text]
+        if i < 500:
+            remember[1].encode(text)
+    assert all(m.known.size - b < 1 << 21 for m, b in zip(remember, before))
+
+
+def test_memory_counts_bytes():
+    kept = memory.Memory(lambda key: key.encode() * 2, 40_000)
+    for i in range(5_000):
+        assert kept[f"key {i}"] == f"key {i}".encode() * 2
+    size = sum(map(sys.getsizeof, [*kept, *kept.values(), *kept.old, *kept.old.values()]))
+    assert size < 40_000 and len(kept) + len(kept.old) > 100
+    assert kept["key 7"] == b"key 7key 7"
+
+
 # --- token files ------------------------------------------------------------------------------
 
 def expected(rows, end=2):
@@ -108,6 +141,24 @@ def test_token_files_of_the_documents(spark):
     checked(token_files.op4_token_files(spark, SF).collect(), expected(rows))
 
 
+def test_ids_of_every_letter_before_marks():
+    """All letters and numbers of Unicode before marks at a chunk's end, in texts that are folded and that are not."""
+    path = public_tokenizers.path(token_files.VOCABULARY)
+    coder, library = token_files.encoder(path), Tokenizer.from_file(path)
+    letters = [c for c in map(chr, range(0x110000)) if unicodedata.category(c)[0] in "LN" and not "\u4e00" < c < "\u9fff"
+               and not "\uac01" < c < "\ud7a0" and c < "\U00010000"]
+    for start in range(0, len(letters), 40):
+        some = letters[start:start + 40]
+        for text in (" ".join(f"{c}. x{c},{c}" for c in some), " ".join(f"{c}?! b{c}:" for c in some) + " <| Σ"):
+            assert coder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("text", ["aड़. b", "ড়.", "שׁ. שׁ,", "Σ İ.", "é VE DİĞERLERİ, İ:", "A. <|endoftext|>b. <|x|>, C.", "don't. 'S 12.5, é's."])
+def test_ids_of_texts_that_normalising_changes(text):
+    path = public_tokenizers.path(token_files.VOCABULARY)
+    assert token_files.encoder(path).encode(text).tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
 def test_token_files_of_odd_rows(spark, tmp_path):
     rows, docs = odd_rows(spark)
     path = str(tmp_path / "tokens")
@@ -152,7 +203,10 @@ def test_counts_are_the_tokenizer_s(spark, texts):
     path = public_tokenizers.path(token_counts.VOCABULARY)
     library = tokenizer_of(*token_counts.vocabulary(path))
     counter = token_counts.counter(path)
-    for text in [*ODD[:-2], *texts]:
+    draw = random.Random(6)
+    written = ["".join(draw.choice(["<unk>", "<s>", "</s>", "<0x41>", "<0x0A>", "a", "the", " ", "<", "\u0378", "é"])
+                       for _ in range(draw.randint(1, 7))) for _ in range(3_000)]
+    for text in [*ODD, *texts, *written]:
         assert counter.count(text)[0] == len(library.encode(text, add_special_tokens=False).ids)
 
 
