@@ -5,8 +5,9 @@ least ``ceil(t n)`` of them.  Documents are far longer than items, so their simi
 containment is searched with bottom sketches: the ``b`` smallest hashes of the item's shingles.  With
 ``b = n - ceil(t n) + 1`` a document that reaches ``t`` has at least one hash of the sketch, as it
 lacks at most ``b - 1`` shingles: no link is lost.  Items are partitioned by size into powers of two,
-and a partition's largest size gives ``b`` for all its items.  Found pairs are verified on the
-shingles themselves.
+and a partition's largest size gives ``b`` for all its items.  Hashes are weighted by how many items hold
+the shingle, so what many items share, such as a template, is seldom in a sketch.  Found pairs, and only
+these, are verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -29,38 +30,45 @@ def words(text: Column) -> Column:
     return F.filter(F.split(clean, " "), lambda w: w != "")
 
 
-def _per_shingle(text: Column, made) -> Column:
-    """An array with ``made(words of the shingle)`` for every shingle of the text, repeats included.
+def _per_shingle(text: Column, made, sizes: list[int]) -> Column:
+    """An array with ``made(words of the shingle)`` for every shingle of the given sizes, repeats included.
 
     The words go in as a lambda variable: they are made once, not once for every shingle.
     """
-    def each(w: Column) -> Column:
-        starts = F.when(F.size(w) >= WORDS, F.sequence(F.lit(0), F.size(w) - WORDS))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda i: made([w[i + j] for j in range(WORDS)]))
-    return F.transform(F.array(words(text)), each)[0]
+    def of_size(w: Column, size: int) -> Column:
+        starts = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: made([w[i + j] for j in range(size)]))
+    return F.transform(F.array(words(text)), lambda w: F.concat(*(of_size(w, size) for size in sizes)))[0]
 
 
-def shingles(text: Column) -> Column:
-    return _per_shingle(text, lambda w: F.concat_ws(" ", *w))
+def shingles(text: Column, sizes: list[int]) -> Column:
+    return _per_shingle(text, lambda w: F.concat_ws(" ", *w), sizes)
 
 
-def shingle_hashes(text: Column) -> Column:
-    return _per_shingle(text, lambda w: F.xxhash64(*w))
+def shingle_hashes(text: Column, sizes: list[int]) -> Column:
+    return _per_shingle(text, lambda w: F.xxhash64(F.concat_ws(" ", *w)), sizes)
 
 
 def item_shingles(items: DataFrame) -> DataFrame:
-    """Distinct ``(item_id, shingle, h, rank)`` with the item's number of shingles ``n``; ``h`` is what
-    ``shingle_hashes`` gives, and ``rank`` the place in the order of a second hash.
+    """Distinct ``(item, item_id, size, shingle, h, rank, n)`` of items that have a word.
 
-    Rows that share an item_id are one item; items of fewer than five words have no shingle.
+    Every distinct ``(item_id, text)`` is an ``item`` of its own, also where ids are null or repeated.  Its
+    shingles have five words; a shorter item is one shingle of all its words.  ``n`` is their number and
+    ``rank`` the place in the order of a second hash, weighted by the square of the items that hold the
+    shingle: one that ``k`` items hold is in a sketch with a chance of about ``1 / k^2``, so that the
+    pairs it makes do not grow with ``k``.
     """
-    each = items.select("item_id", F.explode(shingles(F.col("text"))).alias("shingle")).distinct()
-    h = F.xxhash64(*(F.split("shingle", " ")[j] for j in range(WORDS)))
-    per_item = Window.partitionBy("item_id")
-    rank = F.row_number().over(per_item.orderBy(F.xxhash64(F.lit("rank"), "shingle"), "shingle"))
-    return each.select("item_id", "shingle", h.alias("h"), rank.alias("rank"),
-                       F.count(F.lit(1)).over(per_item).alias("n"))
+    own = items.select("item_id", "text").distinct().withColumn("item", F.monotonically_increasing_id())
+    kept = materialise(own.select("item", "item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0), "benchmark")
+    size = F.least(F.size("w"), F.lit(WORDS))
+    at = F.transform(F.sequence(F.lit(1), F.size("w") - size + 1), lambda i: F.concat_ws(" ", F.slice("w", i, size)))
+    each = kept.select("item", "item_id", size.alias("size"), F.explode(F.array_distinct(at)).alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    u = (F.pmod(F.xxhash64(F.lit("rank"), "shingle"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    per_item = Window.partitionBy("item")
+    rank = F.row_number().over(per_item.orderBy(-F.ln(u) * F.pow("held", F.lit(2)), "shingle"))
+    return each.join(held, "shingle").select("item", "item_id", "size", "shingle", F.xxhash64("shingle").alias("h"),
+                                             rank.alias("rank"), F.count(F.lit(1)).over(per_item).alias("n"))
 
 
 def needed(n: Column, threshold: float) -> Column:
@@ -69,36 +77,47 @@ def needed(n: Column, threshold: float) -> Column:
 
 
 def sketches(parts: DataFrame, threshold: float) -> DataFrame:
-    """The sketch ``(h, item_id)`` of every item, as long as its size partition asks for."""
+    """The sketch ``(h, item)`` of every item, as long as its size partition asks for."""
     largest = (F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1).cast("long")
     longest = largest - needed(largest, threshold) + 1
-    return parts.filter(F.col("rank") <= longest).select("h", "item_id")
+    return parts.filter(F.col("rank") <= longest).select("h", "item")
+
+
+def candidates(docs: DataFrame, parts: DataFrame, sizes: list[int], threshold: float) -> DataFrame:
+    """The ``(doc_id, item)`` that share a hash of the item's sketch."""
+    sketch = materialise(sketches(parts, threshold), "sketches")
+    small = sketch.count() <= BROADCAST_HASHES
+    hashes = docs.select("doc_id", F.explode(shingle_hashes(F.col("text"), sizes)).alias("h"))
+    found = hashes.join(F.broadcast(sketch) if small else sketch, "h")
+    return materialise(found.select("doc_id", "item").distinct(), "candidates")
 
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, item_id, n_shingles, n_found, containment)`` of every pair that reaches ``threshold``.
 
-    Whole texts are searched; rows that share a doc_id, null among them, count as one document.
-    Texts that are null, empty or shorter than five words contain nothing and are contained in
-    nothing.  The documents are read twice: once for the hashes, once for the candidates' shingles.
+    Whole texts are searched; rows that share a doc_id, null among them, count as one document, while
+    every distinct row of the items is an item.  Items and texts without a word contain nothing and are
+    contained in nothing; an item of fewer than five words is found where all of it stands.  Documents are
+    read twice: once for the hashes, once for the candidates' shingles, which meet the shingles of their
+    own items only.
     """
     parts = materialise(item_shingles(items), "items")
-    sketch = materialise(sketches(parts, threshold), "sketches")
-    small = sketch.count() <= BROADCAST_HASHES
-    hashes = docs.select("doc_id", F.explode(shingle_hashes(F.col("text"))).alias("h"))
-    found = hashes.join(F.broadcast(sketch) if small else sketch, "h")
-    pairs = materialise(found.select("doc_id", "item_id").distinct(), "candidates")
+    # Five sizes at most, and only those that some item has.
+    sizes = sorted(r[0] for r in parts.select("size").distinct().collect())
+    if not sizes:
+        return docs.select("doc_id").join(items.select("item_id").limit(0)).limit(0).select(
+            "doc_id", "item_id", *(F.lit(None).cast(k).alias(n) for n, k in (("n_shingles", "long"), ("n_found", "long"), ("containment", "double"))))
+    pairs = candidates(docs, parts, sizes, threshold).withColumnRenamed("doc_id", "_doc")
 
-    # One row per document and candidate; hot documents or items only make more rows, each with its own key.
-    named = pairs.withColumnRenamed("doc_id", "_doc")
     texts = docs.select("doc_id", "text").join(
-        named.select("_doc").distinct(), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    seen = texts.select("doc_id", F.explode(F.array_distinct(shingles(F.col("text")))).alias("shingle"))
-    wanted = parts.select("item_id", "shingle", "n")
-    matched = seen.join(F.broadcast(wanted) if parts.count() <= BROADCAST_HASHES else wanted, "shingle").distinct()
-    hits = matched.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_shingles"),
-                                                    F.count(F.lit(1)).alias("n_found"))
-    return (hits.filter(F.col("n_found") >= needed(F.col("n_shingles"), threshold))
+        pairs.select("_doc").distinct(), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
+    seen = texts.select("doc_id", F.explode(F.array_distinct(shingles(F.col("text"), sizes))).alias("shingle")).join(
+        parts.select("shingle").distinct(), "shingle", "left_semi").distinct()
+    # A row for each shingle of each candidate; hot documents or items only make more rows, each with its own key.
+    wanted = pairs.join(parts.select("item", "item_id", F.col("shingle").alias("_shingle"), "n"), "item")
+    matched = seen.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("shingle") == F.col("_shingle")))
+    hits = matched.groupBy("doc_id", "item", "item_id").agg(F.max("n").alias("n_shingles"), F.count(F.lit(1)).alias("n_found"))
+    return (hits.filter(F.col("n_found") >= needed(F.col("n_shingles"), threshold)).drop("item")
             .withColumn("containment", F.col("n_found") / F.col("n_shingles")))
 
 
@@ -129,17 +148,22 @@ def op9_decontamination(spark, sf_dir):
 
 
 OP9_SQL = r"""
-WITH w AS (
-    SELECT 'd' AS side, doc_id AS id,
-        string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM documents
-    UNION ALL
-    SELECT 'i', item_id,
-        string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') FROM benchmark),
+WITH i AS (
+    SELECT row_number() OVER () AS item, item_id, w, least(len(w), 5) AS size FROM (
+        SELECT DISTINCT item_id, text, list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' '),
+            lambda x: x <> '') AS w FROM benchmark)
+    WHERE len(w) > 0),
+d AS (
+    SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' '),
+        lambda x: x <> '') AS w FROM documents),
+items AS (
+    SELECT item, item_id, shingle, count(*) OVER (PARTITION BY item) AS n FROM (
+        SELECT DISTINCT item, item_id, unnest(list_transform(range(1, len(w) - size + 2), lambda k: array_to_string(w[k:k + size - 1], ' '))) AS shingle
+        FROM i)),
 s AS (
-    SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle
-    FROM w WHERE len(w) >= 5),
-items AS (SELECT id AS item_id, shingle, count(*) OVER (PARTITION BY id) AS n FROM s WHERE side = 'i')
-SELECT s.id AS doc_id, item_id, max(n) AS n_shingles, count(*) AS n_found, count(*) / max(n) AS containment
-FROM s JOIN items USING (shingle) WHERE side = 'd'
-GROUP BY s.id, item_id HAVING count(*) >= ceil(max(n) * 0.8 - 1e-9)
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - size + 2), lambda k: array_to_string(w[k:k + size - 1], ' '))) AS shingle
+    FROM d, (SELECT DISTINCT size FROM i) WHERE len(w) >= size)
+SELECT doc_id, item_id, max(n) AS n_shingles, count(*) AS n_found, count(*) / max(n) AS containment
+FROM s JOIN items USING (shingle)
+GROUP BY doc_id, item, item_id HAVING count(*) >= ceil(max(n) * 0.8 - 1e-9)
 """

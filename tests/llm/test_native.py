@@ -161,14 +161,18 @@ def split(text):
 
 
 def contained_by_pairs(docs, items, threshold=0.8):
-    def grams(rows):
-        found = {}
-        for key, text in rows:
-            w = split(text)
-            found.setdefault(key, set()).update(tuple(w[i:i + 5]) for i in range(len(w) - 4))
-        return found
-    left, right = grams(docs), grams(items)
-    hits = [(d, i, len(b), len(a & b)) for d, a in left.items() for i, b in right.items()]
+    """All pairs by the definition: documents by their id, items by their rows."""
+    texts = {}
+    for key, text in docs:
+        texts.setdefault(key, []).append(split(text))
+    hits = []
+    for item, text in set(items):
+        w = split(text)
+        size = min(5, len(w))
+        b = {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if w else set()
+        for d, rows in texts.items():
+            a = {tuple(r[i:i + size]) for r in rows for i in range(len(r) - size + 1)}
+            hits.append((d, item, len(b), len(a & b)))
     return sorted(((d, i, n, k, k / n) for d, i, n, k in hits if n and k >= threshold * n - 1e-9), key=str)
 
 
@@ -187,7 +191,7 @@ def test_passages_are_found_in_long_documents(spark):
                                     spark.createDataFrame([(*i, "x") for i in items], ITEMS))
     want = contained_by_pairs(docs, items)
     assert sorted((tuple(r) for r in got.collect()), key=str) == want
-    assert {(w[0], w[1]) for w in want} >= {(0, 0), (1, 0), (3, 0), (5, 0), (None, 0), (0, 6), (9, 4)}
+    assert {(w[0], w[1]) for w in want} >= {(0, 0), (1, 0), (3, 0), (5, 0), (None, 0), (0, 6), (9, 4), (8, 1)}
     kept = decontamination.decontaminate(spark.createDataFrame([doc(*d) for d in docs], DOCS),
                                          spark.createDataFrame([(*i, "x") for i in items], ITEMS))
     bad = {w[0] for w in want}
@@ -209,6 +213,31 @@ def test_sketches_lose_no_pair(spark):
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(n, n) for n in range(5, 70)]
 
 
+def test_items_of_one_id_and_short_items(spark):
+    long, other = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    items = [(None, long), (None, other), (None, "Paris, France"), (7, "x"), (7, "one two three four"), (7, "one two three four"), (7, "..."), (8, None)]
+    docs = [(1, f"so {long} it is"), (2, "in paris  FRANCE!"), (3, "france paris"), (4, "xx"), (5, "(x)"), (6, "zero one two three four"),
+            (7, "one two three"), (None, other), (8, f"{long} {other}")]
+    got = decontamination.contained(spark.createDataFrame([doc(*d) for d in docs], DOCS),
+                                    spark.createDataFrame([(*i, "x") for i in items], ITEMS))
+    found = sorted((tuple(r) for r in got.collect()), key=str)
+    assert found == contained_by_pairs(docs, items)
+    assert sorted(f[0] for f in found if f[0]) == [1, 2, 5, 6, 8, 8]
+
+
+def test_a_template_of_all_items_makes_no_pairs(spark):
+    """Items that share most of their words: candidates are about as many as there are links."""
+    template = " ".join(f"t{i}" for i in range(12))
+    items = [(i, f"{template} q{i} r{i} s{i} u{i} v{i} w{i} x{i} y{i} z{i}") for i in range(300)]
+    docs = [(i, f"some words {text} and more") for i, text in items] + [(1_000 + i, f"{template} only{i}") for i in range(300)]
+    left = spark.createDataFrame([doc(*d) for d in docs], DOCS)
+    right = spark.createDataFrame([(*i, "x") for i in items], ITEMS)
+    parts = decontamination.item_shingles(right).cache()
+    pairs = decontamination.candidates(left, parts, [5], 0.8).count()
+    assert pairs <= 900
+    assert sorted((r.doc_id, r.item_id) for r in decontamination.contained(left, right).collect()) == [(i, i) for i in range(300)]
+
+
 def test_empty_decontamination(spark):
     none, no_items = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
     some = spark.createDataFrame([doc(1, "a b c d e f")], DOCS)
