@@ -9,10 +9,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -25,10 +25,12 @@ from lexitab.llm.memory import Memory
 from lexitab.plans.fixtures import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-# Bytes of pre-tokens and their ids that a worker remembers.
-REMEMBERED = 96 * 1024 ** 2
-# Keys of a bucket of the perfect hash, on average.
-BUCKET = 4
+# Bytes of words and their ids that a worker remembers.
+REMEMBERED = 192 * 1024 ** 2
+# Keys of a bucket of the perfect hash, on average; seeds that are tried at a time.
+BUCKET, SEEDS = 4, 256
+# Fixed value: an odd number whose product spreads a hash over its upper bits.
+SPREAD = 0x9E3779B97F4A7C15
 
 
 class PerfectHash:
@@ -40,32 +42,38 @@ class PerfectHash:
 
     def __init__(self, keys: list[bytes]):
         self.size = max(1, len(keys))
-        self.seeds = [0] * max(1, len(keys) // BUCKET)
-        buckets: dict[int, list[int]] = {}
-        for i, key in enumerate(keys):
-            buckets.setdefault(self._bucket(key), []).append(i)
-        key_at = [-1] * self.size
-        for bucket, members in sorted(buckets.items(), key=lambda b: (-len(b[1]), b[0])):
-            seed = 0
-            while True:
-                seed += 1
-                places = [self._place(keys[i], seed) for i in members]
-                if len(set(places)) == len(places) and all(key_at[p] < 0 for p in places):
-                    break
-            for place, i in zip(places, members):
-                key_at[place] = i
-            self.seeds[bucket] = seed
-        self.key_at = key_at
-
-    def _bucket(self, key: bytes) -> int:
-        return xxhash.xxh64_intdigest(key) % len(self.seeds)
-
-    def _place(self, key: bytes, seed: int) -> int:
-        return xxhash.xxh64_intdigest(key, seed) % self.size
+        buckets = max(1, len(keys) // BUCKET)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
+        bucket = hashes % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        starts = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        key_at, free, seeds = np.full(self.size, -1), np.ones(self.size, dtype=bool), [0] * buckets
+        for b in sorted(range(buckets), key=lambda b: starts[b] - starts[b + 1]):
+            members = order[starts[b]:starts[b + 1]]
+            if not len(members):
+                break
+            found, first = np.empty(0, dtype=int), 1
+            while not len(found):
+                tried = np.arange(first, first + SEEDS, dtype=np.uint64)
+                places = self._spread(hashes[members][:, None], tried[None, :]) % np.uint64(self.size)
+                sorted_places = np.sort(places, axis=0)
+                found = np.flatnonzero(free[places].all(axis=0) & (sorted_places[1:] != sorted_places[:-1]).all(axis=0))
+                first += SEEDS
+            seeds[b] = int(tried[found[0]])
+            chosen = places[:, found[0]]
+            key_at[chosen], free[chosen] = members, False
+        self.seeds, self.key_at = seeds, key_at.tolist()
+
+    @staticmethod
+    def _spread(h: np.ndarray, seed: np.ndarray) -> np.ndarray:
+        x = h * (seed * np.uint64(2) + np.uint64(1))
+        return ((x ^ (x >> np.uint64(32))) * np.uint64(SPREAD)) >> np.uint64(33)
 
     def candidate(self, key: bytes) -> int:
         """The position of the only key that can equal ``key``, -1 if there is none."""
-        return self.key_at[self._place(key, self.seeds[self._bucket(key)])]
+        h = xxhash.xxh64_intdigest(key)
+        x = h * (2 * self.seeds[h % len(self.seeds)] + 1) & 0xFFFFFFFFFFFFFFFF
+        return self.key_at[(((x ^ (x >> 32)) * SPREAD & 0xFFFFFFFFFFFFFFFF) >> 33) % self.size]
 
 
 @dataclass
@@ -79,6 +87,8 @@ class Vocabulary:
     def __post_init__(self):
         self.by_id = dict(zip(self.ids, self.pieces))
         self.ranks = dict(zip(self.pieces, self.ids))
+        # Ranks of all pairs of bytes, -1 for none, by the number that the pair is.
+        self.pairs = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: its own if it is a token, else those of its merged bytes."""
@@ -89,39 +99,40 @@ class Vocabulary:
         """Join neighbours, lowest rank first and leftmost among equals, until no pair is a token.
 
         ``end[i]`` is where the part that starts at byte ``i`` ends, so the list links forward through
-        it; ``before`` links back.  A heap entry is out of date once either part has changed.
+        it; ``before`` links back.  ``pair[i]`` is the rank of that part with the next one.  The heap holds
+        rank and start as one number; an entry is out of date if the rank is no longer that of the pair.
         """
-        n, ranks = len(piece), self.ranks
-        end = list(range(1, n + 1))
-        before = list(range(-1, n))
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = end[i]
-            if j < n:
-                rank = ranks.get(piece[i:end[j]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, j, end[j]))
-
-        for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 1, i + 2))
+        n, rank_of, pairs = len(piece), self.ranks.get, self.pairs
+        end, before = list(range(1, n + 1)), list(range(-1, n))
+        pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+        pair.append(-1)
+        shift = n.bit_length()
+        heap = [rank << shift | i for i, rank in enumerate(pair) if rank >= 0]
         heapq.heapify(heap)
+        low, pop, push = (1 << shift) - 1, heapq.heappop, heapq.heappush
         while heap:
-            _, i, j, k = heapq.heappop(heap)
-            # Part i was swallowed (end 0), or i or its right neighbour has grown since.
-            if end[i] != j or end[j] != k:
+            entry = pop(heap)
+            i = entry & low
+            if pair[i] != entry >> shift:
                 continue
-            end[i], end[j] = k, 0
+            j = end[i]
+            k = end[i] = end[j]
+            pair[j] = pair[i] = -1
             if k < n:
                 before[k] = i
-                offer(i)
-            if before[i] >= 0:
-                offer(before[i])
+                rank = rank_of(piece[i:end[k]])
+                if rank is not None:
+                    pair[i] = rank
+                    push(heap, rank << shift | i)
+            h = before[i]
+            if h >= 0:
+                rank = rank_of(piece[h:k])
+                pair[h] = -1 if rank is None else rank
+                if rank is not None:
+                    push(heap, rank << shift | h)
         ids, i = [], 0
         while i < n:
-            rank = ranks.get(piece[i:end[i]])
+            rank = rank_of(piece[i:end[i]])
             if rank is None:
                 raise ValueError(f"the vocabulary has no byte {piece[i:end[i]]!r}")
             ids.append(rank)
@@ -144,15 +155,61 @@ def load(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Encodes texts and remembers the ids of pre-tokens it has met."""
+    """Encodes texts and remembers the ids of words it has met.
+
+    Under ``public_tokenizers.PATTERN`` no match reaches over a single blank between other characters: it
+    ends before the blank, and what follows begins with it.  So a text is parted there, and a word with
+    the blank before it is looked up as a whole.  Blanks beside other white space part nothing.  Any other
+    pattern is matched over the whole text.
+    """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary = vocabulary
         self.pretokens = regex.compile(pattern).findall
-        self.known = Memory(lambda pretoken: vocabulary.encode_piece(pretoken.encode("utf-8")), REMEMBERED)
+        self.by_words = pattern == public_tokenizers.PATTERN
+        # Ids are held in 16 bits where all of them fit.
+        self.kind = "H" if max(vocabulary.ids, default=0) < 1 << 16 else "I"
+        self.pieces = Memory(self._piece, REMEMBERED // 4)
+        self.known = Memory(self._word, REMEMBERED - REMEMBERED // 4)
+
+    def _piece(self, pretoken: str) -> bytes:
+        return array(self.kind, self.vocabulary.encode_piece(pretoken.encode("utf-8"))).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pretokens(text)))
+
+    def _word(self, word: str) -> bytes | None:
+        """The ids of a blank and a word; ``None`` if white space is at either end or nothing is there."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        first, *others = self.pretokens(" " + word)
+        if not others:
+            return self._piece(first)
+        return b"".join([self.known[first[1:]] or self.pieces[first], *map(self.pieces.__getitem__, others)])
+
+    def _units(self, parts: list[str]) -> Iterator[bytes]:
+        """The ids of parts between blanks, those beside other white space put together again."""
+        unit, open_end = [parts[0]], parts[0][-1:].isspace()
+        for part in parts[1:]:
+            if open_end or not part or part[0].isspace():
+                unit.append(part)
+            else:
+                yield self._plain(" ".join(unit))
+                unit = ["", part]
+            open_end = not part or part[-1].isspace()
+        yield self._plain(" ".join(unit))
+
+    def packed(self, text: str) -> bytes:
+        if not self.by_words:
+            return self._plain(text)
+        first, *parts = text.split(" ")
+        words = [*map(self.known.__getitem__, parts)]
+        if first[-1:].isspace() or None in words:
+            return b"".join(self._units([first, *parts]))
+        return b"".join([self._plain(first), *words])
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.pretokens(text))))
+        return array(self.kind, self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.by_id.__getitem__, ids))
