@@ -6,15 +6,19 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lexitab.functions.text import csv_decode
+from lexitab.operators.ordering import number_rows, range_sort, with_positions
+from lexitab.session import materialise
 from lexitab.sources.listing import listed_files
 
 # Ranges of one file this close together are read as one.
 GAP_BYTES = 64 * 1024
 # Bytes that are read at a time, unless one row is longer.
 READ_BYTES = 8 * 1024 ** 2
+# Titles that one window of the prefix index goes over.
+BLOCK = 1 << 18
 
 
 def latest_values(merged: DataFrame) -> DataFrame:
@@ -117,22 +121,32 @@ def prefix_search(table: DataFrame, prefix: str, k: int) -> DataFrame:
 def prefix_index(table: DataFrame, max_len: int, k: int) -> DataFrame:
     """The first ``k`` distinct titles of every folded prefix of up to ``max_len`` characters.
 
-    Titles are ranked in two steps, for any ``k``: inside one of as many groups as the session has
-    shuffle partitions, then among the ``k`` best of each group.  So a prefix that a third of all titles
-    share is spread over all tasks, and the last step meets ``k`` rows of a prefix per group.
+    In sorted order the titles of a prefix are neighbours, so a title's rank is its distance from where the
+    prefix began, which shows where a title's prefix differs from the one before.  Titles are sorted once
+    and numbered; blocks of positions look ahead in one pass, each with the last ``k`` titles of the block
+    before it.  A prefix that began earlier than these has more than ``k`` titles by then, so nothing else
+    is needed, for any ``k`` and however many titles share a prefix.
     """
-    spark = table.sparkSession
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.lower("title")
-    titles = table.select("title").distinct()
-    prefixes = titles.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(max_len), F.length(key)))))
-    prefixes = prefixes.filter(F.length(key) > 0).select(
-        F.substring(key, F.lit(1), F.col("length")).alias("prefix"), key.alias("k"), "title",
-        F.pmod(F.xxhash64("title"), F.lit(groups)).alias("_group"))
-    in_group = F.row_number().over(Window.partitionBy("prefix", "_group").orderBy("k", "title"))
-    some = prefixes.withColumn("rank", in_group).filter(F.col("rank") <= k)
-    rank = F.row_number().over(Window.partitionBy("prefix").orderBy("k", "title"))
-    return some.withColumn("rank", rank).filter(F.col("rank") <= k).select("prefix", "rank", "title")
+    titles = table.select("title").distinct().select("title", key.alias("key")).filter(F.length("key") > 0)
+    sorted_titles = with_positions(materialise(number_rows(range_sort(titles, ["key", "title"])), "titles"))
+    size = max(BLOCK, k)
+    own = F.floor(F.col("pos") / size)
+    blocks = F.when(F.col("pos") % size >= size - k, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = sorted_titles.select("title", "key", "pos", F.explode(blocks).alias("block"))
+    in_block = Window.partitionBy("block").orderBy("pos")
+    rows = rows.withColumn("before", F.lag("key").over(in_block))
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
+
+    def began(n: int) -> Column:
+        begins = (F.col("pos") == 0) | (F.substring("key", 1, n) != F.substring("before", 1, n))
+        return F.last(F.when(begins, F.col("pos")), ignorenulls=True).over(upto)
+
+    rows = rows.select("title", "key", "pos", "block", F.array(*(
+        F.struct(F.lit(n).alias("n"), (F.col("pos") - began(n) + 1).cast("int").alias("rank")) for n in range(1, max_len + 1))).alias("ranks"))
+    ranked = F.filter("ranks", lambda r: (r["rank"] <= k) & (r["n"] <= F.length("key")))
+    return rows.filter(F.col("pos") >= F.col("block") * size).select("title", "key", F.inline(ranked)).select(
+        F.substring("key", F.lit(1), F.col("n")).alias("prefix"), "rank", "title")
 
 
 def complete(requests: DataFrame, prefixes: DataFrame) -> DataFrame:

@@ -48,22 +48,24 @@ def cutoffs(existing: DataFrame, changelog: DataFrame) -> DataFrame:
                                 F.max(F.when(F.col("side") == EXISTING, F.col("ord"))).alias("cut_e"))
 
 
-def upsert(existing: DataFrame, changelog: DataFrame, *, ordered: bool = False,
+def upsert(existing: DataFrame, changelog: DataFrame, *carried: str, ordered: bool = False,
            num_parts: int | None = None) -> DataFrame:
     """Merge ``(title, value, ord)`` tables into ``(title, value, k, side, ord, status)``.
 
+    Columns named in ``carried``, which both tables have, come along.
+
     Full rows meet the cutoffs in a left join, which are unique per key: Spark broadcasts them if they
     are small, else it can split a hot key, which is on one side only.  ``ordered=True`` adds a range
     exchange on ``(k, side, ord)``, whose bounds may cut inside a key too.
     """
     cuts = materialise(cutoffs(existing, changelog), "cutoffs")
-    rows = _tagged(existing, changelog, "title", "value", "ord").join(cuts, "k", "left")
+    rows = _tagged(existing, changelog, "title", "value", "ord", *carried).join(cuts, "k", "left")
     from_changelog = F.col("side") == CHANGELOG
     updated = F.coalesce(F.col("ord") <= F.col("cut_c"), F.lit(False))
     replaced = F.coalesce(F.col("ord") <= F.col("cut_e"), F.lit(False))
     status = F.when(~from_changelog, KEPT).when(updated, UPDATED).otherwise(ADDED)
     merged = (rows.filter(from_changelog | ~replaced).withColumn("status", status)
-              .select("title", "value", "k", "side", "ord", "status"))
+              .select("title", "value", "k", "side", "ord", "status", *carried))
     return range_sort(merged, ["k", "side", "ord"], num_parts) if ordered else merged
 
 

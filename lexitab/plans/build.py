@@ -15,7 +15,7 @@ from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
 from lexitab.schema import DICT, HEADER_BYTES
 from lexitab.session import materialise, write_table
-from lexitab.sinks.files import (children, exists, write_csv_header, write_csv_parts, write_index, write_index_json,
+from lexitab.sinks.files import (children, create_once, exists, write_csv_header, write_csv_parts, write_index, write_index_json,
                                  write_manifest)
 from lexitab.sources.files import (as_dictionary, read_data, read_dictionary, read_index, read_index_json,
                                    read_manifest)
@@ -24,7 +24,7 @@ from lexitab.sources.synthetic import FULL_TEMPLATES, generate
 
 MANIFEST_FILE = "manifest.json"
 DATA, CSV, INDEX, INDEX_JSON = "data.parquet", "data.csv", "index.parquet", "index.json"
-VERSIONS = "dict"
+VERSIONS, CLAIMS = "dict", "_claims"
 DEFAULT_GB = 5.0
 
 
@@ -48,20 +48,35 @@ def load_manifest(spark: SparkSession, root: str) -> dict[str, str]:
     return {} if row is None else {k: v for k, v in row.asDict().items() if v is not None}
 
 
-def _stamps(spark: SparkSession, now: datetime | None) -> tuple[str, str]:
+def stamps(spark: SparkSession, now: datetime | None) -> tuple[str, str]:
     ts = F.current_timestamp() if now is None else F.lit(now)
     return tuple(spark.range(1).select(date_stamp(ts), iso_stamp(ts)).first())
 
 
-def _new_version(spark: SparkSession, root: str, stamp: str) -> str:
-    """``stamp``, or ``stamp-n`` on a day that already has a version: versions are immutable."""
+def claim_version(spark: SparkSession, root: str, stamp: str) -> str:
+    """``stamp``, or ``stamp-n`` on a day that already has a version: versions are immutable.
+
+    A claim is a small object that only one build can create, so two builds at once never share a name.
+    """
     version, n = stamp, 0
-    while exists(spark, os.path.join(root, VERSIONS, version)):
+    while exists(spark, os.path.join(root, VERSIONS, version)) or not create_once(
+            spark, os.path.join(root, CLAIMS, version), stamp):
         n += 1
         version = f"{stamp}-{n}"
     return version
 
 
+def switch_manifest(spark: SparkSession, path: str, manifest: dict[str, str], seen: dict[str, str]) -> None:
+    """Replace the manifest if it still is the one this build started from.
+
+    So of two builds from one version the later one is refused, in place of dropping the other's update;
+    its version stays unused.  Comparing and replacing are two steps of a moment, not one.
+    """
+    if load_manifest(spark, os.path.dirname(path)) != seen:
+        raise RuntimeError("the manifest was changed by another build: start again from its version")
+    write_manifest(spark, path, manifest)
+
+
 def _publish(spark: SparkSession, root: str, version: str, ordered: DataFrame, *,
              part_rows: int, csv: bool, index_json: bool, strict: bool) -> Version:
     """Write data, index and CSV parts below ``dict/<version>`` and check them against each other.
@@ -119,19 +134,20 @@ def full_build(spark: SparkSession, root: str, source: DataFrame | None = None,
                index_json: bool = False, strict: bool = False, service_name: str = "dictionary",
                service_description: str = "", service_author: str = "") -> Version:
     """Publish ``source`` (``title, value, ord``) as a first version; synthetic rows by default."""
-    stamp, iso = _stamps(spark, now)
+    stamp, iso = stamps(spark, now)
+    seen = load_manifest(spark, root)
     if source is None:
         source = generate(spark, target_gb=target_gb, seed=seed, sort=False)
     ordered = stable_sort(source, num_parts).select("title", "value", "k")
-    version = _new_version(spark, root, stamp)
+    version = claim_version(spark, root, stamp)
     made = _publish(spark, root, version, ordered, part_rows=part_rows, csv=csv, index_json=index_json,
                     strict=strict)
-    write_manifest(spark, os.path.join(root, MANIFEST_FILE), {
+    switch_manifest(spark, os.path.join(root, MANIFEST_FILE), {
         "service_name": service_name, "service_description": service_description,
         "service_author": service_author, "file_path": made.file_path,
         "index_file_path": made.index_file_path, "changelog_file_path": "",
         "last_updated_at": iso, "version": made.version,
-    })
+    }, seen)
     return made
 
 
@@ -181,15 +197,16 @@ def incremental_build(spark: SparkSession, root: str, changelog: DataFrame | Non
     changelog = materialise(changelog.select(*DICT.names, "ord"), "changelog")
     existing = current_rows(spark, root, manifest["file_path"])
 
-    stamp, iso = _stamps(spark, now)
-    version = _new_version(spark, root, f"{stamp}-{tag}" if tag else stamp)
+    stamp, iso = stamps(spark, now)
+    version = claim_version(spark, root, f"{stamp}-{tag}" if tag else stamp)
     merged = upsert(existing, changelog, ordered=True, num_parts=num_parts)
     made = _publish(spark, root, version, merged.select("title", "value", "k"),
                     part_rows=part_rows, csv=csv, index_json=index_json, strict=strict)
     made.counters = _counters(existing.count(), changelog.count(), made.rows)
+    seen = dict(manifest)
     manifest |= {"file_path": made.file_path, "index_file_path": made.index_file_path,
                  "last_updated_at": iso, "version": made.version}
-    write_manifest(spark, os.path.join(root, MANIFEST_FILE), manifest)
+    switch_manifest(spark, os.path.join(root, MANIFEST_FILE), manifest, seen)
     return made
 
 
@@ -221,7 +238,7 @@ def rollback(spark: SparkSession, root: str, version: str, now: datetime | None
     made = _verify(spark, root, version, strict=False)
     manifest = load_manifest(spark, root)
     manifest |= {"file_path": made.file_path, "index_file_path": made.index_file_path,
-                 "last_updated_at": _stamps(spark, now)[1], "version": version}
+                 "last_updated_at": stamps(spark, now)[1], "version": version}
     write_manifest(spark, os.path.join(root, MANIFEST_FILE), manifest)
 
 

@@ -78,6 +78,7 @@ ORACLES = {
     "dict_scan": f"WITH {_T} SELECT ord, title, value FROM t",
     "csv_round_trip": f"WITH {_T} SELECT title, value FROM t",
     "csv_multiline_scan": r"""SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS value FROM documents""",
+    "csv_exact_scan": r"""SELECT doc_id || '" x' AS title, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS value FROM documents""",
     "title_fold": f"WITH {_T} SELECT ord, title, lower(title) AS k FROM t",
     "title_case": """SELECT p_partkey, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS capital,
   upper(left(p_name, 1)) || lower(substr(p_name, 2)) AS name, lower(p_type) AS lower, upper(p_name) AS upper FROM part""",
@@ -154,4 +155,6 @@ SELECT coalesce(d.title, m1.title) AS title, coalesce(d.value, m1.value) AS valu
 FROM m1 FULL OUTER JOIN d ON m1.k = d.k AND m1.n = d.n""",
 }
 ORACLES["range_lookup"] = ORACLES["batch_lookup"]
+ORACLES["incremental_touched_files"] = ORACLES["streamed_changelog"]
+ORACLES["two_level_index"] = f"WITH {_MERGE_INDEX} SELECT title, byte_offset, byte_length FROM mi"
 ORACLES["published_index_json"] = ORACLES["published_index"]

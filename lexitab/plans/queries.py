@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions import text
 from lexitab.operators import index, lookup, merge, ordering, reports
-from lexitab.plans import build, fixtures
+from lexitab.plans import build, fixtures, ranged
 from lexitab.session import materialise, scratch_path
 from lexitab.sinks.files import write_csv_parts
 from lexitab.sources import synthetic
@@ -77,6 +77,16 @@ def csv_multiline_scan(spark, sf_dir):
     return read_split_dictionary(spark, path).select(F.col("title").cast("bigint").alias("doc_id"), "value")
 
 
+def csv_exact_scan(spark, sf_dir):
+    """Raw texts in a CSV that quotes a field only where a reader needs it: others hold lone quotes."""
+    docs, path = fixtures.table(spark, sf_dir, "documents"), scratch_path(spark, "raw")
+    body = F.coalesce("text", F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(body, F.lit('"'), F.lit('""')), F.lit('"'))
+    field = F.when(body.rlike(r'^"|[,\r\n]'), quoted).otherwise(body)
+    docs.select(F.concat(F.col("doc_id").cast("string"), F.lit('" x,'), field).alias("line")).write.option("lineSep", "\r\n").text(path)
+    return read_split_dictionary(spark, path, header=False).select("title", "value")
+
+
 def title_fold(spark, sf_dir):
     return fixtures.dictionary(spark, sf_dir).select("ord", "title", text.fold("title").alias("k"))
 
@@ -274,6 +284,25 @@ def published_index_json(spark, sf_dir):
     return build.live_index_json(spark, _published(spark, sf_dir, csv=False, index_json=True))
 
 
+def _updated(spark, sf_dir) -> str:
+    """A root with E as a copy-on-write version, updated by C."""
+    root, day = scratch_path(spark, "ranged"), datetime(2024, 5, 1)
+    existing, changelog, _ = _inputs(spark, sf_dir)
+    ranged.create(spark, root, existing, now=day)
+    ranged.update(spark, root, _as_csv_order(changelog), now=day)
+    return root
+
+
+def incremental_touched_files(spark, sf_dir):
+    """The upsert again, by rewriting only the files that the changelog meets."""
+    return ranged.rows(spark, _updated(spark, sf_dir)).select("title", "value")
+
+
+def two_level_index(spark, sf_dir):
+    """Offsets after that update: entries inside their files, files inside the whole."""
+    return ranged.index(spark, _updated(spark, sf_dir))
+
+
 def range_lookup(spark, sf_dir):
     """The requests again, answered from byte ranges of the published CSV parts."""
     root = _published(spark, sf_dir)
@@ -317,11 +346,11 @@ def _as_csv_order(rows: DataFrame) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    upsert_index, dict_scan, csv_round_trip, csv_multiline_scan, title_fold, title_case, normalize_text, row_bytes,
+    upsert_index, dict_scan, csv_round_trip, csv_multiline_scan, csv_exact_scan, title_fold, title_case, normalize_text, row_bytes,
     version_stamp, upsert_merge, changelog_new_rows, changelog_updates, existing_untouched_rows,
     merge_stats, sorted_dictionary, dedupe_first, unique_limit, build_index, index_last_wins,
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_checks, published_dictionary,
-    published_index, published_index_json, range_lookup, streamed_changelog, streamed_two_changelogs,
+    published_index, published_index_json, incremental_touched_files, two_level_index, range_lookup, streamed_changelog, streamed_two_changelogs,
 )}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import csv_line
@@ -108,6 +109,25 @@ def _put(spark: SparkSession, path: str, text: str) -> None:
     context.rename(written, target, options)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small object unless there is one; whether this call created it.
+
+    File systems that refuse to overwrite decide in one step who comes first.
+    """
+    jvm, target, fs = _file_system(spark, path)
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if fs.exists(target):
+            return False
+        raise error
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
 def write_manifest(spark: SparkSession, path: str, manifest: dict[str, str]) -> None:
     """Switch the manifest: the last step of every build."""
     unknown = set(manifest) - set(MANIFEST.names)

@@ -245,7 +245,7 @@ def test_prefixes_for_any_k(spark):
     ranks = lookup.prefix_index(many, 1, 5_000)
     assert [(r.rank, r.title) for r in ranks.orderBy("rank").collect()] == [(i + 1, f"a{i:05}") for i in range(5_000)]
     plan = lookup.prefix_index(many, 1, 5_000)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window [row_number()") == 2
+    assert "row_number()" not in plan and "windowspecdefinition(prefix" not in plan
 
 
 def test_the_table_is_cut_before_values_move(spark, tmp_path):
