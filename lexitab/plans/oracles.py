@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexitab.plans.queries import PREFIX, PREFIX_LEN, SHARDS, TOP_K
+from lexitab.plans.queries import PREFIX, PREFIX_LEN, SHARDS, TOP_K, VALUE_SEED
 
 _SPACE = (r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
 
@@ -154,6 +154,34 @@ m1 AS (SELECT title, value, k, row_number() OVER (PARTITION BY k ORDER BY rn) AS
 SELECT coalesce(d.title, m1.title) AS title, coalesce(d.value, m1.value) AS value
 FROM m1 FULL OUTER JOIN d ON m1.k = d.k AND m1.n = d.n""",
 }
+
+
+def _key(use: int) -> str:
+    first = f"((doc_id % 2147483647 + {(VALUE_SEED * 7368787 + use * 15485863) % 2147483647}) % 2147483647)"
+    second = f"(({first} * {first} + 99991) % 2147483647)"
+    return f"(({second} * {second} + doc_id + {use}) % 2147483647)"
+
+
+ORACLES["synth_values"] = f"""
+WITH vocabulary AS (
+  SELECT w, row_number() OVER (ORDER BY n DESC, w) - 1 AS i FROM (
+    SELECT w, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}]+')) AS w FROM documents)
+    WHERE length(w) >= 3 GROUP BY w ORDER BY n DESC, w LIMIT 2048)),
+known AS (SELECT count(*) AS size, min(octet_length(encode(w))) AS shortest FROM vocabulary),
+keys AS (SELECT doc_id, {_key(1)} AS k, {_key(2)} % 7001 + 5000 AS target FROM documents),
+x1 AS (SELECT doc_id, k, target, size, unnest(range(1, CAST(ceil(target / (shortest + 1)) AS BIGINT) + 25)) AS j FROM keys, known),
+x2 AS (SELECT *, (k + j * 104729) % 2147483647 AS x FROM x1),
+x3 AS (SELECT * REPLACE ((x * x + k) % 2147483647 AS x) FROM x2),
+x4 AS (SELECT * REPLACE ((x * x + 104729) % 2147483647 AS x) FROM x3),
+drawn AS (SELECT doc_id, target, j, w, x // size AS rest, (x // size) % 9 = 0 OR j % 24 = 0 AS ends,
+    sum(octet_length(encode(w)) + 1) OVER (PARTITION BY doc_id ORDER BY j) AS bytes, FROM x4 JOIN vocabulary ON i = x % size),
+stops AS (SELECT doc_id, min(j) AS stop FROM drawn WHERE ends AND bytes >= target GROUP BY doc_id),
+shown AS (
+  SELECT doc_id, j, CASE WHEN coalesce(lag(ends) OVER (PARTITION BY doc_id ORDER BY j), true) THEN upper(w[1]) || lower(w[2:]) ELSE w END
+    || CASE WHEN ends THEN ['.', '.', '.', '?', '.', '!', '.'][(rest // 9) % 7 + 1] ELSE '' END AS t
+  FROM drawn JOIN stops USING (doc_id) WHERE j <= stop)
+SELECT doc_id, string_agg(t, ' ' ORDER BY j) AS value FROM shown GROUP BY doc_id
+"""
 ORACLES["range_lookup"] = ORACLES["batch_lookup"]
 ORACLES["incremental_touched_files"] = ORACLES["streamed_changelog"]
 ORACLES["two_level_index"] = f"WITH {_MERGE_INDEX} SELECT title, byte_offset, byte_length FROM mi"

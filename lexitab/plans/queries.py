@@ -16,7 +16,7 @@ from lexitab.sources.files import read_dictionary, read_lines
 from lexitab.sources.records import read_split_dictionary
 from lexitab.streaming.changelog import apply_changelogs
 
-PREFIX, TOP_K, PREFIX_LEN, SHARDS = "th", 20, 4, 16
+PREFIX, TOP_K, PREFIX_LEN, SHARDS, VALUE_SEED = "th", 20, 4, 16, 5
 
 
 def _inputs(spark: SparkSession, sf_dir: str, titles_only: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -249,6 +249,14 @@ def synth_dictionary(spark, sf_dir):
     return _synthetic(spark, sf_dir, 7, synthetic.FULL_TEMPLATES)
 
 
+def synth_values(spark, sf_dir):
+    """The generated value of every document's number, in the most frequent words of all documents."""
+    docs = fixtures.table(spark, sf_dir, "documents")
+    words, attempt = synthetic.frequent_words(docs), F.col("doc_id")
+    ids = docs.select("doc_id").repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    return ids.select("doc_id", synthetic.value(attempt, VALUE_SEED, synthetic.target_bytes(attempt, VALUE_SEED), words).alias("value"))
+
+
 def synth_checks(spark, sf_dir):
     """Counts that must hold for any seed: all rows made, none a copy, short or split."""
     rows = _synthetic(spark, sf_dir, 11, synthetic.SMALL_TEMPLATES)
@@ -351,6 +359,6 @@ QUERIES = {f.__name__: f for f in (
     merge_stats, sorted_dictionary, dedupe_first, unique_limit, build_index, index_last_wins,
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
-    prefix_index_topk, prefix_complete, synth_dictionary, synth_checks, published_dictionary,
+    prefix_index_topk, prefix_complete, synth_dictionary, synth_values, synth_checks, published_dictionary,
     published_index, published_index_json, incremental_touched_files, two_level_index, range_lookup, streamed_changelog, streamed_two_changelogs,
 )}

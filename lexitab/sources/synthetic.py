@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexitab.functions.text import capitalize, normalize, utf8_bytes
+from lexitab.functions.text import capitalize
 from lexitab.operators.ordering import distinct_first, first_n, stable_sort
 from lexitab.session import materialise
 
@@ -16,6 +16,11 @@ ATTEMPTS_PER_ROW = 10
 MIN_VALUE_BYTES, MAX_VALUE_BYTES = 5000, 12000
 MEAN_ROW_BYTES = 8_500
 PARTITION_BYTES = 128 * 1024 ** 2
+# Fixed value: the prime whose residues are drawn; squares of them fit a long.
+PRIME = 2_147_483_647
+# Words of a sentence, on average and at most, and what may end it.
+SENTENCE, LONGEST = 9, 24
+MARKS = (".", ".", ".", "?", ".", "!", ".")
 
 # Title templates.  {Word}, {WORD} change the case of {word}; {a|b} is a choice; {words:1-3} repeats;
 # the choice between templates is uniform.
@@ -106,12 +111,6 @@ def _vocabulary(size: int = 2048) -> str:
 WORDS = _vocabulary()
 
 
-def shortest_piece(words: str) -> int:
-    """Bytes that no piece of a value falls short of: a sentence has four words at least, the blanks
-    between them and a full stop."""
-    return 4 * min(len(word.encode()) for word in words.split(" ")) + 3 + 1
-
-
 class _Draw:
     """Repeatable draws for one row: every draw is a hash of the row's key and a tag.
 
@@ -162,17 +161,6 @@ class _Draw:
             options, (F.pmod(F.xxhash64(self.key, F.lit(tag), j), F.lit(size)) + 1).cast("int")))
         return F.concat_ws(" ", drawn)
 
-    def sentence(self, tag: int, words: int | Column) -> Column:
-        """About ``words`` words: between 60 and 140 per cent, and at least four."""
-        words = F.lit(words) if isinstance(words, int) else words
-        low = F.greatest(F.lit(4), F.floor(words * 0.6).cast("int"))
-        high = F.greatest(low, F.floor(words * 1.4).cast("int"))
-        return F.concat(self.capital(tag), F.lit(" "),
-                        self.words(tag, 2, self.number(tag + 1, low, high)), F.lit("."))
-
-    def sentences(self, tag: int, count: Column, words: int) -> Column:
-        return F.concat_ws(" ", self.each(1, count, lambda draw: draw.sentence(tag, words)))
-
 
 def _token(token: Column, draw: _Draw) -> Column:
     """The text of one template token."""
@@ -218,37 +206,64 @@ def title(attempt: Column, seed: int, templates: list[str] = FULL_TEMPLATES, voc
     return F.concat_ws("", F.transform(template, lambda token, i: _token(token, draw.at(F.xxhash64(draw.key, i)))))
 
 
+def _key(attempt: Column, seed: int, use: int) -> Column:
+    """A number below PRIME for an attempt, a seed and a use: whole-number arithmetic that any engine repeats."""
+    first = F.array((attempt % PRIME + (seed * 7_368_787 + use * 15_485_863) % PRIME) % PRIME)
+    second = F.transform(first, lambda x: (x * x + 99_991) % PRIME)
+    return F.transform(second, lambda x: (x * x + attempt + use) % PRIME)[0]
+
+
+def _draws(key: Column, count: Column) -> Column:
+    """``count`` numbers below PRIME, by counting up from the key and squaring twice."""
+    def squared(k: Column) -> Column:
+        counted = F.transform(F.sequence(F.lit(1).cast("long"), count.cast("long")), lambda j: (k + j * 104_729) % PRIME)
+        once = F.transform(counted, lambda x: (x * x + k) % PRIME)
+        return F.transform(once, lambda x: (x * x + 104_729) % PRIME)
+    return F.transform(F.array(key), squared)[0]
+
+
 def value(attempt: Column, seed: int, target: Column, vocabulary: str = WORDS) -> Column:
-    """Pieces of four kinds, equally likely, until their bytes reach ``target``.
+    """Sentences of drawn words until their bytes reach ``target``.
 
-    The blanks that join the pieces are not counted.  No piece is shorter than ``shortest_piece``, so
-    there are steps enough for any vocabulary.
+    A draw gives a word and whether a sentence ends with it; none is longer than LONGEST words.  The blanks
+    between sentences are not counted, so each word takes its bytes and one more, for a blank or a mark:
+    the number of words follows from a table of word lengths before any text is made, and each word is
+    written once.
     """
-    def piece(draw: _Draw) -> Column:
-        kind = draw.number(201, 0, 3)
-        text = (F.when(kind == 0, draw.sentences(210, draw.number(202, 3, 7), 6))
-                .when(kind == 1, draw.sentence(220, draw.number(203, 10, 30)))
-                .when(kind == 2, draw.sentences(230, F.floor(draw.number(204, 200, 500) / 75).cast("int"), 6))
-                .otherwise(F.concat(draw.word(240), F.lit(": "), draw.sentence(241, 6))))
-        return normalize(text)
+    words = vocabulary.split(" ")
+    size, lengths = len(words), [len(word.encode()) for word in words]
+    options = F.split(F.lit(vocabulary), " ")
+    sizes = F.split(F.lit(" ".join(map(str, lengths))), " ").cast("array<int>")
+    most = F.ceil(target / (min(lengths) + 1)) + LONGEST
+
+    def rest(x: Column) -> Column:
+        return F.floor(x / size).cast("long")
+
+    def ends(x: Column, number: Column) -> Column:
+        return (rest(x) % SENTENCE == 0) | (number % LONGEST == 0)
+
+    def add(state: Column, x: Column) -> Column:
+        grown = state["bytes"] + F.element_at(sizes, (x % size + 1).cast("int")) + 1
+        number = state["n"] + 1
+        return F.when(state["done"], state).otherwise(F.struct(
+            grown.alias("bytes"), number.alias("n"), (ends(x, number) & (grown >= target)).alias("done")))
 
-    def key(i: Column) -> Column:
-        return F.xxhash64(F.lit(seed), attempt, i)
+    def text(draws: Column) -> Column:
+        none = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+        n = F.aggregate(draws, none, add, lambda state: state["n"])
 
-    def add(state: Column, i: Column) -> Column:
-        grown = F.struct((state["bytes"] + utf8_bytes(piece(_Draw(key(i), vocabulary)))).alias("bytes"),
-                         (state["n"] + 1).alias("n"))
-        return F.when(state["bytes"] >= target, state).otherwise(grown)
+        def shown(x: Column, i: Column) -> Column:
+            word = F.element_at(options, (x % size + 1).cast("int"))
+            begins = (i == 0) | ends(F.element_at(draws, F.greatest(i, F.lit(1))), i)
+            mark = F.element_at(F.array(*map(F.lit, MARKS)), (F.floor(rest(x) / SENTENCE) % len(MARKS) + 1).cast("int"))
+            return F.concat(F.when(begins, capitalize(word)).otherwise(word), F.when(ends(x, i + 1), mark).otherwise(""))
+        return F.array_join(F.transform(F.slice(draws, F.lit(1), n), shown), " ")
 
-    # Spark copies the state at every step, so it holds two numbers, and the pieces are drawn again.
-    most = F.ceil(target / shortest_piece(vocabulary)).cast("int")
-    none = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("n"))
-    n = F.aggregate(F.sequence(F.lit(1), most), none, add, lambda state: state["n"])
-    return F.concat_ws(" ", F.transform(F.sequence(F.lit(1), n), lambda i: piece(_Draw(key(i), vocabulary))))
+    return F.transform(F.array(_draws(_key(attempt, seed, 1), most)), text)[0]
 
 
 def target_bytes(attempt: Column, seed: int) -> Column:
-    return _Draw.of(seed, attempt).number(300, MIN_VALUE_BYTES, MAX_VALUE_BYTES)
+    return (_key(attempt, seed, 2) % (MAX_VALUE_BYTES - MIN_VALUE_BYTES + 1) + MIN_VALUE_BYTES).cast("int")
 
 
 def rows_for_size(target_gb: float, avg_value_bytes: int = 8000) -> int:

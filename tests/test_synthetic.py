@@ -69,7 +69,38 @@ def test_all_templates_are_drawn_evenly(spark):
 def test_short_words_still_fill_a_value(spark):
     ids = spark.range(20).select(synthetic.value(F.col("id"), 1, F.lit(900), "a b c").alias("v"))
     assert all(900 <= len(r.v) < 2500 for r in ids.collect())
-    assert synthetic.shortest_piece("a b c") == 8
+
+
+def test_values_stop_at_the_first_sentence_end_behind_the_target(spark):
+    """By arithmetic in Python: draws, the stop rule, capitals and marks."""
+    words, seed, p = "ab cde fghi é".split(), 9, synthetic.PRIME
+
+    def key(attempt, use):
+        x = (attempt % p + (seed * 7_368_787 + use * 15_485_863) % p) % p
+        x = (x * x + 99_991) % p
+        return (x * x + attempt + use) % p
+
+    def made(attempt, target):
+        k, out, sentence, total, n = key(attempt, 1), [], [], 0, 0
+        while True:
+            n += 1
+            x = (k + n * 104_729) % p
+            x = (x * x + k) % p
+            x = (x * x + 104_729) % p
+            rest, word = divmod(x, len(words))
+            sentence.append(words[word])
+            total += len(words[word].encode()) + 1
+            if rest % synthetic.SENTENCE == 0 or n % synthetic.LONGEST == 0:
+                mark = synthetic.MARKS[rest // synthetic.SENTENCE % len(synthetic.MARKS)]
+                out.append(" ".join([sentence[0].capitalize(), *sentence[1:]]) + mark)
+                sentence = []
+                if total >= target:
+                    return " ".join(out)
+
+    ids = spark.createDataFrame([(i,) for i in [0, 1, 5, 2_147_483_646, 2_147_483_647, 10 ** 12]], "id bigint")
+    got = ids.select("id", synthetic.value(F.col("id"), seed, F.lit(700), " ".join(words)).alias("v"),
+                     synthetic.target_bytes(F.col("id"), seed).alias("t")).collect()
+    assert {r.id: (r.v, r.t) for r in got} == {r.id: (made(r.id, 700), key(r.id, 2) % 7_001 + 5_000) for r in got}
 
 
 def test_frequent_words(spark):
