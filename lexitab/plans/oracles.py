@@ -182,6 +182,10 @@ shown AS (
   FROM drawn JOIN stops USING (doc_id) WHERE j <= stop)
 SELECT doc_id, string_agg(t, ' ' ORDER BY j) AS value FROM shown GROUP BY doc_id
 """
+ORACLES["routed_lookup"] = ORACLES["index_lookup"]
+ORACLES["known_key_lookup"] = f"""WITH {_MERGE_INDEX}{_R}, d AS ({_last('mi')})
+SELECT title, byte_offset, byte_length FROM d
+WHERE title IN (SELECT key FROM r GROUP BY key ORDER BY count(*) DESC, key LIMIT {TOP_K})"""
 ORACLES["range_lookup"] = ORACLES["batch_lookup"]
 ORACLES["incremental_touched_files"] = ORACLES["streamed_changelog"]
 ORACLES["two_level_index"] = f"WITH {_MERGE_INDEX} SELECT title, byte_offset, byte_length FROM mi"

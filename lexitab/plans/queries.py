@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions import text
-from lexitab.operators import index, lookup, merge, ordering, reports
+from lexitab.operators import index, lookup, merge, ordering, reports, routed
 from lexitab.plans import build, fixtures, ranged
 from lexitab.session import materialise, scratch_path
 from lexitab.sinks.files import write_csv_parts
@@ -210,6 +210,28 @@ def index_lookup(spark, sf_dir):
     return lookup.lookup(requests, entries).select("request_id", "key", "found", "byte_offset", "byte_length")
 
 
+def _routed_index(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The index of the merged table as shards, and the requests."""
+    existing, changelog, requests = _inputs(spark, sf_dir)
+    path = scratch_path(spark, "routed")
+    routed.write_routed(index.last_wins(index.build_index(_merged_table(existing, changelog))).select(
+        "title", "byte_offset", "byte_length"), path, SHARDS)
+    return path, requests
+
+
+def routed_lookup(spark, sf_dir):
+    """The requests once more, from the shards that their keys fall into."""
+    path, requests = _routed_index(spark, sf_dir)
+    return routed.routed_lookup(requests, path).select("request_id", "key", "found", "byte_offset", "byte_length")
+
+
+def known_key_lookup(spark, sf_dir):
+    """The most requested keys, put into the scan of the sharded index."""
+    path, requests = _routed_index(spark, sf_dir)
+    hot = reports.hot_keys(requests, TOP_K)
+    return routed.find(spark, path, [r.key for r in hot.collect()])
+
+
 def lookup_misses(spark, sf_dir):
     existing, changelog, requests = _inputs(spark, sf_dir, titles_only=True)
     return lookup.misses(requests, merge.upsert(existing, changelog))
@@ -358,7 +380,7 @@ QUERIES = {f.__name__: f for f in (
     version_stamp, upsert_merge, changelog_new_rows, changelog_updates, existing_untouched_rows,
     merge_stats, sorted_dictionary, dedupe_first, unique_limit, build_index, index_last_wins,
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
-    capacity_estimate, hot_keys, batch_lookup, index_lookup, lookup_misses, prefix_search,
+    capacity_estimate, hot_keys, batch_lookup, index_lookup, routed_lookup, known_key_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_values, synth_checks, published_dictionary,
     published_index, published_index_json, incremental_touched_files, two_level_index, range_lookup, streamed_changelog, streamed_two_changelogs,
 )}
