@@ -83,6 +83,12 @@ def csv_decode(line: Column | str) -> Column:
         F.coalesce(row["value"], F.lit("")).alias("value")))[0]
 
 
+def json_text(text: Column | str) -> Column:
+    """A string as JSON writes it, with its quotes."""
+    made = F.to_json(F.struct(_col(text).alias("t")))
+    return F.substring(made, F.lit(6), F.length(made) - 6)
+
+
 def date_stamp(ts: Column | str) -> Column:
     return F.date_format(_col(ts), "yyyyMMdd")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexitab.functions.text import fold
+from lexitab.operators.columns import packed, unused
 from lexitab.operators.sizing import parts_for
 from lexitab.session import materialise
 
@@ -73,8 +74,8 @@ def distinct_first(df: DataFrame, order: str | Column = "ord") -> DataFrame:
     ``row_number() = 1`` lets Spark drop later copies before the shuffle, so a title that holds
     a third of all rows sends at most one row per map task.
     """
-    rank = F.row_number().over(Window.partitionBy("title").orderBy(order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    rank, name = F.row_number().over(Window.partitionBy("title").orderBy(order)), unused(df, "_rank")
+    return df.withColumn(name, rank).filter(F.col(name) == 1).drop(name)
 
 
 def first_n(df: DataFrame, n: int, order: str = "ord", num_parts: int | None = None) -> DataFrame:
@@ -83,5 +84,6 @@ def first_n(df: DataFrame, n: int, order: str = "ord", num_parts: int | None = N
     ``orderBy().limit(n)`` would pass all ``n`` rows through one task.  Here the rows are
     range-sorted and written once, and the limit is a filter on their position; pass slim rows.
     """
-    table = materialise(number_rows(range_sort(df, [order], num_parts)), "limit")
-    return with_positions(table).filter(F.col("pos") < n).select(*df.columns)
+    rows = df.select(packed(df), F.col(order).alias("by"))
+    table = materialise(number_rows(range_sort(rows, ["by"], num_parts)), "limit")
+    return with_positions(table).filter(F.col("pos") < n).select("data.*")

@@ -13,6 +13,7 @@ from lexitab.functions.text import date_stamp, iso_stamp
 from lexitab.operators.index import PART_ROWS, build_index, data_table, last_wins
 from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
+from lexitab.operators.reports import json_index_bytes
 from lexitab.schema import DICT, HEADER_BYTES
 from lexitab.session import materialise, write_table
 from lexitab.sinks.files import (children, create_once, exists, write_csv_header, write_csv_parts, write_index, write_index_json,
@@ -124,6 +125,10 @@ def _verify(spark: SparkSession, root: str, version: str, *, strict: bool) -> Ve
             raise RuntimeError(message)
         warnings.warn(message, stacklevel=2)
     json_bytes = listed_bytes(spark, os.path.join(home, INDEX_JSON), "*.txt") if index_json and rows else None
+    if json_bytes is not None:
+        due = json_index_bytes(read_index(spark, os.path.join(home, INDEX))).first()[0]
+        if json_bytes != due:
+            raise RuntimeError(f"JSON index of {version} holds {json_bytes} bytes, expected {due}")
     return Version(version, f"{VERSIONS}/{version}/{CSV if csv else DATA}", f"{VERSIONS}/{version}/{INDEX}", rows, entries,
                    size, listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"), json_bytes)
 

@@ -123,8 +123,9 @@ FROM (SELECT lower(title) AS k, row_number() OVER (ORDER BY lower(title), ord) -
 SELECT *, data_bytes / 1048576.0::DOUBLE AS data_mb, data_bytes / 1073741824.0::DOUBLE AS data_gb
 FROM (SELECT count(*) AS total_rows, CAST(sum({_bytes()}) + 13 AS BIGINT) AS data_bytes,
              CAST(sum(octet_length(encode(title))) AS BIGINT) AS title_bytes FROM t)""",
-    "capacity_estimate": f"""WITH {_T}
-SELECT *, index_bytes + data_bytes AS version_bytes, 2 * (index_bytes + data_bytes) AS storage_bytes
+    "capacity_estimate": f"""WITH {_T_INDEX}, d AS ({_last('ti')})
+SELECT *, (SELECT CAST(sum(octet_length(encode('  ' || to_json(title) || ': {{|    "offset": ' || byte_offset || ',|    "length": ' || byte_length || '|  }}|')))
+    + count(*) - 1 + 4 AS BIGINT) FROM d) AS index_json_bytes, index_bytes + data_bytes AS version_bytes, 2 * (index_bytes + data_bytes) AS storage_bytes
 FROM (SELECT count(*) AS keys, CAST(sum(octet_length(encode(title)) + 18) AS BIGINT) AS index_bytes,
              CAST(sum({_bytes()}) + 13 AS BIGINT) AS data_bytes FROM t)""",
     "hot_keys": f"""WITH {_T}{_R}

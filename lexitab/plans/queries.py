@@ -191,7 +191,8 @@ def size_report(spark, sf_dir):
 
 
 def capacity_estimate(spark, sf_dir):
-    return reports.capacity_estimate(fixtures.dictionary(spark, sf_dir))
+    slim = _dictionary_slim(spark, sf_dir)
+    return reports.capacity_estimate(fixtures.dictionary(spark, sf_dir), index.last_wins(index.build_index(slim)))
 
 
 def hot_keys(spark, sf_dir):

@@ -18,3 +18,7 @@ MANIFEST = T.StructType([
 # Fixed value: length in bytes of the header line "title,value\r\n".
 HEADER = "title,value"
 HEADER_BYTES = 13
+
+# The layout of the JSON index.
+JSON_BEGIN, JSON_END, JSON_LINE, JSON_INDENT = "{\n", "\n}", "\n", "  "
+JSON_ENTRY = ': {\n    "offset": %d,\n    "length": %d\n  }'

@@ -8,10 +8,10 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexitab.functions.text import csv_line
+from lexitab.functions.text import csv_line, json_text
 from lexitab.operators.index import PART_ROWS, part_name, with_parts
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
-from lexitab.schema import HEADER, MANIFEST
+from lexitab.schema import HEADER, JSON_BEGIN, JSON_END, JSON_ENTRY, JSON_INDENT, JSON_LINE, MANIFEST
 from lexitab.session import materialise, write_table
 from lexitab.sources.listing import listed_bytes
 
@@ -57,15 +57,13 @@ def write_index_json(index: DataFrame, path: str) -> None:
     ordered = range_sort(index.select("title", "byte_offset", "byte_length"), ["byte_offset"])
     placed = with_positions(materialise(number_rows(ordered), "json"))
     last = index.count() - 1
-    quoted = F.to_json(F.struct(F.col("title").alias("t")))
-    quoted = F.substring(quoted, F.lit(6), F.length(quoted) - 6)
     entry = F.concat(
-        F.when(F.col("pos") == 0, "{\n").otherwise(""), F.lit("  "), quoted,
-        F.format_string(': {\n    "offset": %d,\n    "length": %d\n  }', "byte_offset", "byte_length"),
-        F.when(F.col("pos") == last, "\n}").otherwise(","))
+        F.when(F.col("pos") == 0, JSON_BEGIN).otherwise(""), F.lit(JSON_INDENT), json_text("title"),
+        F.format_string(JSON_ENTRY, "byte_offset", "byte_length"),
+        F.when(F.col("pos") == last, JSON_END).otherwise(","))
     part = part_name(F.lit(0), F.floor(F.col("pos") / JSON_PART_ENTRIES))
     lines = placed.select(part.alias("part_file"), F.col("pos").alias("row"), entry.alias("line"))
-    _write_parts(lines.repartition("part_file"), path, "\n")
+    _write_parts(lines.repartition("part_file"), path, JSON_LINE)
 
 
 def _file_system(spark: SparkSession, path: str):

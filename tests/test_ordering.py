@@ -48,3 +48,12 @@ def test_partition_counts_follow_the_size(spark, tmp_path, monkeypatch):
     assert ordering.range_sort(table, ["ord"]).rdd.getNumPartitions() >= 40
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert sizing.moved_bytes(spark.createDataFrame([(1,)], "a int")) == 0
+
+
+def test_helper_columns_meet_no_column_of_the_input(spark):
+    rows = spark.createDataFrame([("a", 1, 7, 8, 9, "x", "y"), ("a", 2, 7, 8, 9, "x", "y"), ("b", 3, 5, 6, 4, "z", "w")],
+                                 "title string, ord int, _rank int, pid int, pos int, data string, by string")
+    first = sorted(map(tuple, ordering.distinct_first(rows).collect()))
+    assert first == [("a", 1, 7, 8, 9, "x", "y"), ("b", 3, 5, 6, 4, "z", "w")]
+    limited = ordering.first_n(rows, 2)
+    assert limited.columns == rows.columns and sorted(map(tuple, limited.collect())) == [("a", 1, 7, 8, 9, "x", "y"), ("a", 2, 7, 8, 9, "x", "y")]
