@@ -1,13 +1,5 @@
 """Names for helper columns beside columns of any name."""
 
-from __future__ import annotations
+from lexitab.operators.columns import unused
 
-from pyspark.sql import DataFrame
-
-
-def unused(df: DataFrame, name: str) -> str:
-    """``name``, made longer until no column of ``df`` has it in any case."""
-    taken = {column.lower() for column in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+__all__ = ["unused"]

@@ -193,8 +193,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` needed and given: ``(doc_id, text) -> (doc_id, lang_pred, score)``.
 
     Every whole text is read once, in the order of the input; the filter, 8 MB for 63 languages, is
-    broadcast.  Texts that are null, empty or free of letters are ``und`` with score 0.
+    broadcast.  Texts that are null, empty or free of letters are ``und`` with score 0.  Columns that are
+    named ``lang_pred`` or ``score`` are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexitab.session import materialise
 
 BITS = 53
+# Different labels that a classifier is fitted for.
+MAX_LABELS = 1_000
 
 
 def fold_of(doc_id: str, folds: int) -> Column:
@@ -17,8 +19,11 @@ def fold_of(doc_id: str, folds: int) -> Column:
 
 
 def label_counts(rows: DataFrame, label: str) -> dict:
-    """Rows of each label; there are as many as the classifier has classes."""
-    return {r[0]: r.n for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Rows of each label, of which a classifier can have MAX_LABELS; more are an error, as in a dirty column."""
+    found = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS + 1).collect()
+    if len(found) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} different values of {label}")
+    return {r[0]: r.n for r in found}
 
 
 def _thinned(rows: DataFrame, label: str, counts: dict, size: int, key: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexitab.llm.columns import unused
+from lexitab.operators.columns import packed, unused
 from lexitab.operators.ordering import number_rows, range_sort, with_positions
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
@@ -59,14 +59,14 @@ def with_slots(sharded: DataFrame, order: Sequence[str]) -> DataFrame:
 
     One range exchange cuts anywhere, also inside a shard or a repeated key, so no shard has to fit
     one task; only one count per partition and one start per shard are put together.
-    Rows that agree in ``order`` are numbered in any order.
+    Rows that agree in ``order`` are numbered in any order.  A column named ``slot`` is replaced.
     """
-    unique = sharded.withColumn("_row", F.monotonically_increasing_id())
-    placed = materialise(number_rows(range_sort(unique, ["shard", *order, "_row"])), "shards")
+    rows = sharded.drop("slot")
+    unique = rows.select(packed(rows), F.col("shard"), F.monotonically_increasing_id().alias("nth"))
+    placed = materialise(number_rows(range_sort(unique, ["shard", *(f"data.{c}" for c in order), "nth"])), "shards")
     positions = with_positions(placed)
-    starts = positions.groupBy("shard").agg(F.min("pos").alias("_start"))
-    return (positions.join(starts, "shard").withColumn("slot", (F.col("pos") - F.col("_start")).cast("long"))
-            .select(*sharded.columns, "slot"))
+    starts = positions.groupBy("shard").agg(F.min("pos").alias("first"))
+    return positions.join(starts, "shard").select("data.*", (F.col("pos") - F.col("first")).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, weights: Sequence[float], added: Sequence[float]) -> DataFrame:

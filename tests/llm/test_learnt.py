@@ -231,3 +231,16 @@ def test_stages_take_odd_rows(spark, rows):
         assert name == "byte-level BPE" or made.columns == docs.columns
         assert made.count() <= len(rows)
         docs = made if name != "byte-level BPE" else docs
+
+
+def test_predictions_replace_columns_of_their_names(spark):
+    docs = spark.createDataFrame([(i, "the cat sat on the mat", "en", 5.0, "x") for i in range(8)],
+                                 "doc_id int, text string, lang string, score double, lang_pred string")
+    made = language.predict(docs.select("doc_id", "text", "score", "lang_pred"), language.fit(docs, 10))
+    assert made.columns == ["doc_id", "lang_pred", "score"] and {r.lang_pred for r in made.collect()} == {"en"}
+
+
+def test_too_many_labels_are_refused(spark):
+    docs = spark.range(1_500).selectExpr("id as doc_id", "'a b' as text", "cast(id as string) as lang")
+    with pytest.raises(ValueError, match="different values of lang"):
+        language.fit(docs, 10)

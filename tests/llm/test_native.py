@@ -146,6 +146,14 @@ def test_shards_follow_their_weights(spark):
     assert abs(counts[1] / 20_000 - 0.75) < 0.02
 
 
+def test_slots_beside_columns_of_any_name(spark):
+    rows = spark.createDataFrame([(i, 5, 6, i % 3, 7, 8) for i in range(30)], "doc_id int, _row int, pos int, shard int, slot int, pid int")
+    got = sharding.with_slots(rows, ["doc_id"]).collect()
+    assert {(r._row, r.pos, r.pid) for r in got} == {(5, 6, 8)}
+    assert sorted((r.shard, r.slot) for r in got) == [(s, n) for s in range(3) for n in range(10)]
+    assert all(r.slot == r.doc_id // 3 for r in got)
+
+
 def test_odd_shard_calls(spark):
     assert sharding.shard_documents(spark.createDataFrame([], DOCS), [1.0], [1.0]).count() == 0
     with pytest.raises(ValueError):
