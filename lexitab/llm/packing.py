@@ -351,7 +351,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
     cut = F.transform("pieces", lambda p: F.struct(
         p["start"].alias("start"), p["length"].alias("length"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset"),
         F.slice("ids", (p["start"] + 1).cast("int"), p["length"].cast("int")).alias("ids")))
-    return tokens.join(places, "doc").select("doc_id", F.size("ids").cast("long").alias("doc_tokens"), F.inline(cut))
+    # Places grow with the documents as the tokens do: never a broadcast, whatever a small table would allow.
+    return tokens.join(places.hint("merge"), "doc").select("doc_id", F.size("ids").cast("long").alias("doc_tokens"), F.inline(cut))
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
