@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lexitab.llm.byte_bpe import op7_byte_bpe
 from lexitab.llm.decontamination import OP9_SQL, op9_decontamination
-from lexitab.llm.embeddings import op3_embeddings
+from lexitab.llm.embeddings import OP3_SQL, op3_embeddings
 from lexitab.llm.filter_audit import OP11_SQL, op11_filter_audit
 from lexitab.llm.language import op8_language
 from lexitab.llm.licenses import OP1_SQL, op1_licenses
@@ -21,5 +21,5 @@ QUERIES = {f.__name__: f for f in (
     op8_language, op9_decontamination, op10_quality, op11_filter_audit,
     op12_packing, op13_vector_codes)}
 
-ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op9_decontamination": OP9_SQL,
+ORACLES = {"op1_licenses": OP1_SQL, "op2_sharding": OP2_SQL, "op3_embeddings": OP3_SQL, "op9_decontamination": OP9_SQL,
            "op11_filter_audit": OP11_SQL, "op13_vector_codes": OP13_SQL}
