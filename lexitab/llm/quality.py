@@ -1,7 +1,7 @@
 """Quality classification by votes of the nearest labelled texts in a latent semantic space.
 
-A text's terms are the shapes of its words, alone and in pairs: case, length, punctuation, and whether
-the word before was the same.  They hold in any language.  Labelled texts give TF-IDF rows, their leading
+A text's terms are its words and the shapes of its words.  Shapes stand alone and in pairs: case, length,
+punctuation, and whether the word before was the same; they hold in any language.  Labelled texts give TF-IDF rows, their leading
 singular vectors span the space, and the labelled vectors in it are broadcast.  Every document is compared
 with all of them by exact cosine products, block by block.
 """
@@ -16,14 +16,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from lexitab.llm.memory import Memory
 from lexitab.llm.samples import bounded_sample, fold_of
 from lexitab.plans.fixtures import table
 
-TERMS, DIMENSIONS, NEIGHBOURS = 1_024, 32, 15
+# Places of hashed shapes, of hashed words, and both.
+SHAPES, WORDS = 1_024, 2_048
+TERMS = SHAPES + WORDS
+DIMENSIONS, NEIGHBOURS = 32, 15
 # Bound of the training sample: texts of each label.
 SAMPLE = 1_500
-# Documents that are compared at a time, and word shapes a worker remembers before it starts anew.
-BLOCK, REMEMBERED = 512, 150_000
+# Documents that are compared at a time, and bytes of word hashes a worker remembers.
+BLOCK, REMEMBERED = 512, 32 << 20
 FOLDS, HELD_OUT = 3, 1
 GOOD = 0.5
 
@@ -45,28 +49,26 @@ def shape(word: str) -> str:
     return f"{case}{min(len(core).bit_length(), 5)}{marks}"
 
 
-_codes: dict[str, int] = {}
+def _code(word: str) -> int:
+    """The hash of a word's shape above the hash of the word in lower case."""
+    return xxhash.xxh32_intdigest(shape(word)) << 32 | xxhash.xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass"))
 
 
-def _code(word: str) -> int:
-    code = _codes.get(word)
-    if code is None:
-        if len(_codes) > REMEMBERED:
-            _codes.clear()
-        code = _codes[word] = xxhash.xxh32_intdigest(shape(word))
-    return code
+_codes = Memory(_code, REMEMBERED)
 
 
 def terms(text: str | None) -> np.ndarray:
-    """Counts of the hashed terms of a whole text; all zero for a text without words."""
+    """Counts of the hashed terms of a whole text, shapes before words; all zero for a text without words."""
     words = (text or "").split()
     if not words:
         return np.zeros(TERMS, dtype=np.int64)
-    codes = np.fromiter(map(_code, words), dtype=np.uint64, count=len(words)) << np.uint64(1)
+    both = np.fromiter(map(_codes.__getitem__, words), dtype=np.uint64, count=len(words))
+    codes = both >> np.uint64(32) << np.uint64(1)
     codes[1:] |= np.fromiter(map(str.__eq__, words, words[1:]), dtype=np.uint64, count=len(words) - 1)
     pairs = codes[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ codes[1:]
     mixed = np.concatenate([codes, pairs]) * np.uint64(0xBF58476D1CE4E5B9)
-    return np.bincount(((mixed >> np.uint64(40)) % np.uint64(TERMS)).astype(np.int64), minlength=TERMS)
+    shapes = (mixed >> np.uint64(40)) % np.uint64(SHAPES)
+    return np.bincount(np.concatenate([shapes, both % np.uint64(WORDS) + np.uint64(SHAPES)]).astype(np.int64), minlength=TERMS)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -106,38 +108,61 @@ class Model:
         return np.clip(result, 0.0, 1.0)
 
 
+def leading(rows: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` leading right singular vectors of rows, as columns; zero columns beyond their rank.
+
+    They come from the eigenvectors of the rows' products with each other, which are fewer than the terms'.
+    """
+    left = np.linalg.eigh(rows @ rows.T)[1][:, ::-1][:, :k]
+    right = rows.T @ left
+    length = np.linalg.norm(right, axis=0)
+    return right / np.where(length > 1e-6, length, np.inf)
+
+
 def fit_rows(counts: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> Model:
     """A model from labelled rows of term counts; none, or rows without a word, are fine."""
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
     rows = _unit(np.log1p(counts) * idf)
-    # The leading eigenvectors of the terms' products are the leading right singular vectors of the rows.
-    basis = np.linalg.eigh(rows.T @ rows)[1][:, ::-1][:, :DIMENSIONS]
+    basis = leading(rows, DIMENSIONS)
     model = Model(idf, basis, np.empty((0, basis.shape[1])), labels, weights)
     model.vectors = model.embed(counts) if len(counts) else model.vectors
     return model
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The places that are not zero, and their counts."""
+    at = np.flatnonzero(counts)
+    return np.concatenate([at, counts[at]]).astype("<i4").tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    at, n = np.frombuffer(packed, dtype="<i4").reshape(2, -1)
+    counts = np.zeros(TERMS, dtype=np.int64)
+    counts[at] = n
+    return counts
+
+
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [terms(text.as_py()).astype(np.int32) for text in batch.column("text")]
+        counts = [_packed(terms(text.as_py())) for text in batch.column("text")]
         yield pa.RecordBatch.from_pydict({
             "quality": batch.column("quality").cast(pa.int32()),
-            "counts": pa.array([c.tobytes() for c in counts], pa.binary())})
+            "counts": pa.array(counts, pa.binary())})
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each quality.
 
-    Documents and labels meet by their ids alone.  Only term counts, 4 KB each, reach the driver.  A vote counts as many documents as its text
-    stands for, so the bound does not shift the labels' shares.  Where rows of ``labels`` disagree on a
-    document the lower quality holds.
+    Documents and labels meet by their ids alone.  Only term counts, at most 24 KB each, reach the driver.
+    A vote counts as many documents as its text stands for, so the bound does not shift the labels' shares.
+    Where rows of ``labels`` disagree on a document the lower quality holds.
     """
     marks = labels.filter("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
     ids = docs.select("doc_id").join(marks, F.col("doc_id") == F.col("_id")).select("doc_id", "quality")
     rows, totals = bounded_sample(docs, ids, "quality", sample)
     found = rows.select("quality", "text").mapInArrow(
         _term_rows, "quality int, counts binary").toPandas().sort_values(["quality", "counts"])
-    counts = np.frombuffer(b"".join(found["counts"]), dtype=np.int32).reshape(-1, TERMS).astype(np.int64)
+    counts = np.array([_unpacked(c) for c in found["counts"]], dtype=np.int64).reshape(-1, TERMS)
     quality = found["quality"].to_numpy(dtype=np.int64)
     stands_for = [totals[q] / (quality == q).sum() for q in quality]
     return fit_rows(counts, (quality > 0).astype(np.float64), np.array(stands_for, dtype=np.float64))

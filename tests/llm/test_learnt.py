@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -145,6 +146,55 @@ def test_held_out_quality_is_told(spark):
     assert sum(r.predicted == want[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def plain_terms(text):
+    """Counts of the terms of a text, one word after the other, by whole numbers of Python."""
+    counts, before, last = [0] * quality.TERMS, None, None
+    for word in (text or "").split():
+        code = xxhash.xxh32_intdigest(quality.shape(word)) * 2 + (word == before)
+        for term in [code] if last is None else [code, (last * 0x9E3779B97F4A7C15) % 2 ** 64 ^ code]:
+            counts[((term * 0xBF58476D1CE4E5B9) % 2 ** 64 >> 40) % quality.SHAPES] += 1
+        counts[quality.SHAPES + xxhash.xxh32_intdigest(word.lower().encode()) % quality.WORDS] += 1
+        before, last = word, code
+    return counts
+
+
+def test_scores_from_texts_by_brute_force(spark):
+    """From texts to scores: terms by a loop, the space by a full singular value decomposition, votes one by one."""
+    rows = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()
+    labels = {r.doc_id: r.quality for r in table(spark, "/root/testdata/sf0.001", "labels").collect() if r.quality is not None}
+    learnt = [r for r in rows if remainder(r.doc_id, 3) != 1 and r.doc_id in labels]
+    assert all(sum(labels[r.doc_id] == q for r in learnt) < quality.SAMPLE for q in (0, 1))
+    counts = np.array([plain_terms(r.text) for r in learnt], dtype=float)
+    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
+    table_rows = np.log1p(counts) * idf
+    table_rows /= np.linalg.norm(table_rows, axis=1)[:, None]
+    space = np.linalg.svd(table_rows, full_matrices=False)[2][:quality.DIMENSIONS].T
+    found = {r.doc_id: r.score for r in quality.op10_quality(spark, "/root/testdata/sf0.001").collect()}
+    assert len(found) == len(rows)
+
+    def vector(one):
+        one = one / np.linalg.norm(one) @ space
+        return one / np.linalg.norm(one)
+    known = [vector(r) for r in table_rows]
+    for r in rows[::7]:
+        one = vector(np.log1p(np.array(plain_terms(r.text))) * idf)
+        near = [max(0.0, float(one @ v)) for v in known]
+        last = sorted(near, reverse=True)[quality.NEIGHBOURS - 1]
+        votes = [(s, labels[x.doc_id]) for s, x in zip(near, learnt) if s >= last - 1e-9]
+        assert abs(sum(s * (q > 0) for s, q in votes) / sum(s for s, _ in votes) - found[r.doc_id]) < 1e-6
+
+
+def test_words_tell_what_shapes_do_not(spark):
+    """Two kinds of texts with the same shapes of words and other words."""
+    draw = random.Random(8)
+    kinds = [["lorem", "dolor", "ipsum", "amets"], ["river", "stone", "cloud", "grass"]]
+    rows = [(100 * k + i, " ".join(draw.choices(kinds[k], k=30)), "en", "s", "x") for k in (0, 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(r[0], r[0] // 100) for r in rows], "doc_id bigint, quality int")
+    found = quality.classify(docs, labels).collect()
+    assert sum(r.predicted == r.doc_id // 100 for r in found if r.held_out) >= 0.95 * sum(r.held_out for r in found)
+
+
 def test_votes_by_brute_force():
     draw = np.random.default_rng(6)
     counts = draw.poisson(0.05, (80, quality.TERMS))
