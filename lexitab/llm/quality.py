@@ -21,13 +21,13 @@ from lexitab.llm.samples import bounded_sample, fold_of
 from lexitab.plans.fixtures import table
 
 # Places of hashed shapes, of hashed words, and both.
-SHAPES, WORDS = 1_024, 2_048
+SHAPES, WORDS = 1_024, 1_024
 TERMS = SHAPES + WORDS
 DIMENSIONS, NEIGHBOURS = 32, 15
 # Bound of the training sample: texts of each label.
 SAMPLE = 1_500
 # Documents that are compared at a time, and bytes of word hashes a worker remembers.
-BLOCK, REMEMBERED = 512, 32 << 20
+BLOCK, REMEMBERED = 256, 48 << 20
 FOLDS, HELD_OUT = 3, 1
 GOOD = 0.5
 
@@ -75,6 +75,14 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
 
+def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """TF-IDF rows of length one."""
+    rows = np.log1p(counts, dtype=np.float64)
+    rows *= idf
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    return rows
+
+
 @dataclass
 class Model:
     """The space, the labelled vectors in it, their labels and what each of their votes counts."""
@@ -87,7 +95,7 @@ class Model:
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
         """Unit vectors of rows of term counts; zero rows stay zero."""
-        return _unit(_unit(np.log1p(counts) * self.idf) @ self.basis)
+        return _unit(_weighted(counts, self.idf) @ self.basis)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """The similarity-weighted share of label 1 among the nearest labelled texts.
@@ -111,8 +119,10 @@ class Model:
 def leading(rows: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` leading right singular vectors of rows, as columns; zero columns beyond their rank.
 
-    They come from the eigenvectors of the rows' products with each other, which are fewer than the terms'.
+    They come from the eigenvectors of the products of the rows or of the columns, whichever are fewer.
     """
+    if len(rows) > rows.shape[1]:
+        return np.linalg.eigh(rows.T @ rows)[1][:, ::-1][:, :k]
     left = np.linalg.eigh(rows @ rows.T)[1][:, ::-1][:, :k]
     right = rows.T @ left
     length = np.linalg.norm(right, axis=0)
@@ -122,11 +132,9 @@ def leading(rows: np.ndarray, k: int) -> np.ndarray:
 def fit_rows(counts: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> Model:
     """A model from labelled rows of term counts; none, or rows without a word, are fine."""
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    rows = _unit(np.log1p(counts) * idf)
+    rows = _weighted(counts, idf)
     basis = leading(rows, DIMENSIONS)
-    model = Model(idf, basis, np.empty((0, basis.shape[1])), labels, weights)
-    model.vectors = model.embed(counts) if len(counts) else model.vectors
-    return model
+    return Model(idf, basis, _unit(rows @ basis), labels, weights)
 
 
 def _packed(counts: np.ndarray) -> bytes:
@@ -137,7 +145,7 @@ def _packed(counts: np.ndarray) -> bytes:
 
 def _unpacked(packed: bytes) -> np.ndarray:
     at, n = np.frombuffer(packed, dtype="<i4").reshape(2, -1)
-    counts = np.zeros(TERMS, dtype=np.int64)
+    counts = np.zeros(TERMS, dtype=np.int32)
     counts[at] = n
     return counts
 
@@ -153,7 +161,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from at most ``sample`` documents of each quality.
 
-    Documents and labels meet by their ids alone.  Only term counts, at most 24 KB each, reach the driver.
+    Documents and labels meet by their ids alone.  Only term counts, at most 16 KB each, reach the driver.
     A vote counts as many documents as its text stands for, so the bound does not shift the labels' shares.
     Where rows of ``labels`` disagree on a document the lower quality holds.
     """
@@ -162,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rows, totals = bounded_sample(docs, ids, "quality", sample)
     found = rows.select("quality", "text").mapInArrow(
         _term_rows, "quality int, counts binary").toPandas().sort_values(["quality", "counts"])
-    counts = np.array([_unpacked(c) for c in found["counts"]], dtype=np.int64).reshape(-1, TERMS)
+    counts = np.array([_unpacked(c) for c in found["counts"]], dtype=np.int32).reshape(-1, TERMS)
     quality = found["quality"].to_numpy(dtype=np.int64)
     stands_for = [totals[q] / (quality == q).sum() for q in quality]
     return fit_rows(counts, (quality > 0).astype(np.float64), np.array(stands_for, dtype=np.float64))
