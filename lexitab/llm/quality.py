@@ -27,7 +27,7 @@ DIMENSIONS, NEIGHBOURS = 32, 15
 # Bound of the training sample: texts of each label.
 SAMPLE = 1_500
 # Documents that are compared at a time, and bytes of word hashes a worker remembers.
-BLOCK, REMEMBERED = 256, 48 << 20
+BLOCK, REMEMBERED = 128, 24 << 20
 FOLDS, HELD_OUT = 3, 1
 GOOD = 0.5
 
@@ -71,6 +71,13 @@ def terms(text: str | None) -> np.ndarray:
     return np.bincount(np.concatenate([shapes, both % np.uint64(WORDS) + np.uint64(SHAPES)]).astype(np.int64), minlength=TERMS)
 
 
+def _forget() -> None:
+    """Gives back what a task's words and batches took, as the worker goes on to other stages."""
+    _codes.clear()
+    _codes.old, _codes.size = {}, 0
+    pa.default_memory_pool().release_unused()
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
@@ -178,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def _scores(model: Model, texts) -> np.ndarray:
     """Scores of a column of texts, in blocks."""
-    blocks = [np.stack([terms(t.as_py()) for t in texts[i:i + BLOCK]]) for i in range(0, len(texts), BLOCK)]
+    blocks = (np.stack([terms(t.as_py()) for t in texts[i:i + BLOCK]]) for i in range(0, len(texts), BLOCK))
     return np.concatenate([np.empty(0), *(model.scores(b) for b in blocks)])
 
 
@@ -200,6 +207,7 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "score": pa.array(score),
                 "predicted": pa.array((score >= GOOD).astype(np.int32))})
+        _forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text").mapInArrow(
@@ -213,6 +221,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(_scores(shared.value, batch.column("text")) >= GOOD))
+        _forget()
 
     return docs.mapInArrow(work, docs.schema)
 
