@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import date_stamp, iso_stamp
+from lexitab.operators.audit import compare, due_parts, entries_digest, found_parts
 from lexitab.operators.index import PART_ROWS, build_index, data_table, last_wins
 from lexitab.operators.merge import upsert
 from lexitab.operators.ordering import range_sort, stable_sort
@@ -19,14 +20,16 @@ from lexitab.session import materialise, write_table
 from lexitab.sinks.files import (children, create_once, exists, write_csv_header, write_csv_parts, write_index, write_index_json,
                                  write_manifest)
 from lexitab.sources.files import (as_dictionary, read_data, read_dictionary, read_index, read_index_json,
-                                   read_manifest)
+                                   read_manifest, read_part_lines)
 from lexitab.sources.listing import listed_bytes
 from lexitab.sources.synthetic import FULL_TEMPLATES, generate
 
 MANIFEST_FILE = "manifest.json"
-DATA, CSV, INDEX, INDEX_JSON = "data.parquet", "data.csv", "index.parquet", "index.json"
+DATA, CSV, INDEX, INDEX_JSON, DIGESTS = "data.parquet", "data.csv", "index.parquet", "index.json", "digests.parquet"
 VERSIONS, CLAIMS = "dict", "_claims"
 DEFAULT_GB = 5.0
+# Damaged parts that an error names.
+SHOWN = 5
 
 
 @dataclass
@@ -93,14 +96,46 @@ def _publish(spark: SparkSession, root: str, version: str, ordered: DataFrame, *
     if csv:
         write_csv_header(spark, os.path.join(home, "header.csv"))
         write_csv_parts(data, os.path.join(home, CSV), part_rows)
+    due = entries_digest(entries, INDEX)
+    write_table(due.unionByName(due_parts(data, part_rows)) if csv else due, os.path.join(home, DIGESTS))
     return _verify(spark, root, version, strict=strict)
 
 
+def audit(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """``(kind, part_file, lines, bytes, damaged)`` for every CSV part, the index and the JSON index of a version,
+    the live one by default.
+
+    What the files hold now is compared with digests that were taken from the rows when the version was made:
+    each line of a part at its place, each entry of an index.  Damage of equal length is told, and lost or
+    added parts.  Blanks between the entries of the JSON index are not looked at, and the data table is
+    not read.  Versions made before digests were kept are an error.
+    """
+    home = os.path.join(root, VERSIONS, version or load_manifest(spark, root)["version"])
+    if not exists(spark, os.path.join(home, DIGESTS, "_SUCCESS")):
+        raise ValueError(f"no digests in {home}")
+    due = spark.read.parquet(os.path.join(home, DIGESTS))
+    of_index, of_parts = due.filter(F.col("part_file") == INDEX), due.filter(F.col("part_file") != INDEX)
+    checks = [compare(of_index, entries_digest(read_index(spark, os.path.join(home, INDEX)), INDEX)).withColumn("kind", F.lit(INDEX))]
+    if exists(spark, os.path.join(home, INDEX_JSON, "_SUCCESS")):
+        entries = entries_digest(read_index_json(spark, os.path.join(home, INDEX_JSON)), INDEX_JSON)
+        checks.append(compare(of_index.withColumn("part_file", F.lit(INDEX_JSON)), entries).withColumn("kind", F.lit(INDEX_JSON)))
+    parts = os.path.join(home, CSV)
+    if exists(spark, os.path.join(parts, "_SUCCESS")):
+        # A folder without parts has no column of their names.
+        none = not any(name.startswith("part_file=") for name in children(spark, parts))
+        found = of_parts.limit(0) if none else found_parts(read_part_lines(spark, parts))
+        checks.append(compare(of_parts, found).withColumn("kind", F.lit(CSV)))
+    result = checks[0]
+    for check in checks[1:]:
+        result = result.unionByName(check)
+    return result.select("kind", "part_file", "lines", "bytes", "damaged")
+
+
 def _verify(spark: SparkSession, root: str, version: str, *, strict: bool) -> Version:
     """Check what a version holds against each other, and name only what it holds.
 
-    Data and index are always there.  CSV parts and the JSON index are checked if they were written;
-    without CSV parts the data table is the version's file.
+    Data and index are always there.  CSV parts and the JSON index are checked if they were written, by
+    sizes and then by ``audit``; without CSV parts the data table is the version's file.
     """
     home = os.path.join(root, VERSIONS, version)
     for needed in (DATA, INDEX):
@@ -129,6 +164,10 @@ def _verify(spark: SparkSession, root: str, version: str, *, strict: bool) -> Ve
         due = json_index_bytes(read_index(spark, os.path.join(home, INDEX))).first()[0]
         if json_bytes != due:
             raise RuntimeError(f"JSON index of {version} holds {json_bytes} bytes, expected {due}")
+    if exists(spark, os.path.join(home, DIGESTS, "_SUCCESS")):
+        damaged = audit(spark, root, version).filter("damaged").select("part_file").orderBy("part_file").limit(SHOWN).collect()
+        if damaged:
+            raise RuntimeError(f"{version} is damaged in {', '.join(r.part_file for r in damaged)}")
     return Version(version, f"{VERSIONS}/{version}/{CSV if csv else DATA}", f"{VERSIONS}/{version}/{INDEX}", rows, entries,
                    size, listed_bytes(spark, os.path.join(home, INDEX), "*.parquet"), json_bytes)
 

@@ -191,3 +191,7 @@ ORACLES["range_lookup"] = ORACLES["batch_lookup"]
 ORACLES["incremental_touched_files"] = ORACLES["streamed_changelog"]
 ORACLES["two_level_index"] = f"WITH {_MERGE_INDEX} SELECT title, byte_offset, byte_length FROM mi"
 ORACLES["published_index_json"] = ORACLES["published_index"]
+ORACLES["published_audit"] = f"""WITH {_MERGE_INDEX}, d AS ({_last('mi')})
+SELECT 'data.csv' AS kind, count(*) AS lines, CAST(sum(byte_length) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS damaged FROM mi
+UNION ALL SELECT kind, count(*), CAST(sum(byte_length) AS BIGINT), CAST(0 AS BIGINT)
+FROM d, (VALUES ('index.parquet'), ('index.json')) AS kinds(kind) GROUP BY kind"""

@@ -315,6 +315,13 @@ def published_index_json(spark, sf_dir):
     return build.live_index_json(spark, _published(spark, sf_dir, csv=False, index_json=True))
 
 
+def published_audit(spark, sf_dir):
+    """What the published CSV parts and both forms of the index hold, read back, and how many are damaged."""
+    parts = build.audit(spark, _published(spark, sf_dir, index_json=True))
+    return parts.groupBy("kind").agg(F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"),
+                                     F.count_if("damaged").alias("damaged"))
+
+
 def _updated(spark, sf_dir) -> str:
     """A root with E as a copy-on-write version, updated by C."""
     root, day = scratch_path(spark, "ranged"), datetime(2024, 5, 1)
@@ -383,5 +390,5 @@ QUERIES = {f.__name__: f for f in (
     index_validation, index_from_lines, line_counts, index_slice_audit, index_shards, size_report,
     capacity_estimate, hot_keys, batch_lookup, index_lookup, routed_lookup, known_key_lookup, lookup_misses, prefix_search,
     prefix_index_topk, prefix_complete, synth_dictionary, synth_values, synth_checks, published_dictionary,
-    published_index, published_index_json, incremental_touched_files, two_level_index, range_lookup, streamed_changelog, streamed_two_changelogs,
+    published_index, published_index_json, published_audit, incremental_touched_files, two_level_index, range_lookup, streamed_changelog, streamed_two_changelogs,
 )}

@@ -38,6 +38,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line_id"))
 
 
+def read_part_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Physical lines of the CSV parts below ``path``, each with the name of its part."""
+    return spark.read.options(lineSep="\n", pathGlobFilter="*.txt").text(path).select(
+        "value", "part_file",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("line_id"))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest as one row; no row if the file does not exist.  Other errors are raised."""
     try:
