@@ -20,10 +20,20 @@ def fold(title: Column | str) -> Column:
     return F.lower(_col(title))
 
 
+def _capital(letter: Column) -> Column:
+    """The capital of one letter, where it is one letter too: ``upper`` makes SS of ß, whose fold is another."""
+    return F.when(F.length(F.upper(letter)) == 1, F.upper(letter)).when(letter == "ß", "ẞ").otherwise(letter)
+
+
+def capitals(title: Column | str) -> Column:
+    """All letters upper, each by itself, so that the title has as many as before."""
+    return F.array_join(F.transform(F.split(_col(title), ""), _capital), "")
+
+
 def capitalize(word: Column | str) -> Column:
     """First character upper, all others lower (``initcap`` would touch every word)."""
     word = _col(word)
-    return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(word.substr(F.lit(2), F.length(word))))
+    return F.concat(_capital(F.substring(word, 1, 1)), F.lower(word.substr(F.lit(2), F.length(word))))
 
 
 def normalize(text: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexitab.functions.text import has_text, normalize
+from lexitab.functions.text import capitals, has_text, normalize
 from lexitab.session import materialise
 
 
@@ -45,7 +45,7 @@ def changelog(t: DataFrame) -> DataFrame:
 def second_changelog(changelog: DataFrame) -> DataFrame:
     """D: every second row of C once more, with a new value and in other case."""
     return changelog.filter("ord % 16 in (0, 1)").select(
-        F.upper("title").alias("title"), F.concat("value", F.lit(" [rev3]")).alias("value"), "ord")
+        capitals("title").alias("title"), F.concat("value", F.lit(" [rev3]")).alias("value"), "ord")
 
 
 def requests(t: DataFrame, events: DataFrame) -> DataFrame:

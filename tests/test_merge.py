@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import models
 from lexitab.operators import merge
+from lexitab.plans import fixtures
 
 
 def merged(existing, changelog, **options):
@@ -78,3 +79,9 @@ def test_partition_count_does_not_matter(spark, rows):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         assert merged(rows(e, int(parts)), rows(c, 2)) == want
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_second_changelog_meets_titles_whose_capitals_upper_would_part(rows):
+    first = rows([("straße 5", "a"), ("x", "b")])
+    second = fixtures.second_changelog(first)
+    assert sorted(merged(first, second)) == [("STRAẞE 5", "a [rev3]"), ("X", "b [rev3]")]

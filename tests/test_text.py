@@ -46,3 +46,11 @@ def test_stamps_equal_python(spark):
 
 def test_utf8_bytes(spark):
     assert spark.range(1).select(text.utf8_bytes(F.lit("é😀a"))).first()[0] == 7
+
+
+def test_capitals_fold_to_the_same_key(spark):
+    titles = ["Straße 5", "ßheit", "ŉ ﬁn ǰ", "éÑ 日本 😀", "", None]
+    got = spark.createDataFrame([(t,) for t in titles], "t string").select(
+        text.capitals("t").alias("up"), (text.fold(text.capitals("t")) == text.fold("t")).alias("same"), text.capitalize("t").alias("cap")).collect()
+    assert [r.up for r in got] == ["STRAẞE 5", "ẞHEIT", "ŉ ﬁN ǰ", "ÉÑ 日本 😀", "", None]
+    assert all(r.same for r in got[:-1]) and got[1].cap == "ẞheit"
