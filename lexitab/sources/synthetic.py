@@ -5,7 +5,11 @@ from __future__ import annotations
 import re
 import warnings
 from collections.abc import Callable
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexitab.functions.text import capitalize
@@ -21,6 +25,8 @@ PRIME = 2_147_483_647
 # Words of a sentence, on average and at most, and what may end it.
 SENTENCE, LONGEST = 9, 24
 MARKS = (".", ".", ".", "?", ".", "!", ".")
+# Values whose draws are held at a time.
+ROWS = 16
 
 # Title templates.  {Word}, {WORD} change the case of {word}; {a|b} is a choice; {words:1-3} repeats;
 # the choice between templates is uniform.
@@ -213,53 +219,77 @@ def _key(attempt: Column, seed: int, use: int) -> Column:
     return F.transform(second, lambda x: (x * x + attempt + use) % PRIME)[0]
 
 
-def _draws(key: Column, count: Column) -> Column:
-    """``count`` numbers below PRIME, by counting up from the key and squaring twice."""
-    def squared(k: Column) -> Column:
-        counted = F.transform(F.sequence(F.lit(1).cast("long"), count.cast("long")), lambda j: (k + j * 104_729) % PRIME)
-        once = F.transform(counted, lambda x: (x * x + k) % PRIME)
-        return F.transform(once, lambda x: (x * x + 104_729) % PRIME)
-    return F.transform(F.array(key), squared)[0]
+@lru_cache(maxsize=4)
+def _vocabulary_tables(vocabulary: str) -> tuple[np.ndarray, pa.Array]:
+    """What a word takes, in bytes and one more, and each word as it is written: small or capital, with no mark or each."""
+    words = vocabulary.split(" ")
+
+    def capital(word: str) -> str:
+        # As in functions.text: letter by letter.
+        first = word[:1].upper() if len(word[:1].upper()) == 1 else word[:1].replace("ß", "ẞ")
+        return first + word[1:].lower()
+
+    written = [form + mark for word in words for form in (word, capital(word)) for mark in ("", *MARKS)]
+    return np.array([len(word.encode()) + 1 for word in words]), pa.array(written, pa.string())
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo PRIME, which is 2 ** 31 - 1, as 0 to 2 ** 31: PRIME itself and one more stand for 0 and 1.
+
+    ``x``, a new array, is changed."""
+    for _ in range(2):
+        high = x >> 31
+        x &= PRIME
+        x += high
+    return x
+
+
+def _sentences(key: np.ndarray, target: np.ndarray, vocabulary: str) -> pa.Array:
+    """Texts of a few rows: one row of draws each, written up to the first sentence end behind the target."""
+    lengths, written = _vocabulary_tables(vocabulary)
+    longest = max(int(target.max()), 0)
+    # A little more draws than words of mean length need, then as many as the shortest words do.
+    for most in (int(1.05 * longest / lengths.mean()) + 2 * LONGEST, longest // int(lengths.min()) + 1 + LONGEST):
+        j = np.arange(1, most + 1)
+        x = _folded(key[:, None] + j * 104_729)
+        x = _folded(x * x + key[:, None])
+        x = _folded(x * x + 104_729)
+        x -= PRIME * (x >= PRIME)
+        rest = x // len(lengths)
+        word = x - rest * len(lengths)
+        turn = rest // SENTENCE
+        ends = (rest == turn * SENTENCE) | (j % LONGEST == 0)
+        stops = ends & (np.cumsum(lengths[word], axis=1) >= target[:, None])
+        if stops.any(axis=1).all():
+            break
+    n = stops.argmax(axis=1) + 1
+    form = word * 2
+    form[:, 0] += 1
+    form[:, 1:] += ends[:, :-1]
+    form = form * (1 + len(MARKS)) + np.where(ends, turn % len(MARKS) + 1, 0)
+    shown = written.take(pa.array(form[j <= n[:, None]]))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), shown), " ")
 
 
 def value(attempt: Column, seed: int, target: Column, vocabulary: str = WORDS) -> Column:
     """Sentences of drawn words until their bytes reach ``target``.
 
-    A draw gives a word and whether a sentence ends with it; none is longer than LONGEST words.  The blanks
-    between sentences are not counted, so each word takes its bytes and one more, for a blank or a mark:
-    the number of words follows from a table of word lengths before any text is made, and each word is
-    written once.
+    A draw counts up from the key and squares twice; it gives a word and whether a sentence ends with it, and
+    none is longer than LONGEST words.  The blanks between sentences are not counted, so each word takes its
+    bytes and one more, for a blank or a mark: the number of words follows from a table of word lengths
+    before any text is made, and each word is written once.
     """
-    words = vocabulary.split(" ")
-    size, lengths = len(words), [len(word.encode()) for word in words]
-    options = F.split(F.lit(vocabulary), " ")
-    sizes = F.split(F.lit(" ".join(map(str, lengths))), " ").cast("array<int>")
-    most = F.ceil(target / (min(lengths) + 1)) + LONGEST
-
-    def rest(x: Column) -> Column:
-        return F.floor(x / size).cast("long")
-
-    def ends(x: Column, number: Column) -> Column:
-        return (rest(x) % SENTENCE == 0) | (number % LONGEST == 0)
-
-    def add(state: Column, x: Column) -> Column:
-        grown = state["bytes"] + F.element_at(sizes, (x % size + 1).cast("int")) + 1
-        number = state["n"] + 1
-        return F.when(state["done"], state).otherwise(F.struct(
-            grown.alias("bytes"), number.alias("n"), (ends(x, number) & (grown >= target)).alias("done")))
-
-    def text(draws: Column) -> Column:
-        none = F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("n"), F.lit(False).alias("done"))
-        n = F.aggregate(draws, none, add, lambda state: state["n"])
-
-        def shown(x: Column, i: Column) -> Column:
-            word = F.element_at(options, (x % size + 1).cast("int"))
-            begins = (i == 0) | ends(F.element_at(draws, F.greatest(i, F.lit(1))), i)
-            mark = F.element_at(F.array(*map(F.lit, MARKS)), (F.floor(rest(x) / SENTENCE) % len(MARKS) + 1).cast("int"))
-            return F.concat(F.when(begins, capitalize(word)).otherwise(word), F.when(ends(x, i + 1), mark).otherwise(""))
-        return F.array_join(F.transform(F.slice(draws, F.lit(1), n), shown), " ")
-
-    return F.transform(F.array(_draws(_key(attempt, seed, 1), most)), text)[0]
+    @F.arrow_udf("string")
+    def made(key: pa.Array, target: pa.Array) -> pa.Array:
+        there = np.flatnonzero(pc.and_(key.is_valid(), target.is_valid()).to_numpy(zero_copy_only=False))
+        keys, targets = (c.take(pa.array(there)).cast(pa.int64()).to_numpy() for c in (key, target))
+        texts = [_sentences(keys[i:i + ROWS], targets[i:i + ROWS], vocabulary) for i in range(0, len(there), ROWS)]
+        at = np.full(len(key), -1)
+        at[there] = np.arange(len(there))
+        joined = pa.concat_arrays([pa.array([], pa.string()), *texts])
+        return joined if len(there) == len(key) else joined.take(pa.array(at, mask=at < 0))
+
+    return made(_key(attempt, seed, 1), target)
 
 
 def target_bytes(attempt: Column, seed: int) -> Column:

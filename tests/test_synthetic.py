@@ -103,6 +103,17 @@ def test_values_stop_at_the_first_sentence_end_behind_the_target(spark):
     assert {r.id: (r.v, r.t) for r in got} == {r.id: (made(r.id, 700), key(r.id, 2) % 7_001 + 5_000) for r in got}
 
 
+def test_values_are_made_in_batches_and_letters_keep_their_number(spark, capsys):
+    ids = spark.createDataFrame([(1,), (None,), (2,), (-5,)], "id bigint")
+    made = ids.select("id", synthetic.value(F.col("id"), 3, F.lit(300), "ßheit éa").alias("v"))
+    made.explain()
+    assert "ArrowEvalPython" in capsys.readouterr().out
+    got = {r.id: r.v for r in made.collect()}
+    assert got[None] is None
+    for value in (got[1], got[2], got[-5]):
+        assert value[0] in "ẞÉ" and value[-1] in ".?!" and len(value.encode()) >= 300 and "SS" not in value
+
+
 def test_frequent_words(spark):
     texts = spark.createDataFrame([("The the cat, the É",), ("cat dogs at été",), (None,)], "text string")
     assert synthetic.frequent_words(texts, 3) == "the cat dogs"
