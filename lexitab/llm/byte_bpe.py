@@ -21,12 +21,14 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexitab.llm.memory import Memory
+from lexitab.llm.memory import Memory, release
 from lexitab.plans.fixtures import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 # Bytes of words and their ids that a worker remembers.
 REMEMBERED = 192 * 1024 ** 2
+# Documents whose ids and digests are held at a time.
+BLOCK = 512
 # Keys of a bucket of the perfect hash, on average; seeds that are tried at a time.
 BUCKET, SEEDS = 4, 256
 # Fixed value: an odd number whose product spreads a hash over its upper bits.
@@ -163,14 +165,14 @@ class Encoder:
     pattern is matched over the whole text.
     """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, remembered: int = REMEMBERED):
         self.vocabulary = vocabulary
         self.pretokens = regex.compile(pattern).findall
         self.by_words = pattern == public_tokenizers.PATTERN
         # Ids are held in 16 bits where all of them fit.
         self.kind = "H" if max(vocabulary.ids, default=0) < 1 << 16 else "I"
-        self.pieces = Memory(self._piece, REMEMBERED // 4)
-        self.known = Memory(self._word, REMEMBERED - REMEMBERED // 4)
+        self.pieces = Memory(self._piece, remembered // 4)
+        self.known = Memory(self._word, remembered - remembered // 4)
 
     def _piece(self, pretoken: str) -> bytes:
         return array(self.kind, self.vocabulary.encode_piece(pretoken.encode("utf-8"))).tobytes()
@@ -216,15 +218,15 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(load(path), pattern)
+def encoder(path: str, pattern: str, remembered: int = REMEMBERED) -> Encoder:
+    return Encoder(load(path), pattern, remembered)
 
 
-def _encoded(path: str, pattern: str, with_ids: bool):
+def _encoded(path: str, pattern: str, with_ids: bool, remembered: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
+        coder = encoder(path, pattern, remembered)
         decimal = {i: str(i) for i in coder.vocabulary.ids}
-        for batch in batches:
+        for batch in (b.slice(i, BLOCK) for b in batches for i in range(0, b.num_rows, BLOCK)):
             counts, id_sums, text_sums, lists = [], [], [], []
             for text in batch.column("text"):
                 ids = coder.encode(text.as_py() or "")
@@ -238,22 +240,24 @@ def _encoded(path: str, pattern: str, with_ids: bool):
             if with_ids:
                 columns["ids"] = pa.array(lists, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        release()
     return work
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
-                     with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row, and ``ids`` if asked for.
 
     The text is split by ``pattern`` and each match encoded by itself, without special tokens.
     ``decoded_sha256`` is the digest of the bytes that the ids give back.  Null texts count as empty,
     and an empty text has no ids: both digests are those of nothing.  ``path`` names a rank file that
-    every executor has.  Rows are independent, so nothing is shuffled.
+    every executor has.  Rows are independent, so nothing is shuffled.  A Python worker remembers words in
+    ``remembered`` bytes.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return docs.select("doc_id", "text").mapInArrow(
-        _encoded(path, pattern, with_ids), schema + (", ids array<int>" if with_ids else ""))
+        _encoded(path, pattern, with_ids, remembered), schema + (", ids array<int>" if with_ids else ""))
 
 
 def _decoded(path: str, pattern: str):

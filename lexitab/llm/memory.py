@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from sys import getsizeof
 
+import pyarrow as pa
+
 # Bytes of an entry beside its key and value: its share of two tables that are never full.
 ENTRY = 80
 # Keys of more characters are not remembered: they are hardly met again.
@@ -37,3 +40,12 @@ class Memory(dict):
         self[key] = value
         self.size += size
         return value
+
+
+def release() -> None:
+    """Gives freed memory back to the system at the end of a task, as the worker goes on to other stages."""
+    pa.default_memory_pool().release_unused()
+    # Of the C library on Linux; elsewhere there is none.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lexitab.llm.memory import Memory
+from lexitab.llm.memory import Memory, release
 from lexitab.llm.samples import bounded_sample, fold_of
 from lexitab.plans.fixtures import table
 
@@ -75,7 +75,7 @@ def _forget() -> None:
     """Gives back what a task's words and batches took, as the worker goes on to other stages."""
     _codes.clear()
     _codes.old, _codes.size = {}, 0
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexitab.llm.columns import unused
 from lexitab.llm.components import components, forest
+from lexitab.llm.memory import release
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
 
@@ -60,6 +61,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         values = pa.array([fingerprint(t.as_py()) for t in batch.column("text")], pa.int64())
         others = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), values], [*others, "fp"])
+    release()
 
 
 def fingerprints(docs: DataFrame, *extra: Column) -> DataFrame:

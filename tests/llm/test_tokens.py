@@ -238,3 +238,13 @@ def test_counts_of_odd_rows(spark):
     assert got == sorted(((d, counter.count(t or "")[0]) for d, t, *_ in rows), key=str)
     assert counter.count("") == (0, 0.0)
     assert token_counts.count_tokens(spark.createDataFrame([], DOCS), path).count() == 0
+
+
+def test_a_worker_remembers_what_it_is_told_to(spark):
+    path, texts = public_tokenizers.path(byte_bpe.VOCABULARY), [f"word{i} ähnlich {i * i}" for i in range(700)]
+    coder = byte_bpe.encoder(path, public_tokenizers.PATTERN, 1 << 16)
+    assert coder.known.limit + coder.pieces.limit == 1 << 16
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    # More documents than a block, and less memory than their words.
+    got = byte_bpe.encode_documents(docs, path, with_ids=True, remembered=1 << 16).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: byte_bpe.encoder(path, public_tokenizers.PATTERN).encode(t) for i, t in enumerate(texts)}
