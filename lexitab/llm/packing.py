@@ -24,7 +24,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lexitab.llm.token_files import VOCABULARY, encode_texts
+from lexitab.llm.token_files import VOCABULARY, encode_packed, id_lists, unpacked
 from lexitab.operators.ordering import bases, number_rows, range_sort, with_positions
 from lexitab.plans.fixtures import table
 from lexitab.session import materialise
@@ -338,21 +338,42 @@ def place(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         F.when(F.col("n_full") > 0, whole).otherwise(none), F.coalesce(cut, none)).alias("pieces"))
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``: the pieces of all documents.
+def pack_bytes(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+    """``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``: the pieces of all documents, their ids
+    as the bytes of ``encode_packed``.
 
     Every text is encoded once, followed by ``end_id`` and written; null texts count as empty and give one
     token.  A document's full sequences stand alone, its tail is one piece unless it is cut.  Sequences are
     numbered from 0: those of patterns, the stream, then full ones; pieces fill a sequence from offset 0
     without a gap.  Each row is a document, also where doc_ids are null or repeated.
     """
-    tokens = materialise(encode_texts(docs, tokenizer, end_id, "doc_id").withColumn("doc", F.monotonically_increasing_id()), "tokens")
-    places = place(tokens.select("doc", F.size("ids").cast("long").alias("n_tokens")), capacity)
+    tokens = materialise(encode_packed(docs, tokenizer, end_id, "doc_id").withColumn("doc", F.monotonically_increasing_id()), "tokens")
+    places = place(tokens.select("doc", "n_tokens"), capacity)
+    width = (F.octet_length("ids") / F.col("n_tokens")).cast("int")
     cut = F.transform("pieces", lambda p: F.struct(
         p["start"].alias("start"), p["length"].alias("length"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset"),
-        F.slice("ids", (p["start"] + 1).cast("int"), p["length"].cast("int")).alias("ids")))
+        F.substring("ids", (p["start"] * width + 1).cast("int"), (p["length"] * width).cast("int")).alias("ids")))
     # Places grow with the documents as the tokens do: never a broadcast, whatever a small table would allow.
-    return tokens.join(places.hint("merge"), "doc").select("doc_id", F.size("ids").cast("long").alias("doc_tokens"), F.inline(cut))
+    return tokens.join(places.hint("merge"), "doc").select("doc_id", F.col("n_tokens").alias("doc_tokens"), F.inline(cut)).select(
+        "doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = id_lists([unpacked(i.as_py(), n.as_py()) for i, n in zip(batch.column("ids"), batch.column("length"))])
+        others = [n for n in batch.schema.names if n != "ids"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), ids], [*others, "ids"])
+
+
+def _mapped(pieces: DataFrame, work, column: str) -> DataFrame:
+    """Pieces with what ``work`` makes of their ids in place of these."""
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name != "ids"]
+    return pieces.mapInArrow(work, ", ".join([*fields, column]))
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
+    """The pieces of ``pack_bytes`` with their ids as numbers."""
+    return _mapped(pack_bytes(docs, tokenizer, end_id, capacity), _lists, "ids array<int>")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -363,16 +384,12 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        lists = batch.column("ids")
-        ids, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.offsets.to_numpy()
-        sums = pa.array([zlib.crc32(ids[a:b].data) for a, b in zip(ends, ends[1:])], pa.int64())
+        sums = pa.array([zlib.crc32(unpacked(i.as_py(), n.as_py()).astype("<u4").data)
+                         for i, n in zip(batch.column("ids"), batch.column("length"))], pa.int64())
         others = [n for n in batch.schema.names if n != "ids"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in others), sums], [*others, "ids_crc32"])
 
 
 def op12_packing(spark, sf_dir):
     """All documents in sequences of 2,048."""
-    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-    slim = pieces.select("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
-    return slim.mapInArrow(_sums, f"doc_id {kind}, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids_crc32 bigint")
+    return _mapped(pack_bytes(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)), _sums, "ids_crc32 bigint")

@@ -130,6 +130,32 @@ def encode_texts(docs: DataFrame, tokenizer: str, end_id: int, *kept: str) -> Da
     return slim.mapInArrow(_encoded(tokenizer, end_id), ", ".join([*fields, "ids array<int>"]))
 
 
+def _packed(path: str, end_id: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path)
+        kind = "<u2" if coder.kind == "H" and end_id < 1 << 16 else "<u4"
+        for batch in batches:
+            rows = [np.append(coder.encode(text.as_py() or ""), end_id).astype(kind) for text in batch.column("text")]
+            others = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in others), pa.array([len(r) for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                [*others, "n_tokens", "ids"])
+    return work
+
+
+def encode_packed(docs: DataFrame, tokenizer: str, end_id: int, *kept: str) -> DataFrame:
+    """``(*kept, n_tokens, ids)`` as ``encode_texts`` has them, the ids as bytes: little-endian numbers of 16
+    bits where all ids fit, else of 32.  Spark moves them as they are, not number by number."""
+    slim = docs.select(*kept, "text")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1]]
+    return slim.mapInArrow(_packed(tokenizer, end_id), ", ".join([*fields, "n_tokens bigint, ids binary"]))
+
+
+def unpacked(ids: bytes, n_tokens: int) -> np.ndarray:
+    """The numbers of packed ids."""
+    return np.frombuffer(ids, f"<u{len(ids) // n_tokens}")
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode every text, append ``end_id`` and write ``(doc_id, pid, row, ids)`` in doc_id order.
 
