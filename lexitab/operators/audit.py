@@ -12,7 +12,8 @@ _MARK = "^\ufeff+"
 
 
 def _piece(line: Column) -> Column:
-    seen = F.regexp_replace(line, _MARK, "")
+    # Most lines have no mark: these are not made into another string first.
+    seen = F.when(line.startswith("\ufeff"), F.regexp_replace(line, _MARK, "")).otherwise(line)
     return F.struct((F.octet_length(seen) + 1).cast("long").alias("size"), F.xxhash64(seen).alias("hash"))
 
 
@@ -33,8 +34,10 @@ def due_parts(data: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
 
     Only sizes and hashes of lines are moved; a value with line ends has several.
     """
-    lines = F.split(F.concat(csv_line(), F.lit("\r")), "\n", -1)
-    slim = data.select("pid", "row", "byte_length", F.transform(lines, _piece).alias("pieces"))
+    line = F.col("line")
+    lines = F.when(line.contains("\n"), F.split(line, "\n", -1)).otherwise(F.array(line))
+    slim = data.select("pid", "row", "byte_length", F.concat(csv_line(), F.lit("\r")).alias("line")).select(
+        "pid", "row", "byte_length", F.transform(lines, _piece).alias("pieces"))
     pieces = with_parts(slim, part_rows).select("part_file", "row", F.posexplode("pieces").alias("n", "piece"))
     return _digests(pieces.select("part_file", "row", "n", "piece.*"), "row", "n")
 

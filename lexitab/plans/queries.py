@@ -291,10 +291,10 @@ def synth_checks(spark, sf_dir):
                          F.sum("short").alias("short_values"), F.sum("split").alias("split_values"))
 
 
-def _published(spark, sf_dir, **options) -> str:
+def _published(spark, sf_dir, inputs: tuple[DataFrame, DataFrame, DataFrame] | None = None, **options) -> str:
     """A root with a full build of E and a same-day incremental build with C."""
     root, day = scratch_path(spark, "published"), datetime(2024, 5, 1)
-    existing, changelog, _ = _inputs(spark, sf_dir)
+    existing, changelog, _ = inputs or _inputs(spark, sf_dir)
     build.full_build(spark, root, existing, now=day, csv=False)
     build.incremental_build(spark, root, _as_csv_order(changelog), now=day, **options)
     return root
@@ -343,9 +343,9 @@ def two_level_index(spark, sf_dir):
 
 def range_lookup(spark, sf_dir):
     """The requests again, answered from byte ranges of the published CSV parts."""
-    root = _published(spark, sf_dir)
-    requests = _inputs(spark, sf_dir)[2]
-    return (lookup.read_values(spark, requests, build.live_index(spark, root), build.live_csv(spark, root))
+    inputs = _inputs(spark, sf_dir)
+    root = _published(spark, sf_dir, inputs)
+    return (lookup.read_values(spark, inputs[2], build.live_index(spark, root), build.live_csv(spark, root))
             .select("request_id", "key", "found", "value"))
 
 

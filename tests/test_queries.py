@@ -2,6 +2,7 @@ import pytest
 
 import oracle_check
 from __spark_entry__ import entry, oracle_sql, queries
+from lexitab.plans import fixtures
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +24,13 @@ def test_query_equals_its_sql(spark, duck, name):
         assert oracle_check.difference(got, twin.fetch_df()) is None
 
 
+def test_range_lookup_makes_its_inputs_once(spark, monkeypatch):
+    made, table = [], fixtures.dictionary_table
+    monkeypatch.setattr(fixtures, "dictionary_table", lambda *a: made.append(a) or table(*a))
+    assert queries()["range_lookup"](spark, SF).columns == ["request_id", "key", "found", "value"]
+    assert len(made) == 1
+
+
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
